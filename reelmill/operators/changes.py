@@ -33,7 +33,7 @@ def update_rows(
     joined = state.join(inbound, key, "left")
     return joined.select(
         *[
-            F.when(F.col(_HIT), assign[c]).otherwise(F.col(c)).cast(f.dataType).alias(c)
+            F.when(F.col(_HIT), assign[c]).otherwise(F.col(c)).cast(f.dataType.simpleString()).alias(c)
             if c in assign
             else F.col(c)
             for c, f in zip(state.columns, state.schema.fields)

@@ -90,9 +90,15 @@ def join_feeds(targets: DataFrame, feed: DataFrame, default_slug: str = "") -> D
     return feed.join(wanted, "channel").drop("channel")
 
 
+def _feed_order(rows: DataFrame) -> list[str]:
+    """Targets in configured order, then landings, then the feed's own order."""
+    order = ("target_pos", "received_at", "doc", "feed_pos")
+    return [c for c in order if c in rows.columns]
+
+
 def normalise_feed(rows: DataFrame) -> DataFrame:
     """Feed entries to episode attributes; entries without id are dropped."""
-    order = [c for c in ("target_pos", "doc", "feed_pos") if c in rows.columns]
+    order = _feed_order(rows)
     video_id = strip(F.coalesce("videoId", F.lit("")))
     return rows.withColumn("video_id", video_id).filter(F.col("video_id") != "").select(
         "video_id",
@@ -115,10 +121,6 @@ def within_lookback(
     return items.filter(F.col("published_at").isNull() | (F.col("published_at") >= floor))
 
 
-def _feed_order(items: DataFrame) -> list[str]:
-    return [c for c in ("target_pos", "doc", "feed_pos") if c in items.columns]
-
-
 def first_wins(items: DataFrame) -> DataFrame:
     """One row per video, the first in (target, document, feed) order.
 
@@ -179,7 +181,7 @@ def as_discovered(numbered: DataFrame, now: datetime) -> DataFrame:
     return numbered.select(
         *[
             values.get(f.name, F.col(f.name) if f.name in numbered.columns else F.lit(None))
-            .cast(f.dataType)
+            .cast(f.dataType.simpleString())
             .alias(f.name)
             for f in schemas.EPISODES.fields
         ]

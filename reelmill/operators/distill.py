@@ -296,7 +296,7 @@ def upsert_results(
     written = placed.select(
         *[
             values.get(c, F.col(c) if c in placed.columns else F.lit(None))
-            .cast(f.dataType)
+            .cast(f.dataType.simpleString())
             .alias(c)
             for c, f in stored.items()
         ]

@@ -32,7 +32,7 @@ def start_runs(runs: DataFrame, dates: DataFrame, now: datetime) -> DataFrame:
         **{c: F.coalesce(c, F.lit(0)) for c in RUN_COUNTERS},
     }
     return joined.select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in runs.schema.fields]
+        *[values[f.name].cast(f.dataType.simpleString()).alias(f.name) for f in runs.schema.fields]
     )
 
 

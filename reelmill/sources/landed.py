@@ -20,16 +20,17 @@ def _read(spark: SparkSession, path: str, schema, stream: bool, files_per_batch:
 def read_feeds(
     spark: SparkSession, path: str, *, stream: bool = False, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Feed documents; ``doc`` orders several landings of one channel."""
+    """Feed documents; ``received_at``, then the file, orders a channel's landings."""
     docs = _read(spark, path, schemas.FEED_DOC, stream, files_per_batch)
     return docs.withColumn("doc", F.col("_metadata.file_path"))
 
 
 def feed_rows(docs: DataFrame) -> DataFrame:
     """One row per feed entry in feed order; missing ``results`` is an empty feed."""
-    return docs.filter(F.col("channel").isNotNull()).select(
-        "channel", "doc", F.posexplode("results").alias("feed_pos", "entry")
-    ).select("channel", "doc", F.col("feed_pos").cast("bigint").alias("feed_pos"), "entry.*")
+    entries = docs.filter(F.col("channel").isNotNull()).select(
+        "channel", "received_at", "doc", F.posexplode("results").alias("feed_pos", "entry")
+    )
+    return entries.select(*entries.columns[:-1], "entry.*")
 
 
 def read_responses(

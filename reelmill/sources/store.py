@@ -12,10 +12,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from reelmill import schemas
 
+BUCKET = StructField("bucket", IntegerType(), True)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach: the configured one, else (tests) a local one."""
@@ -68,7 +70,7 @@ class StateStore:
 
     def read(self, table: str, buckets: list[int] | None = None) -> DataFrame:
         """Current rows of a table plus their ``bucket``; only some buckets if given."""
-        schema = StructType(schemas.TABLES[table].fields).add("bucket", IntegerType())
+        schema = StructType([*schemas.TABLES[table].fields, BUCKET])
         dirs = self.pointer()["tables"].get(table, {})
         wanted = dirs if buckets is None else {str(b): dirs.get(str(b), []) for b in buckets}
         paths = [f"{self.root}/{table}/{v}/bucket={b}" for b, vs in wanted.items() for v in vs]
