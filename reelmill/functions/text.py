@@ -5,16 +5,19 @@ from pyspark.sql import functions as F
 
 # The characters that count as white space. This is the Unicode
 # White_Space property plus the separators 0x1C-0x1F; the regex engine's own \s
-# is ASCII only and would miss most of them.
-SPACE_CLASS = (
-    r"\t-\r\x1c-\x20\x85\xa0"
-    r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-)
-
-# A lone blank is already in its final form, so only longer runs and other
-# white space are replaced: on prose that is a small share of the blanks.
-_RUN = rf"[{SPACE_CLASS}]{{2,}}|[{SPACE_CLASS}&&[^ ]]"
+# is ASCII only and would miss most of them. The rare ones sit behind one range
+# test, so that ordinary characters are done with a single table look-up.
+_RARE = r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CLASS = rf"\t-\r\x1c-\x20\x85\xa0[\u1680-\u3000&&[{_RARE}]]"
+
+_RUN = rf"[{SPACE_CLASS}]+"
 _ENDS = rf"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+\z"
+_VISIBLE = rf"[^{SPACE_CLASS}]"
+
+
+def has_content(text: Column) -> Column:
+    """Something is left after squeezing; cheaper than squeezing in a filter."""
+    return F.coalesce(text.rlike(_VISIBLE), F.lit(False))
 
 
 def squeeze(text: Column) -> Column:
@@ -55,10 +58,7 @@ def _bind(value: Column, body) -> Column:
 
 def kept_lines(texts: Column) -> Column:
     """Squeezed non-empty lines, without a line equal to the one kept before."""
-    lines = F.filter(
-        F.transform(F.coalesce(texts, F.array()), lambda t: squeeze(F.coalesce(t, F.lit("")))),
-        lambda t: t != "",
-    )
+    lines = F.transform(F.filter(F.coalesce(texts, F.array()), has_content), squeeze)
     return _bind(
         lines,
         lambda a: F.filter(a, lambda t, i: (i == 0) | (t != F.get(a, i - 1))),

@@ -7,23 +7,36 @@ from pyspark.sql import functions as F
 
 # The accepted shapes of a published time. The cast below would
 # also take bare years and one-digit fields, so the shape is checked first.
-_EXTENDED = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-_COMPACT = r"^\d{8}T\d{6}(Z|[+-]\d{2}:?\d{2})?$"
-_COMPACT_PARTS = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})"
+_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
+_DAY = r"^\d{4}-\d{2}-\d{2}$"
+_OTHER = (
+    r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?|\d{8}T\d{6})"
+    r"(Z|[+-]\d{2}:?\d{2})?$"
+)
+
+
+def _extended(value: Column) -> Column:
+    """The less common accepted shapes in the common one; no zone means UTC."""
+    steps = (
+        (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6"),
+        (",", "."),
+        (r"^(.{10}[T ]\d{2}:\d{2})(?!:)", "$1:00"),
+        (r"([+-]\d{2})(\d{2})$", "$1:$2"),
+        (r"^(.{10}[T ][\d:.]+)$", "$1Z"),
+    )
+    for pattern, replacement in steps:
+        value = F.regexp_replace(value, pattern, replacement)
+    return value
 
 
 def parse_published(value: Column) -> Column:
     """ISO time to an instant; no zone means UTC; anything else is null."""
-    shaped = F.when(value.rlike(_EXTENDED), F.replace(value, F.lit(","), F.lit("."))).when(
-        value.rlike(_COMPACT), F.regexp_replace(value, _COMPACT_PARTS, "$1-$2-$3T$4:$5:$6")
-    )
-    offset = F.regexp_replace(shaped, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    zoned = (
-        F.when(F.length(offset) == 10, F.concat(offset, F.lit("T00:00:00Z")))
-        .when(offset.rlike(r"(Z|[+-]\d{2}:\d{2})$"), offset)
-        .otherwise(F.concat(offset, F.lit("Z")))
+    shaped = (
+        F.when(value.rlike(_ZONED), value)
+        .when(value.rlike(_DAY), F.concat(value, F.lit("T00:00:00Z")))
+        .when(value.rlike(_OTHER), _extended(value))
     )
-    return zoned.try_cast("timestamp")
+    return shaped.try_cast("timestamp")
 
 
 def moment(df: DataFrame, column: str, value: datetime) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from reelmill import schemas
-from reelmill.functions.text import first_truthy, slugify, strip
+from reelmill.functions.text import first_truthy, has_content, slugify, strip
 from reelmill.functions.times import moment, parse_published
 
 # Defaults of a discovery pass and the address of a bare video id.
@@ -99,8 +99,9 @@ def _feed_order(rows: DataFrame) -> list[str]:
 def normalise_feed(rows: DataFrame) -> DataFrame:
     """Feed entries to episode attributes; entries without id are dropped."""
     order = _feed_order(rows)
-    video_id = strip(F.coalesce("videoId", F.lit("")))
-    return rows.withColumn("video_id", video_id).filter(F.col("video_id") != "").select(
+    return rows.filter(has_content(F.col("videoId"))).withColumn(
+        "video_id", strip(F.col("videoId"))
+    ).select(
         "video_id",
         "channel_slug",
         "title",

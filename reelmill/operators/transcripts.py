@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelmill.functions.languages import normalise_languages
 from reelmill.functions.payload import detail_message, parse_body, whole_seconds
-from reelmill.functions.text import content_hash, flatten_segments, squeeze
+from reelmill.functions.text import content_hash, flatten_segments, has_content, squeeze
 from reelmill.functions.times import moment
 from reelmill.operators.changes import new, update_rows
 from reelmill.operators.queues import MAX_ATTEMPTS
@@ -29,14 +29,11 @@ def flatten_rows(segments: DataFrame) -> DataFrame:
     chunks, so the window never sees more than CHUNK rows of one video however
     long it is; only a chunk's last line crosses to the next chunk.
     """
-    lines = (
-        segments.select(
-            "video_id",
-            F.expr(f"pos div {CHUNK}").alias("chunk"),
-            "pos",
-            squeeze(F.coalesce("text", F.lit(""))).alias("text"),
-        )
-        .filter(F.col("text") != "")
+    lines = segments.filter(has_content(F.col("text"))).select(
+        "video_id",
+        F.expr(f"pos div {CHUNK}").alias("chunk"),
+        "pos",
+        squeeze(F.col("text")).alias("text"),
     )
     order = Window.partitionBy("video_id", "chunk").orderBy("pos")
     inside = lines.withColumn("before", F.lag("text").over(order))
@@ -65,43 +62,54 @@ def flatten_rows(segments: DataFrame) -> DataFrame:
     )
 
 
+def with_digest(responses: DataFrame) -> DataFrame:
+    """Add the number that tells the bodies of one video and moment apart."""
+    return responses.withColumn("digest", F.xxhash64("http_status", "body"))
+
+
+ANSWER = ["video_id", "received_at", "digest"]
+
+
 def newest_answer(responses: DataFrame, queue: DataFrame) -> DataFrame:
-    """The latest response of each queued video (others are dropped first)."""
-    mine = responses.join(queue.select("video_id"), "video_id", "left_semi")
-    rest = [c for c in mine.columns if c != "video_id"]
-    latest = F.max_by(F.struct(*rest), F.struct("received_at", "http_status", "body"))
-    return mine.groupBy("video_id").agg(latest.alias("last")).select("video_id", "last.*")
+    """The latest response of each queued video (others are dropped first).
 
+    Only keys are compared and shuffled; the bodies are picked by a semi join.
+    """
+    mine = with_digest(responses.join(queue.select("video_id"), "video_id", "left_semi"))
+    last = F.max(F.struct("received_at", "digest")).alias("last")
+    keys = mine.groupBy("video_id").agg(last).select("video_id", "last.*")
+    return mine.join(keys, ANSWER, "left_semi").drop("digest")
 
-def classify(responses: DataFrame, languages: Column | None = None) -> DataFrame:
-    """``(video_id, http_status, body)`` -> kind, text and error message.
 
-    ``kind`` is ok, unavailable, transient or error.
+def classify(
+    responses: DataFrame, languages: Column | None = None, with_text: bool = False
+) -> DataFrame:
+    """``(video_id, received_at, http_status, body)`` -> kind and error message.
+
+    ``kind`` is ok, unavailable, transient or error. The answer rows are narrow;
+    the transcript itself is only built when it is asked for.
     """
     codes = F.array_join(normalise_languages(languages if languages is not None else F.array()), ",")
-    parsed = responses.select(
-        "video_id",
-        "received_at",
+    answered = F.col("http_status") == 200
+    captions = F.col("payload.transcript.text")
+    read = with_digest(responses).select(
+        *ANSWER,
         "http_status",
         "body",
         codes.alias("codes"),
         parse_body(F.col("body")).alias("payload"),
     )
-    read = parsed.select(
-        "video_id",
-        "received_at",
+    read = read.select(
+        *ANSWER,
         "http_status",
         "codes",
-        F.when(F.col("http_status") == 200, flatten_segments(F.col("payload.transcript.text")))
-        .otherwise("")
-        .alias("text"),
+        (answered & F.coalesce(F.exists(captions, has_content), F.lit(False))).alias("ok"),
         F.col("payload.language").alias("language"),
         whole_seconds(F.col("payload.length_seconds")).alias("length_seconds"),
-        F.when(F.col("http_status") != 200, detail_message(F.col("body"), F.col("payload"))).alias(
-            "detail"
-        ),
+        F.when(~answered, detail_message(F.col("body"), F.col("payload"))).alias("detail"),
+        *([captions.alias("captions")] if with_text else []),
     )
-    ok = (F.col("http_status") == 200) & (F.col("text") != "")
+    ok = F.col("ok")
     kind = (
         F.when(ok, "ok")
         .when(F.col("http_status").isin(200, 404), "unavailable")
@@ -115,19 +123,19 @@ def classify(responses: DataFrame, languages: Column | None = None) -> DataFrame
     )
     error = (
         F.when(ok, F.lit(None))
-        .when(F.col("http_status") == 200, missing)
+        .when(answered, missing)
         .when(F.col("http_status") == 404, F.concat(missing, F.lit(": "), "detail"))
         .otherwise(provider)
     )
+    text = F.when(ok, flatten_segments(F.col("captions"))).alias("text") if with_text else None
     return read.select(
-        "video_id",
-        "received_at",
+        *ANSWER,
         "http_status",
         kind.alias("kind"),
-        F.when(ok, F.col("text")).alias("text"),
         F.when(ok, F.col("language")).alias("language"),
         F.when(ok, F.col("length_seconds")).alias("length_seconds"),
         error.alias("error"),
+        *([text] if with_text else []),
     )
 
 
@@ -152,24 +160,27 @@ def decisive_answers(
 
     Several answers for one video count as passes in the order received: the
     first transcript decides, or the answer that uses up the tries, or else the
-    last one. At most ``max_attempts`` failures, one transcript and one "try
-    later" per video can matter; all others are dropped before the shuffle (a
-    rank filter), so a video with very many answers is no heavy group.
+    last one. The same answer landed twice counts once.
+
+    At most ``max_attempts`` failures, one transcript and one "try later" per
+    video can matter; all others are dropped before the shuffle (a rank
+    filter), so a video with very many answers is no heavy group.
     """
     wait = F.col("kind") == "transient"
     group = F.when(wait, "wait").when(F.col("kind") == "ok", "text").otherwise("try")
     received = F.unix_micros("received_at")
     place = Window.partitionBy("video_id", "group").orderBy(
-        F.when(wait, -received).otherwise(received), "http_status", "error"
+        F.when(wait, -received).otherwise(received), "digest"
     )
     few = (
-        answers.withColumn("group", group)
+        answers.distinct()
+        .withColumn("group", group)
         .withColumn("place", F.row_number().over(place))
         .filter(F.col("place") <= max(max_attempts, 1))
         .filter((F.col("group") == "try") | (F.col("place") == 1))
     )
     joined = queue.select("id", "video_id", "attempts").join(few, "video_id")
-    order = Window.partitionBy("video_id").orderBy("received_at", "http_status", "error")
+    order = Window.partitionBy("video_id").orderBy("received_at", "digest")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     is_try = F.col("group") == "try"
     counted = joined.withColumn(
@@ -190,52 +201,63 @@ def decisive_answers(
 
 def transitions(
     queue: DataFrame,
-    answers: DataFrame,
+    responses: DataFrame,
     max_attempts: int = MAX_ATTEMPTS,
     min_seconds: int = 0,
     max_seconds: int = 0,
+    languages: Column | None = None,
 ) -> DataFrame:
-    """What happens to each queued episode that has classified answers.
+    """What happens to each queued episode that has responses.
 
     One change row per episode: outcome, new status, attempts to add, error,
-    duration and, when fetched, the transcript with its hash.
+    duration and, when fetched, the transcript with its hash. Decisions are made
+    on narrow rows; only the chosen transcripts are built and joined to them,
+    and not even those where just the counts or statuses are used.
     """
-    joined = decisive_answers(queue, answers, max_attempts)
-    reason = skip_reason(F.col("length_seconds"), min_seconds, max_seconds)
-    gated = joined.withColumn("reason", F.when(F.col("kind") == "ok", reason))
+    mine = responses.join(queue.select("video_id"), "video_id", "left_semi")
+    answer = decisive_answers(queue, classify(mine, languages), max_attempts)
+    ok = F.col("kind") == "ok"
+    reason = F.when(ok, skip_reason(F.col("length_seconds"), min_seconds, max_seconds))
     tries_over = F.col("attempts") + F.col("tries") + 1 >= max_attempts
     outcome = (
-        F.when((F.col("kind") == "ok") & F.col("reason").isNull(), "fetched")
-        .when(F.col("kind") == "ok", "skipped")
+        F.when(ok & F.col("reason").isNull(), "fetched")
+        .when(ok, "skipped")
         .when((F.col("kind") == "unavailable") & tries_over, "skipped")
         .when(F.col("kind") == "unavailable", "unavailable")
         .otherwise("failed")
     )
-    decided = gated.withColumn("outcome", outcome)
-    fetched = F.col("outcome") == "fetched"
     status = (
-        F.when(fetched, "fetched")
-        .when(F.col("outcome") == "skipped", "skipped")
+        F.when(F.col("outcome").isin("fetched", "skipped"), F.col("outcome"))
         .when(F.col("kind") == "transient", "discovered")
         .otherwise("failed")
     )
-    text = F.when(fetched, F.col("text"))
-    return decided.select(
+    fetched = F.col("outcome") == "fetched"
+    decided = answer.withColumn("reason", reason).withColumn("outcome", outcome)
+    texts = chosen_texts(mine, decided.filter(fetched).select(*ANSWER))
+    return decided.withColumn("status", status).join(texts, "video_id", "left").select(
         "id",
         "video_id",
         "outcome",
-        status.alias("status"),
-        (F.col("tries") + (status == "failed").cast("int")).cast("int").alias("bump"),
+        "status",
+        (F.col("tries") + (F.col("status") == "failed").cast("int")).cast("int").alias("bump"),
         F.coalesce("reason", F.substring("error", 1, ERROR_CHARS)).alias("last_error"),
         F.col("length_seconds").alias("duration_seconds"),
-        text.alias("raw_text"),
-        F.length(text).alias("raw_char_count"),
-        F.when(fetched, content_hash(F.col("text"))).alias("content_hash"),
+        "raw_text",
+        F.length("raw_text").alias("raw_char_count"),
+        F.when(fetched, content_hash(F.col("raw_text"))).alias("content_hash"),
         F.when(fetched, F.col("language")).alias("transcript_language"),
         F.when(fetched, F.lit(SOURCE)).alias("transcript_source"),
     )
 
 
+def chosen_texts(responses: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``(video_id, raw_text)`` of the answers in ``chosen``, one row per video."""
+    picked = with_digest(responses).join(chosen, ANSWER, "left_semi")
+    captions = parse_body(F.col("body"))["transcript"]["text"]
+    texts = picked.select("video_id", flatten_segments(captions).alias("raw_text"))
+    return texts.dropDuplicates(["video_id"])
+
+
 def apply_transitions(episodes: DataFrame, changes: DataFrame, now: datetime) -> DataFrame:
     """T10 on the state: the effects of U1, U2 and U3 in a single join."""
     fetched = new("status") == "fetched"

@@ -136,12 +136,15 @@ def target_feed_join(spark, sf):
 
 
 _ITEM = "video_id, channel_slug, title, source_url, thumbnail_url, description, published_at"
-_ITEM_COLS = [*_ITEM.split(", ")[:-1], naive("published_at"), "feed_pos"]
+
+
+def _shown(items):
+    return items.select(*_ITEM.split(", ")[:-1], naive("published_at"), "feed_pos")
 
 
 @query("d5_normalise_feed", "feed", f"SELECT {_ITEM}, feed_pos FROM feed")
 def normalise_feed(spark, sf):
-    return _items(spark, sf).select(*_ITEM_COLS)
+    return _shown(_items(spark, sf))
 
 
 @query(
@@ -200,17 +203,17 @@ def parse_published(spark, sf):
 
 @query("d7_lookback", "recent", f"SELECT {_ITEM}, feed_pos FROM recent")
 def lookback(spark, sf):
-    return _recent(spark, sf).select(*_ITEM_COLS)
+    return _shown(_recent(spark, sf))
 
 
 @query("d8_first_wins", "firsts", f"SELECT {_ITEM}, feed_pos FROM firsts")
 def first_wins(spark, sf):
-    return discovery.first_wins(_recent(spark, sf)).select(*_ITEM_COLS)
+    return _shown(discovery.first_wins(_recent(spark, sf)))
 
 
 @query("d9_newest", "items", f"SELECT {_ITEM}, feed_pos FROM items")
 def newest(spark, sf):
-    return discovery.newest(discovery.first_wins(_recent(spark, sf))).select(*_ITEM_COLS)
+    return _shown(discovery.newest(discovery.first_wins(_recent(spark, sf))))
 
 
 # -- languages --------------------------------------------------------------------
@@ -381,7 +384,7 @@ def whole_seconds(spark, sf):
          FROM answers a LEFT JOIN flat f ON f.doc_id = a.doc_id""",
 )
 def classify_responses(spark, sf):
-    return transcripts.classify(fx.responses(spark, sf)).select(
+    return transcripts.classify(fx.responses(spark, sf), with_text=True).select(
         "video_id",
         "http_status",
         "kind",

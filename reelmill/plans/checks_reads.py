@@ -144,12 +144,15 @@ _LISTED = """
     SELECT ep.id, ep.video_id, ep.status, ep.attempts, ep.published_at, ep.raw_char_count,
            length(d.summary) AS summary_char_count, d.key_topic_count, d.segment_count
       FROM ep LEFT JOIN (SELECT * FROM di WHERE is_current) d ON d.episode_id = ep.id"""
-_LISTED_COLS = [
-    "id", "video_id", "status", "attempts", "published_at",
-    F.col("raw_char_count").cast("bigint").alias("raw_char_count"),
-    F.col("summary_char_count").cast("bigint").alias("summary_char_count"),
-    "key_topic_count", "segment_count",
-]
+
+
+def _listed(rows: DataFrame, *more) -> DataFrame:
+    return rows.select(
+        "id", "video_id", "status", "attempts", "published_at",
+        F.col("raw_char_count").cast("bigint").alias("raw_char_count"),
+        F.col("summary_char_count").cast("bigint").alias("summary_char_count"),
+        "key_topic_count", "segment_count", *more,
+    )
 
 
 @query(
@@ -167,7 +170,7 @@ def list_episodes(spark, sf):
         from_date=date(2024, 1, 10),
         page=3,
     )
-    return _ranked(page.rows).select(*_LISTED_COLS, "pos", page.total.scalar().alias("total"))
+    return _listed(_ranked(page.rows), "pos", page.total.scalar().alias("total"))
 
 
 @query(
@@ -184,7 +187,7 @@ def list_all_episodes(spark, sf):
         from_date=date(2024, 1, 3),
         to_date=date(2024, 1, 20),
     )
-    return page.rows.select(*_LISTED_COLS)
+    return _listed(page.rows)
 
 
 @query(

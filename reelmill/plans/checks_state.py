@@ -10,7 +10,8 @@ from reelmill.operators import changes as ch
 from reelmill.operators import discovery, distill, queues, runs, transcripts
 from reelmill.plans import fixtures as fx
 from reelmill.plans.checks_inputs import _recent, naive
-from reelmill.plans.checks_reads import _RUN, labelled_ids
+from reelmill.plans.flagship import summary_after_pass
+from reelmill.plans.checks_reads import _COMPLETED, _RUN, labelled_ids
 from reelmill.plans.oracle import hashed, with_tables
 
 QUERIES: dict = {}
@@ -261,8 +262,8 @@ def discovery_run(spark, sf):
 
 
 def _moves(spark, sf) -> DataFrame:
-    answers = transcripts.classify(fx.responses(spark, sf))
-    return transcripts.transitions(fx.response_queue(spark, sf), answers, 5, 30, 600)
+    queue = fx.response_queue(spark, sf)
+    return transcripts.transitions(queue, fx.responses(spark, sf), 5, 30, 600)
 
 
 @query(
@@ -673,3 +674,31 @@ def stage_accounting(spark, sf):
     counts = transcripts.pass_counts(_moves(spark, sf))
     deltas = runs.stage_deltas(counts, RUN_DATE, "transcripts_fetched")
     return runs.add_counters(fx.ingest_runs(spark, sf), deltas, NOW).select(*_RUN_ROW)
+
+
+@query_with(
+    "r13_summary_after_pass",
+    "ep rn items moves",
+    """state AS (
+        SELECT id, video_id, published_at, status, attempts, last_error, fetched_at, distilled_at,
+               raw_text IS NOT NULL AS has_text FROM ep
+        UNION ALL SELECT pos + (SELECT max(id) FROM ep), video_id, published_at, 'discovered', 0,
+               NULL, NULL, NULL, false FROM items),
+       queue AS (SELECT * FROM (SELECT *, row_number() OVER (
+               ORDER BY published_at DESC NULLS LAST, id DESC) AS place FROM state
+               WHERE status = 'discovered'
+                  OR (status = 'failed' AND NOT has_text AND attempts < 5)) WHERE place <= 200),
+       after AS (SELECT coalesce(m.new_status, s.status) AS status,
+               CASE WHEN m.id IS NULL THEN s.last_error ELSE coalesce(m.reason, m.error) END
+                 AS last_error,
+               CASE WHEN m.new_status = 'fetched' THEN TIMESTAMP '2024-02-01 12:30:00'
+                    ELSE s.fetched_at END AS fetched_at, s.distilled_at
+          FROM state s LEFT JOIN (SELECT moves.* FROM moves JOIN queue USING (video_id)) m
+            ON m.video_id = s.video_id)""",
+    f"""SELECT {_COMPLETED}, (SELECT count(*) FROM rn) AS runs_total,
+               (SELECT CAST(sum(episodes_discovered) AS BIGINT) FROM rn)
+                 + (SELECT count(*) FROM items) AS episodes_discovered,
+               (SELECT CAST(sum(reprocessed) AS BIGINT) FROM rn) AS reprocessed FROM after""",
+)
+def flagship(spark, sf):
+    return summary_after_pass(spark, sf)

@@ -145,7 +145,7 @@ def feed_source(spark, sf):
 def response_source(spark, sf):
     path = f"{workdir(spark)}/responses"
     land_responses(spark, sf, path)
-    answers = transcripts.classify(landed.read_responses(spark, path))
+    answers = transcripts.classify(landed.read_responses(spark, path), with_text=True)
     digest = F.sha2("text", 256).alias("digest")
     return answers.select("video_id", "http_status", "kind", "error", digest)
 

@@ -89,6 +89,17 @@ def _stage_run(store: StateStore, deltas: DataFrame, now: datetime) -> Write:
     )
 
 
+def _transitions(queue: DataFrame, responses: DataFrame, settings: Settings) -> DataFrame:
+    return transcripts.transitions(
+        queue,
+        responses,
+        settings.max_attempts,
+        settings.min_seconds,
+        settings.max_seconds,
+        settings.language_codes(),
+    )
+
+
 def fetch(
     store: StateStore,
     responses: DataFrame,
@@ -108,16 +119,8 @@ def fetch(
     if limit is None:
         queue = queue.join(responses.select("video_id"), "video_id", "left_semi")
     queue = store.stage(queue, "queue")
-    mine = responses.join(queue.select("video_id"), "video_id", "left_semi")
-    answers = transcripts.classify(mine, settings.language_codes())
     changes = store.stage(
-        _with_bucket(
-            transcripts.transitions(
-                queue, answers, settings.max_attempts, settings.min_seconds, settings.max_seconds
-            ),
-            queue,
-        ),
-        "transitions",
+        _with_bucket(_transitions(queue, responses, settings), queue), "transitions"
     )
     counts = store.stage(transcripts.pass_counts(changes), "counts")
     writes = {
@@ -256,17 +259,9 @@ def reset_and_refetch(
     touched = store.touched(chosen)
     state = ch.reset_full(store.read("episodes", touched), chosen.select("id"))
     since = responses.filter(F.col("received_at") >= F.lit(now.isoformat()).cast("timestamp"))
-    answers = transcripts.classify(
-        transcripts.newest_answer(since, chosen), settings.language_codes()
-    )
+    newest = transcripts.newest_answer(since, chosen)
     changes = store.stage(
-        _with_bucket(
-            transcripts.transitions(
-                chosen, answers, settings.max_attempts, settings.min_seconds, settings.max_seconds
-            ),
-            chosen,
-        ),
-        "transitions",
+        _with_bucket(_transitions(chosen, newest, settings), chosen), "transitions"
     )
     state = store.stage(
         transcripts.apply_transitions(state, changes.drop("bucket"), now), "refetched"

@@ -118,7 +118,6 @@ class StateStore:
             "tables": tables,
             "applied": {**current["applied"], **(applied or {})},
         }
-        self.spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(
-            1
-        ).write.mode("overwrite").text(f"{self.root}/commits/c={version:010d}")
+        line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(record)).alias("value"))
+        line.write.mode("overwrite").text(f"{self.root}/commits/c={version:010d}")
         return version
