@@ -119,7 +119,8 @@ def within_lookback(
 ) -> DataFrame:
     """Published on or after ``as_of - lookback_days``, or at an unknown time."""
     floor = moment(items, "published_at", as_of - timedelta(days=lookback_days))
-    return items.filter(F.col("published_at").isNull() | (F.col("published_at") >= floor))
+    # one mention of the column: its parsing would be repeated for every mention
+    return items.filter(F.coalesce("published_at", floor) >= floor)
 
 
 def first_wins(items: DataFrame) -> DataFrame:

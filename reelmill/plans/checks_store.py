@@ -4,7 +4,6 @@ Landed documents and stored state are derived from the given tables and written
 to the shared folder; each run uses a new directory of its own.
 """
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
@@ -20,7 +19,7 @@ from reelmill.plans.checks_reads import _RUN
 from reelmill.plans.checks_state import _KNOWN, _REQUEST, RUN_DATE, _after
 from reelmill.plans.oracle import hashed, with_tables
 from reelmill.sources import landed, outbox
-from reelmill.sources.store import StateStore, Write, shared_dir
+from reelmill.sources.store import StateStore, Write, work_dir
 from reelmill.streaming import jobs as streams
 
 QUERIES: dict = {}
@@ -40,10 +39,6 @@ def query(name: str, tables: str = "", sql: str | None = None, more: str = ""):
     return register
 
 
-def workdir(spark) -> str:
-    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex[:12]}"
-
-
 # -- landing ------------------------------------------------------------------------
 
 #: Entries per landed feed document: no document grows with its channel.
@@ -90,7 +85,7 @@ def _stored(rows: DataFrame, name: str) -> list:
 
 def seeded(spark, sf, episodes: DataFrame | None = None, buckets: int = 8) -> StateStore:
     """A store holding the fixture state."""
-    store = StateStore(spark, f"{workdir(spark)}/state", buckets)
+    store = StateStore(spark, f"{work_dir(spark)}/state", buckets)
     full = fx.episodes(spark, sf, text=True) if episodes is None else episodes
     in_bucket = full.withColumn("bucket", store.bucket_of(F.col("video_id")))
     writes = {"episodes": Write(in_bucket.select(*_stored(full, "episodes"), "bucket"))}
@@ -121,7 +116,7 @@ _ITEM = "video_id, channel_slug, title, source_url, thumbnail_url, description,
 
 @query("s1_feed_source", "items", f"SELECT {_ITEM}, pos FROM items")
 def feed_source(spark, sf):
-    path = f"{workdir(spark)}/feeds"
+    path = f"{work_dir(spark)}/feeds"
     land_feeds(spark, sf, path)
     targets = discovery.with_channel_ref(discovery.channel_targets(spark, fx.CHANNELS))
     rows = landed.feed_rows(landed.read_feeds(spark, path))
@@ -143,7 +138,7 @@ def feed_source(spark, sf):
          FROM answers a LEFT JOIN flat f ON f.doc_id = a.doc_id""",
 )
 def response_source(spark, sf):
-    path = f"{workdir(spark)}/responses"
+    path = f"{work_dir(spark)}/responses"
     land_responses(spark, sf, path)
     answers = transcripts.classify(landed.read_responses(spark, path), with_text=True)
     digest = F.sha2("text", 256).alias("digest")
@@ -156,7 +151,7 @@ def response_source(spark, sf):
     """SELECT job_id, kind, error, CASE WHEN kind = 'ok' THEN 'sum ' || d END AS summary FROM jobs""",
 )
 def job_source(spark, sf):
-    path = f"{workdir(spark)}/jobs"
+    path = f"{work_dir(spark)}/jobs"
     land_jobs(spark, sf, path)
     classified = distill.classify_jobs(landed.read_jobs(spark, path))
     return classified.select("job_id", "kind", "error", "summary")
@@ -172,7 +167,7 @@ def job_source(spark, sf):
 )
 def request_outbox(spark, sf):
     """Every text written as a request document and read back."""
-    path = f"{workdir(spark)}/outbox"
+    path = f"{work_dir(spark)}/outbox"
     full = fx.episodes(spark, sf, text=True).filter(F.col("raw_text").isNotNull())
     rows = full.select(distill.job_id_for("b1").alias("job_id"), distill.request_json().alias("request"))
     outbox.write_requests(rows, path, "b1")

@@ -40,9 +40,9 @@ class Settings:
 Applied = dict[str, int] | None
 
 
-def _run_write(store: StateStore, rows: DataFrame) -> Write:
+def _run_write(rows: DataFrame) -> Write:
     """The run table is one row per date: a single bucket."""
-    return Write(store.stage(rows.drop("bucket"), "runs").withColumn("bucket", F.lit(0)), [0])
+    return Write(rows.withColumn("bucket", F.lit(0)), [0])
 
 
 def _with_bucket(rows: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def discover(
     counts = store.stage(discovery.discovery_counts(items, fresh), "counts")
     updated = runs.discovery_run(store.read("ingest_runs").drop("bucket"), counts, run_date, now)
     store.commit(
-        {"episodes": Write(fresh), "ingest_runs": _run_write(store, updated)}, applied
+        {"episodes": Write(fresh), "ingest_runs": _run_write(updated)}, applied
     )
     return counts
 
@@ -84,9 +84,8 @@ def _episode_write(store: StateStore, changes: DataFrame, apply) -> Write:
 
 
 def _stage_run(store: StateStore, deltas: DataFrame, now: datetime) -> Write:
-    return _run_write(
-        store, runs.add_counters(store.read("ingest_runs").drop("bucket"), deltas, now)
-    )
+    stored = store.read("ingest_runs").drop("bucket")
+    return _run_write(runs.add_counters(stored, deltas, now))
 
 
 def _transitions(queue: DataFrame, responses: DataFrame, settings: Settings) -> DataFrame:
@@ -415,5 +414,5 @@ def run_chain(
     submitted = submit(store, outbox, batch, now, run_date, settings, record=False)
     result = store.stage(runs.chain_result(found, fetched, submitted), "chain")
     updated = runs.chain_run(store.read("ingest_runs").drop("bucket"), result, run_date, now)
-    store.commit({"ingest_runs": _run_write(store, updated)})
+    store.commit({"ingest_runs": _run_write(updated)})
     return result

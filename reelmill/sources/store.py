@@ -8,6 +8,8 @@ overwritten while it is read. One writer at a time.
 
 import json
 import tempfile
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="reelmill-")
 
 
+def work_dir(spark: SparkSession) -> str:
+    """A new directory below the shared folder."""
+    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex[:12]}"
+
+
 @dataclass
 class Write:
     """Rows for one table: added, or replacing everything in ``buckets``."""
@@ -100,13 +107,16 @@ class StateStore:
         current = self.pointer()
         version = current["version"] + 1
         tables = {name: dict(dirs) for name, dirs in current["tables"].items()}
-        for name, write in writes.items():
-            rows = write.rows.select(*schemas.TABLES[name].names, "bucket")
-            target = f"{self.root}/{name}/v={version:08d}"
+
+        def put(name: str) -> None:
+            rows = writes[name].rows.select(*schemas.TABLES[name].names, "bucket")
             # few, even files per bucket whatever the join before it did
-            rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
-                "bucket"
-            ).parquet(target)
+            even = rows.hint("rebalance", "bucket").write.mode("overwrite")
+            even.partitionBy("bucket").parquet(f"{self.root}/{name}/v={version:08d}")
+
+        with ThreadPoolExecutor(max(len(writes), 1)) as pool:
+            list(pool.map(put, writes))
+        for name, write in writes.items():
             dirs = tables.setdefault(name, {})
             for bucket in write.buckets or []:
                 dirs.pop(str(bucket), None)
