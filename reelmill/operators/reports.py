@@ -3,7 +3,7 @@
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmill.functions.times import in_date_range
@@ -22,12 +22,19 @@ class Page(NamedTuple):
 
 
 def _paged(rows: DataFrame, order: list[Column], page: int | None, page_size: int | None):
-    ordered = rows.orderBy(*order)
+    """The rows of a page; all rows, in no order, when no page is asked for."""
     if page is None and page_size is None:
-        return ordered
+        return rows
     size = max(page_size or DEFAULT_PAGE_SIZE, 1)
     skip = (max(page or 1, 1) - 1) * size
-    return ordered.offset(skip).limit(size) if skip else ordered.limit(size)
+    top = rows.orderBy(*order).limit(skip + size)
+    if not skip:
+        return top
+    # Not OFFSET: adaptive execution loses a sort that follows offset and a join
+    # whose other side turns out empty. The rows up to the page are in one task
+    # either way.
+    place = F.row_number().over(Window.orderBy(*order))
+    return top.withColumn("place", place).filter(F.col("place") > skip).drop("place")
 
 
 # -- runs -------------------------------------------------------------------
@@ -61,7 +68,8 @@ def list_runs(
     if to_date:
         wanted = wanted.filter(F.col("run_date") <= F.lit(to_date))
     total = wanted.agg(F.count("*").alias("total"))
-    return Page(_paged(wanted, [F.col("run_date").desc()], page, page_size), total)
+    order = [F.col("run_date").desc()]
+    return Page(_paged(wanted, order, page, page_size).orderBy(*order), total)
 
 
 def stats(runs: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -181,7 +189,7 @@ def with_summaries(page_rows: DataFrame, distillations: DataFrame) -> DataFrame:
     current = distillations.filter("is_current").select(
         F.col("episode_id").alias("id"), "summary"
     )
-    return page_rows.join(current, "id", "left")
+    return page_rows.join(current, "id", "left").orderBy(*newest_first())
 
 
 def episodes_by_id(episodes: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
