@@ -139,7 +139,7 @@ def reset_for_reprocess(episodes: DataFrame, changes: DataFrame) -> DataFrame:
 def reset_full(episodes: DataFrame, changes: DataFrame) -> DataFrame:
     """U7. ``changes``: id. Attempts and duration are kept."""
     cleared = (
-        "raw_text raw_char_count content_hash transcript_language transcript_source "
+        "raw_text raw_char_count text_version content_hash transcript_language transcript_source "
         "last_error distill_job_id fetched_at distilled_at"
     ).split()
     return update_rows(

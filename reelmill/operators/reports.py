@@ -222,7 +222,7 @@ def episode_detail(episodes: DataFrame, distillations: DataFrame, ids: DataFrame
 
 def with_text(episodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Add ``raw_text`` to stored episode rows (the version the row shows)."""
-    stored = texts.select("id", "fetched_at", "raw_text")
-    return episodes.join(stored, ["id", "fetched_at"], "left").select(
+    stored = texts.select("id", "text_version", "raw_text")
+    return episodes.join(stored, ["id", "text_version"], "left").select(
         *episodes.columns, "raw_text"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelmill.functions.times import moment
 from reelmill.operators.changes import new, update_rows
-from reelmill.schemas import INGEST_RUNS, RUN_COUNTERS
+from reelmill.schemas import RUN_COUNTERS
 
 NOTE_ERROR_CHARS = 500
 
@@ -72,43 +72,105 @@ def finish_runs(runs: DataFrame, finishes: DataFrame, now: datetime) -> DataFram
     )
 
 
-def on_date(counts: DataFrame, run_date: date) -> DataFrame:
-    """Attach the run date to a one-row counter frame."""
-    return counts.withColumn("run_date", F.lit(run_date))
+def _one(counts: DataFrame, column: str) -> Column:
+    """A number of a one-row counter frame, as a scalar subquery."""
+    return counts.select(column).scalar()
+
+
+def update_run(
+    runs: DataFrame, run_date: date, now: datetime, assign: dict[str, Column]
+) -> DataFrame:
+    """R2, R3 for a single date: a projection, no join."""
+    hit = F.col("run_date") == F.lit(run_date)
+    stamps = {"updated_at": _stamp(runs, now), "last_heartbeat": _stamp(runs, now)}
+    values = {**assign, **stamps}
+    return runs.select(
+        *[
+            F.when(hit, values[f.name]).otherwise(F.col(f.name))
+            .cast(f.dataType.simpleString())
+            .alias(f.name)
+            if f.name in values
+            else F.col(f.name)
+            for f in runs.schema.fields
+        ]
+    )
+
+
+def start_run(runs: DataFrame, run_date: date, now: datetime) -> DataFrame:
+    """R1 for a single date."""
+    dates = runs.sparkSession.createDataFrame([(run_date,)], "run_date date")
+    missing = dates.join(runs.select("run_date"), "run_date", "left_anti")
+    stamp = _stamp(runs, now)
+    values = {
+        "run_date": F.col("run_date"),
+        "status": F.lit("running"),
+        "created_at": stamp,
+        **{c: F.lit(0) for c in RUN_COUNTERS},
+    }
+    added = missing.select(
+        *[
+            values.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name)
+            for f in runs.schema.fields
+        ]
+    )
+    return update_run(runs.unionByName(added), run_date, now, {"status": F.lit("running")})
 
 
 def discovery_run(
     runs: DataFrame, counts: DataFrame, run_date: date, now: datetime
 ) -> DataFrame:
     """A finished discovery pass; ``counts`` has crawled and new."""
-    dated = on_date(counts, run_date)
-    notes = F.to_json(F.struct("crawled", "new"))
-    started = start_runs(runs, dated, now)
-    counted = add_counters(started, dated.withColumnRenamed("new", "episodes_discovered"), now)
-    finish = dated.select("run_date", F.lit("success").alias("status"), notes.alias("notes"))
-    return finish_runs(counted, finish, now)
+    notes = counts.select(F.to_json(F.struct("crawled", "new")).alias("notes"))
+    return update_run(
+        start_run(runs, run_date, now),
+        run_date,
+        now,
+        {
+            "episodes_discovered": F.col("episodes_discovered") + _one(counts, "new"),
+            "status": F.lit("success"),
+            "notes": _one(notes, "notes"),
+        },
+    )
 
 
 def failed_discovery_run(
     runs: DataFrame, run_date: date, error: str, now: datetime
 ) -> DataFrame:
     """A discovery pass that could not read its feeds."""
-    spark = runs.sparkSession
-    dated = spark.range(1).select(F.lit(run_date).alias("run_date"), F.lit(1).alias("failures"))
-    counted = add_counters(start_runs(runs, dated, now), dated, now)
-    note = F.to_json(F.struct(F.lit(error[:NOTE_ERROR_CHARS]).alias("error")))
-    finish = dated.select("run_date", F.lit("failed").alias("status"), note.alias("notes"))
-    return finish_runs(counted, finish, now)
+    return update_run(
+        start_run(runs, run_date, now),
+        run_date,
+        now,
+        {
+            "failures": F.col("failures") + 1,
+            "status": F.lit("failed"),
+            "notes": F.to_json(F.struct(F.lit(error[:NOTE_ERROR_CHARS]).alias("error"))),
+        },
+    )
 
 
-def stage_deltas(counts: DataFrame, run_date: date, *names: str) -> DataFrame:
-    """The run delta of one pass: the named counters and its failures.
+def record_stage(
+    runs: DataFrame, counts: DataFrame, run_date: date, now: datetime, *names: str
+) -> DataFrame:
+    """Add the named counters and the failures of one pass to its run.
 
-    A pass that counted nothing writes nothing.
+    A pass that counted nothing writes nothing, not even a heartbeat.
     """
     total = sum((F.col(c) for c in counts.columns), F.lit(0))
     used = [c for c in (*names, "failures") if c in counts.columns]
-    return on_date(counts.filter(total > 0).select(*used), run_date)
+    counted = _one(counts.select(total.alias("total")), "total") > 0
+    added = {c: F.col(c) + _one(counts, c) for c in used}
+    stamps = {c: _stamp(runs, now) for c in ("updated_at", "last_heartbeat")}
+    values = {
+        c: F.when(counted, v).otherwise(F.col(c)) for c, v in {**added, **stamps}.items()
+    }
+    hit = F.col("run_date") == F.lit(run_date)
+    return runs.select(
+        *[
+            F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+            for c in runs.columns
+        ]
+    )
 
 
 def chain_result(discovered: DataFrame, fetched: DataFrame, submitted: DataFrame) -> DataFrame:
@@ -117,28 +179,27 @@ def chain_result(discovered: DataFrame, fetched: DataFrame, submitted: DataFrame
     Submitting collects nothing, so the chain has no ``distilled`` of its own.
     """
 
-    def one(frame: DataFrame, column: str) -> Column:
-        return frame.select(column).scalar()
-
     return discovered.select(
         F.col("new").alias("episodes_discovered"),
-        one(fetched, "transcripts_fetched").alias("transcripts_fetched"),
-        one(fetched, "skipped").alias("skipped"),
-        one(fetched, "unavailable").alias("unavailable"),
-        one(submitted, "submitted").alias("submitted"),
-        (one(fetched, "failures") + one(submitted, "failures")).alias("failures"),
+        _one(fetched, "transcripts_fetched").alias("transcripts_fetched"),
+        _one(fetched, "skipped").alias("skipped"),
+        _one(fetched, "unavailable").alias("unavailable"),
+        _one(submitted, "submitted").alias("submitted"),
+        (_one(fetched, "failures") + _one(submitted, "failures")).alias("failures"),
     ).withColumn("status", F.when(F.col("failures") > 0, "partial").otherwise("success"))
 
 
 def chain_run(runs: DataFrame, result: DataFrame, run_date: date, now: datetime) -> DataFrame:
     """Add the chain's counters (discovery has added its own) and finish."""
-    dated = on_date(result, run_date)
-    counted = add_counters(
-        runs, dated.select("run_date", "transcripts_fetched", "failures"), now
+    fields = [c for c in result.columns if c != "status"]
+    notes = result.select(F.to_json(F.struct(*fields)).alias("notes"))
+    return update_run(
+        runs,
+        run_date,
+        now,
+        {
+            **{c: F.col(c) + _one(result, c) for c in ("transcripts_fetched", "failures")},
+            "status": _one(result, "status"),
+            "notes": _one(notes, "notes"),
+        },
     )
-    notes = F.to_json(F.struct(*[c for c in result.columns if c != "status"]))
-    return finish_runs(counted, dated.select("run_date", "status", notes.alias("notes")), now)
-
-
-def empty_runs(spark) -> DataFrame:
-    return spark.createDataFrame([], INGEST_RUNS)

@@ -89,20 +89,19 @@ def classify(
     ``kind`` is ok, unavailable, transient or error. The answer rows are narrow;
     the transcript itself is only built when it is asked for.
     """
-    codes = F.array_join(normalise_languages(languages if languages is not None else F.array()), ",")
+    asked = languages if languages is not None else F.array()
+    codes = F.array_join(normalise_languages(asked), ",")
     answered = F.col("http_status") == 200
     captions = F.col("payload.transcript.text")
     read = with_digest(responses).select(
         *ANSWER,
         "http_status",
         "body",
-        codes.alias("codes"),
         parse_body(F.col("body")).alias("payload"),
     )
     read = read.select(
         *ANSWER,
         "http_status",
-        "codes",
         (answered & F.coalesce(F.exists(captions, has_content), F.lit(False))).alias("ok"),
         F.col("payload.language").alias("language"),
         whole_seconds(F.col("payload.length_seconds")).alias("length_seconds"),
@@ -117,7 +116,7 @@ def classify(
         .otherwise("error")
     )
     # The error texts; reports recognise them by their beginning.
-    missing = F.format_string("transcript unavailable for %s (%s)", "video_id", "codes")
+    missing = F.format_string("transcript unavailable for %s (%s)", "video_id", codes)
     provider = F.format_string(
         "transcriptapi %s for %s: %s", F.col("http_status").cast("string"), "video_id", "detail"
     )
@@ -281,8 +280,9 @@ def apply_transitions(episodes: DataFrame, changes: DataFrame, now: datetime) ->
                 "content_hash",
                 "transcript_language",
                 "transcript_source",
+                "text_version",
             )
-            if c in episodes.columns
+            if c in episodes.columns and c in changes.columns
         },
     }
     if "raw_text" not in episodes.columns:

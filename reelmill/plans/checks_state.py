@@ -672,8 +672,10 @@ def full_chain(spark, sf):
 )
 def stage_accounting(spark, sf):
     counts = transcripts.pass_counts(_moves(spark, sf))
-    deltas = runs.stage_deltas(counts, RUN_DATE, "transcripts_fetched")
-    return runs.add_counters(fx.ingest_runs(spark, sf), deltas, NOW).select(*_RUN_ROW)
+    updated = runs.record_stage(
+        fx.ingest_runs(spark, sf), counts, RUN_DATE, NOW, "transcripts_fetched"
+    )
+    return updated.select(*_RUN_ROW)
 
 
 @query_with(

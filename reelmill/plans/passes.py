@@ -83,13 +83,18 @@ def _episode_write(store: StateStore, changes: DataFrame, apply) -> Write:
     return Write(apply(state, changes.drop("bucket")), touched)
 
 
-def _stage_run(store: StateStore, deltas: DataFrame, now: datetime) -> Write:
+def _stage_run(
+    store: StateStore, counts: DataFrame, run_date: date, now: datetime, *names: str
+) -> Write:
     stored = store.read("ingest_runs").drop("bucket")
-    return _run_write(runs.add_counters(stored, deltas, now))
+    return _run_write(runs.record_stage(stored, counts, run_date, now, *names))
 
 
-def _transitions(queue: DataFrame, responses: DataFrame, settings: Settings) -> DataFrame:
-    return transcripts.transitions(
+def _transitions(
+    store: StateStore, queue: DataFrame, responses: DataFrame, settings: Settings
+) -> DataFrame:
+    """Staged change rows with the bucket and the version of their text."""
+    changes = transcripts.transitions(
         queue,
         responses,
         settings.max_attempts,
@@ -97,6 +102,9 @@ def _transitions(queue: DataFrame, responses: DataFrame, settings: Settings) ->
         settings.max_seconds,
         settings.language_codes(),
     )
+    version = F.when(F.col("raw_text").isNotNull(), F.lit(store.pointer()["version"] + 1))
+    numbered = changes.withColumn("text_version", version.cast("bigint"))
+    return store.stage(_with_bucket(numbered, queue), "transitions")
 
 
 def fetch(
@@ -118,26 +126,23 @@ def fetch(
     if limit is None:
         queue = queue.join(responses.select("video_id"), "video_id", "left_semi")
     queue = store.stage(queue, "queue")
-    changes = store.stage(
-        _with_bucket(_transitions(queue, responses, settings), queue), "transitions"
-    )
+    changes = _transitions(store, queue, responses, settings)
     counts = store.stage(transcripts.pass_counts(changes), "counts")
     writes = {
         "episodes": _episode_write(
             store, changes, lambda s, c: transcripts.apply_transitions(s, c, now)
         ),
-        "texts": Write(_new_texts(changes, now)),
+        "texts": Write(_new_texts(changes)),
     }
     if record:
-        deltas = runs.stage_deltas(counts, run_date, "transcripts_fetched")
-        writes["ingest_runs"] = _stage_run(store, deltas, now)
+        writes["ingest_runs"] = _stage_run(store, counts, run_date, now, "transcripts_fetched")
     store.commit(writes, applied)
     return counts
 
 
-def _new_texts(changes: DataFrame, now: datetime) -> DataFrame:
-    stamp = F.lit(now.isoformat()).cast("timestamp").alias("fetched_at")
-    return changes.filter(F.col("raw_text").isNotNull()).select("id", stamp, "raw_text", "bucket")
+def _new_texts(changes: DataFrame) -> DataFrame:
+    fetched = changes.filter(F.col("raw_text").isNotNull())
+    return fetched.select("id", "text_version", "raw_text", "bucket")
 
 
 def _requests(store: StateStore, submitted: DataFrame, settings: Settings) -> DataFrame:
@@ -188,7 +193,7 @@ def _submit_rows(
     writes = {"episodes": _episode_write(store, changes, distill.apply_submissions)}
     if recorded:
         run_date, now = recorded
-        writes["ingest_runs"] = _stage_run(store, runs.stage_deltas(counts, run_date), now)
+        writes["ingest_runs"] = _stage_run(store, counts, run_date, now)
     store.commit(writes)
     return counts
 
@@ -226,14 +231,13 @@ def collect(
     highest = store.read("distillations").select("id")
     merged = distill.upsert_results(stored, batch, now, highest)
     known = store.read("episodes", touched).select(F.col("id").alias("episode_id"), "bucket")
-    deltas = runs.stage_deltas(counts, run_date, "distilled")
     store.commit(
         {
             "episodes": _episode_write(
                 store, results, lambda s, c: distill.apply_collected(s, c, now)
             ),
             "distillations": Write(merged.join(known, "episode_id"), touched),
-            "ingest_runs": _stage_run(store, deltas, now),
+            "ingest_runs": _stage_run(store, counts, run_date, now, "distilled"),
         },
         applied,
     )
@@ -259,9 +263,7 @@ def reset_and_refetch(
     state = ch.reset_full(store.read("episodes", touched), chosen.select("id"))
     since = responses.filter(F.col("received_at") >= F.lit(now.isoformat()).cast("timestamp"))
     newest = transcripts.newest_answer(since, chosen)
-    changes = store.stage(
-        _with_bucket(_transitions(chosen, newest, settings), chosen), "transitions"
-    )
+    changes = _transitions(store, chosen, newest, settings)
     state = store.stage(
         transcripts.apply_transitions(state, changes.drop("bucket"), now), "refetched"
     )
@@ -272,7 +274,7 @@ def reset_and_refetch(
     store.commit(
         {
             "episodes": Write(ch.delete_episodes(state, gone), touched),
-            "texts": Write(_new_texts(changes, now)),
+            "texts": Write(_new_texts(changes)),
             "distillations": Write(
                 ch.delete_results(store.read("distillations", lost), gone), lost
             ),

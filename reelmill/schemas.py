@@ -33,7 +33,8 @@ _L, _I, _S, _T, _B = LongType(), IntegerType(), StringType(), TimestampType(), B
 
 #: Episode head rows. The transcript text lives in TEXTS, so a status change
 #: never rewrites or shuffles it; ``raw_char_count`` is stored when the text is
-#: and is null exactly when there is no text.
+#: and is null exactly when there is no text. ``text_version`` names the TEXTS
+#: row that the episode shows.
 EPISODES = _fields(
     ("id", _L, False),
     ("video_id", _S, False),
@@ -48,6 +49,7 @@ EPISODES = _fields(
     ("transcript_source", _S, True),
     ("content_hash", _S, True),
     ("raw_char_count", _I, True),
+    ("text_version", _L, True),
     ("status", _S, False),
     ("attempts", _I, False),
     ("distill_attempts", _I, False),
@@ -58,9 +60,9 @@ EPISODES = _fields(
     ("distilled_at", _T, True),
 )
 
-#: One row per stored transcript; (id, fetched_at) names the version that the
-#: episode row with the same pair is showing.
-TEXTS = _fields(("id", _L, False), ("fetched_at", _T, False), ("raw_text", _S, False))
+#: One row per stored transcript. Rows are only added; a version is the number
+#: of the commit that stored it.
+TEXTS = _fields(("id", _L, False), ("text_version", _L, False), ("raw_text", _S, False))
 
 DISTILLATIONS = _fields(
     ("id", _L, False),

@@ -481,8 +481,16 @@ def test_chain_is_partial_when_something_failed(spark):
 
 
 def test_empty_pass_writes_no_delta(spark):
-    counts = spark.createDataFrame([(0, 0)], "distilled long, failures long")
-    assert runs.stage_deltas(counts, DAY, "distilled").count() == 0
+    before = run_rows(spark, {"run_date": DAY})
+
+    def after(*counts):
+        frame = spark.createDataFrame([counts], "distilled long, pending long")
+        row = runs.record_stage(before, frame, DAY, NOW, "distilled").first()
+        return row.distilled, row.last_heartbeat
+
+    assert after(0, 0) == (0, None)
+    assert after(0, 2) == (0, NOW)
+    assert after(3, 0) == (3, NOW)
 
 
 def test_stats_without_runs(spark):
