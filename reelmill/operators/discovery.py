@@ -134,11 +134,16 @@ def first_wins(items: DataFrame) -> DataFrame:
     return items.groupBy("video_id").agg(first).select("video_id", "first.*")
 
 
-def newest(items: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """The newest ``max_items``, ties in feed order."""
-    return items.orderBy(F.col("published_at").desc_nulls_last(), *_feed_order(items)).limit(
-        max_items
-    )
+def newest_feed_order(items: DataFrame) -> list:
+    """Newest first, ties in feed order."""
+    return [F.col("published_at").desc_nulls_last(), *_feed_order(items), F.col("video_id")]
+
+
+def newest(items: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
+    """The newest ``max_items``, ties in feed order; None (a bulk load) keeps all."""
+    if max_items is None:
+        return items
+    return items.orderBy(*newest_feed_order(items)).limit(max_items)
 
 
 def unseen(items: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -164,9 +169,7 @@ def new_episodes(items: DataFrame, episodes: DataFrame, now: datetime) -> DataFr
     it; :func:`number_bulk` is the form for whole loads.
     """
     fresh = unseen(items, episodes)
-    place = Window.orderBy(
-        F.col("published_at").desc_nulls_last(), *_feed_order(items), F.col("video_id")
-    )
+    place = Window.orderBy(*newest_feed_order(items))
     numbered = fresh.withColumn("id", F.row_number().over(place) - 1 + next_id(episodes))
     return as_discovered(numbered, now)
 

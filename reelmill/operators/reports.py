@@ -170,8 +170,7 @@ def list_episodes(
     """Newest first, with text and result sizes.
 
     The page is cut first and then enriched: the left join on the current
-    result adds at most one row per episode, so it cannot change the page, and
-    only the page's results are looked up.
+    result adds at most one row per episode, so it cannot change the page.
     """
     wanted = episodes.filter(in_date_range(episodes, "published_at", from_date, to_date))
     if status:
@@ -180,13 +179,25 @@ def list_episodes(
         wanted = wanted.withColumn("raw_char_count", F.length("raw_text"))
     total = wanted.agg(F.count("*").alias("total"))
     page_rows = _paged(wanted.drop("raw_text"), newest_first(), page, page_size)
+    if page is not None or page_size is not None:
+        distillations = _of_page(distillations, page_rows)
     enriched = page_rows.join(_result_sizes(distillations), "id", "left")
     return Page(enriched.orderBy(*newest_first()), total)
 
 
+def _of_page(distillations: DataFrame, page_rows: DataFrame) -> DataFrame:
+    """The results of a page's episodes.
+
+    The side that a left join keeps cannot be broadcast, so the page is used to
+    filter the results first: a semi join that leaves the result table in place.
+    """
+    ids = page_rows.select(F.col("id").alias("episode_id"))
+    return distillations.join(ids, "episode_id", "left_semi")
+
+
 def with_summaries(page_rows: DataFrame, distillations: DataFrame) -> DataFrame:
     """The current summary of each row of a page."""
-    current = distillations.filter("is_current").select(
+    current = _of_page(distillations, page_rows).filter("is_current").select(
         F.col("episode_id").alias("id"), "summary"
     )
     return page_rows.join(current, "id", "left").orderBy(*newest_first())

@@ -103,18 +103,19 @@ def totals(spark, sf):
 
 # -- counts -------------------------------------------------------------------
 
-_COMPLETED = """
+# The error bucket of an episode; a row without an error has none.
+_BUCKET = """CASE
+    WHEN starts_with(lower(last_error), 'transcript unavailable for')
+      OR starts_with(lower(last_error), 'no transcript available for') THEN 'none'
+    WHEN regexp_matches(lower(last_error), '^below .* minimum') THEN 'short'
+    WHEN regexp_matches(lower(last_error), '^above .* maximum') THEN 'long'
+    WHEN last_error IS NOT NULL THEN 'other' END"""
+_COMPLETED = f"""
     count(*) AS episodes_total, count(fetched_at) AS transcripts_fetched,
     count(distilled_at) AS distilled,
-    count(*) FILTER (WHERE status = 'failed'
-        AND lower(last_error) NOT LIKE 'transcript unavailable for%'
-        AND lower(last_error) NOT LIKE 'no transcript available for%'
-        AND lower(last_error) NOT LIKE 'below % minimum%'
-        AND lower(last_error) NOT LIKE 'above % maximum%') AS failures,
-    count(*) FILTER (WHERE status = 'skipped' AND lower(last_error) LIKE 'below % minimum%')
-        AS duration_too_short,
-    count(*) FILTER (WHERE lower(last_error) LIKE 'transcript unavailable for%'
-        OR lower(last_error) LIKE 'no transcript available for%') AS transcript_unavailable"""
+    count(CASE WHEN status = 'failed' AND {_BUCKET} = 'other' THEN 1 END) AS failures,
+    count(CASE WHEN status = 'skipped' AND {_BUCKET} = 'short' THEN 1 END) AS duration_too_short,
+    count(CASE WHEN {_BUCKET} = 'none' THEN 1 END) AS transcript_unavailable"""
 
 
 @query("r12_completed_counts", "ep", f"SELECT {_COMPLETED} FROM ep")

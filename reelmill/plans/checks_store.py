@@ -311,7 +311,7 @@ def incremental_discovery(spark, sf):
     store = seeded(spark, sf, known)
     path = f"{store.root}/feeds"
     land_feeds(spark, sf, path)
-    everything = passes.Settings(max_items=100_000)
+    everything = passes.Settings(max_items=None)
     run_date = datetime(2024, 3, 1).date()
     for name in ("discover", "again"):
         streams.discover(

@@ -23,7 +23,7 @@ class Settings:
     """What a deployment configures. The defaults."""
 
     lookback_days: int = discovery.LOOKBACK_DAYS
-    max_items: int = discovery.MAX_ITEMS
+    max_items: int | None = discovery.MAX_ITEMS
     limit: int = queues.PASS_LIMIT
     max_attempts: int = queues.MAX_ATTEMPTS
     max_distill_attempts: int = queues.MAX_DISTILL_ATTEMPTS
@@ -66,7 +66,19 @@ def discover(
     items = store.stage(
         discovery.newest(discovery.first_wins(recent), settings.max_items), "items"
     )
-    fresh = discovery.new_episodes(items, store.read("episodes"), now)
+    known = store.read("episodes")
+    if settings.max_items is None:
+        fresh = discovery.as_discovered(
+            discovery.number_bulk(
+                discovery.unseen(items, known),
+                discovery.newest_feed_order(items),
+                discovery.next_id(known),
+                store.staging("bulk"),
+            ),
+            now,
+        )
+    else:
+        fresh = discovery.new_episodes(items, known, now)
     fresh = store.stage(fresh.withColumn("bucket", store.bucket_of(F.col("video_id"))), "fresh")
     counts = store.stage(discovery.discovery_counts(items, fresh), "counts")
     updated = runs.discovery_run(store.read("ingest_runs").drop("bucket"), counts, run_date, now)

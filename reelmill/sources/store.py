@@ -88,13 +88,17 @@ class StateStore:
 
     # -- write --------------------------------------------------------------
 
+    def staging(self, label: str) -> str:
+        """Where an intermediate result of the coming version goes."""
+        return f"{self.root}/_staged/v={self.pointer()['version'] + 1}/{label}"
+
     def stage(self, rows: DataFrame, label: str) -> DataFrame:
         """Write an intermediate result and read it back.
 
         Cuts the lineage in the shared folder and gives the planner the exact
         size, so small change sets are broadcast and large ones are not.
         """
-        path = f"{self.root}/_staged/v={self.pointer()['version'] + 1}/{label}"
+        path = self.staging(label)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
