@@ -6,16 +6,15 @@
    (optimal densification). 64 bands of 4 bins are the bucket keys; one bit of
    every bin makes a 256-bit sketch.
 2. Texts with one shingle set become one node, so copies cost nothing further.
-3. Members of a bucket are paired with its least id only. A pair whose sketches are
-   too far apart is left out (long sets only: their sketch is exact enough); every
-   other pair is confirmed on the full shingle sets, as strings.
-4. Confirmed pairs are joined into components. In each further round every bucket
-   that still spans several components gets a new random centre, paired with the
-   members of other components; rounds end when one brings no new link.
+3. Members of a bucket are paired with its three centres only, so pairs grow with the
+   members, not with their square. A pair whose sketches are too far apart is left
+   out (long sets only: their sketch is exact enough); every other pair is confirmed
+   on the full shingle sets, as strings.
+4. Confirmed pairs are joined into components.
 
 Two texts at a similarity of 0.8 meet in about 26 of the 64 bands, so that most
 links are found many times over; a star loses a link only where in each of these
-buckets both texts are far from every centre so far. ``tests/llm`` measures it
+buckets both texts are far from all three centres. ``tests/llm`` measures it
 against all pairs.
 
 Defined cases: null or blank text has no shingles and no link; fewer words than
@@ -44,13 +43,14 @@ class Near:
 
     Sets of at least ``sketched`` shingles are compared by sketch first and dropped
     beyond ``most_bits`` differing bits of 256: 64 stands for a similarity of 0.5,
-    more than five deviations below 0.8.
+    more than five deviations below 0.8. ``centres`` members of a bucket meet all others.
     """
 
     size: int = 5
     percent: int = 80
     sketched: int = 128
     most_bits: int = 64
+    centres: int = 3
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -175,7 +175,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, how: Near, part: int = 500) ->
             F.col("a").alias("doc_id"),
         )
     )
-    moved = docs.select(F.col("doc_id").cast("long"), "text").join(sides, "doc_id").drop("doc_id")
+    # by merge at every size: how many texts take part grows with the corpus
+    moved = docs.select(F.col("doc_id").cast("long"), "text").join(sides.hint("merge"), "doc_id").drop("doc_id")
     moved = moved.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def run(batches):
@@ -235,54 +236,40 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link_nodes(nodes: DataFrame, docs: DataFrame, how: Near) -> tuple[DataFrame, DataFrame]:
-    """Confirmed links (a, b) of the nodes and their components (node, component)."""
+def candidates(nodes: DataFrame, how: Near) -> DataFrame:
+    """a, b: pairs of a bucket's centre and another member that pass the sketches.
+
+    A bucket has ``how.centres`` centres: its least id, and its least ids under as many
+    hashes as are left. All buckets order ids alike, so a group that meets in many
+    buckets has the same few centres in most of them and its pairs fall together.
+    """
+    order = [F.col("id"), *(F.xxhash64("id", F.lit(k)) for k in range(1, how.centres))]
     members = nodes.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
-    centres = members.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n"))
-    # all members of buckets that hold at least two; only their narrow ids go on
-    crowded = staged(
-        members.join(centres.filter("n > 1"), "bucket").select("bucket", "id", "centre", "n"), "buckets"
+    centres = members.groupBy("bucket").agg(
+        *[F.min(F.struct(key.alias("key"), "id")).alias(f"c{k}") for k, key in enumerate(order)]
     )
-    sketches = nodes.select("doc_id", "n_shingles", *SKETCH)
-
-    def near(pairs: DataFrame) -> DataFrame:
-        a, b = sketches.alias("a"), sketches.alias("b")
-        return (
-            pairs.distinct()
-            .join(a, F.col("a.doc_id") == F.col("centre"))
-            .join(b, F.col("b.doc_id") == F.col("id"))
-            .filter(~_far(how))
-            .select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        )
-
-    tried = staged(near(crowded.filter("id != centre").select("centre", "id")), "pairs")
-    links = staged(confirmed(tried, docs, how), "links")
-    labels = components(links)
-    turn = 1
-    while True:
-        label = labels.select(F.col("node").alias("id"), "component")
-        spread = crowded.filter("n > 2").select("bucket", "id").join(label, "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        again = spread.groupBy("bucket").agg(
-            F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket", F.lit(turn))).alias("new"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        pairs = (
-            spread.join(again.filter("low < high"), "bucket")
-            .filter("component != new.component")
-            .select(F.least("id", "new.id").alias("centre"), F.greatest("id", "new.id").alias("id"))
+    starred = staged(
+        members.join(centres, "bucket")
+        .select("id", *[F.col(f"c{k}.id").alias(f"c{k}") for k in range(how.centres)])
+        .filter(reduce(lambda x, y: x | y, (F.col(f"c{k}") != F.col("id") for k in range(how.centres)))),
+        "stars",
+    )
+    edges = [
+        starred.filter(F.col(c) != F.col("id")).select(
+            F.least(c, "id").alias("a"), F.greatest(c, "id").alias("b")
         )
-        fresh = staged(near(pairs).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.limit(1).count():
-            return links, labels
-        more = staged(confirmed(fresh, docs, how), "links")
-        if not more.limit(1).count():
-            return links, labels
-        tried, links = tried.union(fresh), links.union(more)
-        labels = components(links)
-        turn += 1
+        for c in starred.columns[1:]
+    ]
+    pairs = reduce(DataFrame.union, edges).distinct()
+    sketches = nodes.select(F.col("doc_id").alias("node"), "n_shingles", *SKETCH)
+    a, b = sketches.alias("a"), sketches.alias("b")
+    return (
+        pairs.toDF("left", "right")
+        .join(a, F.col("a.node") == F.col("left"))
+        .join(b, F.col("b.node") == F.col("right"))
+        .filter(~_far(how))
+        .select(F.col("left").alias("a"), F.col("right").alias("b"))
+    )
 
 
 def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
@@ -296,7 +283,7 @@ def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
     )
     leaders = staged(leaders, "leaders")
     nodes = leaders.select(F.col("leader").alias("doc_id"), "of.*")
-    links, labels = link_nodes(nodes, docs, how)
+    labels = components(staged(confirmed(staged(candidates(nodes, how), "pairs"), docs, how), "links"))
     named = leaders.join(labels, leaders.leader == labels.node, "left").select(
         "set_key", F.coalesce("component", "leader").alias("component")
     )
