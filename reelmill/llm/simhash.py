@@ -44,15 +44,19 @@ def terms(text: Column) -> Column:
 
 
 def fingerprints(rows: DataFrame, text: str) -> DataFrame:
-    """row, f0, f1: the fingerprint of the column ``text`` of each row that has terms."""
-    each = rows.select("row", F.posexplode(terms(F.col(text))).alias("pos", "term")).select(
+    """row, f0, f1: the fingerprint of the column ``text`` of each row that has terms.
+
+    Grouped by home too, where the rows lie already, so that no vote is shuffled.
+    """
+    each = rows.select("home", "row", F.posexplode(terms(F.col(text))).alias("pos", "term")).select(
+        "home",
         "row",
         F.floor(F.col("pos") / PART).alias("part"),
         F.xxhash64("term").alias("h0"),
         F.xxhash64("term", F.lit(1)).alias("h1"),
     )
     votes = [(h, k, f"{h}_{k}") for h in ("h0", "h1") for k in range(LANES)]
-    counted = each.groupBy("row", "part").agg(
+    counted = each.groupBy("home", "row", "part").agg(
         F.count("*").alias("n"),
         *[F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_LOW))).alias(name) for h, k, name in votes],
     )
@@ -65,7 +69,7 @@ def fingerprints(rows: DataFrame, text: str) -> DataFrame:
     packed = [
         F.sum(lanes[i][3] + F.shiftleft(lanes[i + 1][3], 32)).alias(f"v{i}") for i in range(0, len(lanes), 2)
     ]
-    summed = counted.groupBy("row").agg(F.sum("n").alias("n"), *packed)
+    summed = counted.groupBy("home", "row").agg(F.sum("n").alias("n"), *packed)
     bits = {"h0": [], "h1": []}
     for i, (h, k, lane, _) in enumerate(lanes):
         pair = F.col(f"v{i - i % 2}")
@@ -122,7 +126,12 @@ def in_order(ids: DataFrame) -> DataFrame:
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
-    """row, doc_id, text, n_chars, edited, next_row: texts and their edited texts."""
+    """home, row, doc_id, text, n_chars, edited, next_row: texts and their edited texts.
+
+    ``home`` stands for an id and its text, ``row`` for one of the rows that share them.
+    Texts are shuffled by home once and stay there: rows find theirs by the same key,
+    and so do the neighbours' beginnings (rows are told apart within the join).
+    """
     texts_ = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("mark", F.xxhash64("text"))
@@ -132,28 +141,40 @@ def with_edited(docs: DataFrame) -> DataFrame:
     )
     ordered = staged(
         in_order(ids).select(
-            F.xxhash64("doc_id", "mark", "rn").alias("row"), "doc_id", "mark", "rn", "n_chars",
+            F.xxhash64("doc_id", "mark").alias("home"),
+            F.xxhash64("doc_id", "mark", "rn").alias("row"),
+            "doc_id",
+            "n_chars",
             F.xxhash64("next.doc_id", "next.mark", "next.rn").alias("next_row"),
+            F.xxhash64("prior.doc_id", "prior.mark").alias("prior_home"),
             F.xxhash64("prior.doc_id", "prior.mark", "prior.rn").alias("prior_row"),
             F.floor(F.col("prior.n_chars") / 3).cast("int").alias("wanted"),
         ),
         "order",
     )
-    numbered = texts_.withColumn(
-        "rn", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy(F.lit(1)))
-    ).withColumn("row", F.xxhash64("doc_id", "mark", "rn"))
-    placed = numbered.select("row", "text").join(ordered, "row")
+    one = texts_.select(F.xxhash64("doc_id", "mark").alias("home"), "text").withColumn(
+        "rn", F.row_number().over(Window.partitionBy("home").orderBy(F.lit(1)))
+    )
+    # merged at every size, so that the texts stay where their home is
+    placed = one.filter("rn = 1").drop("rn").join(ordered.hint("merge"), "home")
     fronts = placed.select(
-        F.col("prior_row").alias("row"), F.col("text").substr(F.lit(1), F.col("wanted")).alias("front")
+        F.col("prior_home").alias("home"),
+        F.col("prior_row").alias("for_row"),
+        F.col("text").substr(F.lit(1), F.col("wanted")).alias("front"),
     )
     cut = F.floor(F.col("n_chars") / 3).cast("int")
-    return placed.join(fronts, "row").select(
-        "row",
-        "doc_id",
-        "text",
-        "n_chars",
-        F.concat(F.col("text").substr(F.lit(1), F.col("n_chars") - cut), F.col("front")).alias("edited"),
-        "next_row",
+    return (
+        placed.join(fronts.hint("merge"), "home")
+        .filter(F.col("row").bitwiseXOR(F.col("for_row")) == 0)
+        .select(
+            "home",
+            "row",
+            "doc_id",
+            "text",
+            "n_chars",
+            F.concat(F.col("text").substr(F.lit(1), F.col("n_chars") - cut), F.col("front")).alias("edited"),
+            "next_row",
+        )
     )
 
 
