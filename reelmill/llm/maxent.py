@@ -49,7 +49,7 @@ WORD, HISTORY = 0, 1
 
 @dataclass(frozen=True)
 class Training:
-    steps: int = 20
+    steps: int = 15
     rate: float = 0.5
     prior: float = 2.0  # of the weights: a quadratic penalty, in occurrences
     tasks: int = 8
@@ -68,6 +68,21 @@ class WordCodes(dict):
         return value
 
 
+class HeadCodes(dict):
+    """Places of the head's words; of other words, kept for those met last, ``size`` + code."""
+
+    def __init__(self, size: int, head: dict[bytes, int]):
+        super().__init__(head)
+        self.size, self.head = size, head
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.size + WordCodes.KEPT:
+            self.clear()
+            self.update(self.head)
+        value = self[word] = self.size + code(word)
+        return value
+
+
 def code(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) % BUCKETS | (xxhash.xxh3_64_intdigest(word[-2:]) % (CLASSES - 1)) << 11
 
@@ -149,7 +164,8 @@ def class_sizes(words: DataFrame) -> tuple[np.ndarray, int, int, int]:
 
 def train(cells: DataFrame, how: Training) -> np.ndarray:
     """Log-probability of each class after each history (natural logarithm)."""
-    spread = staged(cells.repartition(how.tasks, F.substring("key", 1, 3)), "histories")
+    # gradients of cells add up, so cells may lie anywhere; never more than ``tasks`` parts
+    spread = staged(cells.repartition(how.tasks), "histories").coalesce(how.tasks)
     weights = np.zeros((FEATURES, CLASSES), np.float32)
     power = np.full_like(weights, 1e-6)
 
@@ -215,18 +231,22 @@ def lm_scores(docs: DataFrame, learn: DataFrame, how: Training = Training()) ->
             )
 
     def whole(batches):
-        logs = {w: (float(np.log10(n + 1)), 1) for w, n in head.value.items()}
-        coded, log_class, none = WordCodes(), table.value, (0.0, 0)
+        # a head word's place in the head, or its code behind all of these
+        frequent, log_class = head.value, table.value
+        size = len(frequent)
+        places = HeadCodes(size, {w: i for i, w in enumerate(frequent)})
+        codes = np.append([code(w) for w in frequent], np.arange(BUCKETS * CLASSES)).astype(np.int64)
+        logs = np.append(np.log10(np.array([*frequent.values()], float) + 1), np.zeros(BUCKETS * CLASSES))
         for batch, data in texts(batches):
             out = ([], [], [], [])
             for text in data:
                 found = words_of(text)
-                own = [logs.get(w, none) for w in found]
-                history, classes = histories(np.fromiter(map(coded.__getitem__, found), np.int64, len(found)))
+                at = np.fromiter(map(places.__getitem__, found), np.int64, len(found))
+                history, classes = histories(codes[at])
                 model = log_class[history, classes].sum(dtype=float) + within[classes].sum()
                 out[0].append(len(found) + 1)
-                out[1].append(sum([o[1] for o in own]))
-                out[2].append(sum([o[0] for o in own]))
+                out[1].append(int((at < size).sum()))
+                out[2].append(float(logs[at].sum()))
                 out[3].append(model / np.log(10))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
