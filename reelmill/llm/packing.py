@@ -164,7 +164,7 @@ def pack(cut: DataFrame, groups: int, limit: int = LIMIT) -> DataFrame:
     schema = with_fields(cut, sequence_id="long", offset="long")
     names = schema.names
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
         bins, offsets = first_fit(rows["length"].tolist(), limit)
         return rows.assign(

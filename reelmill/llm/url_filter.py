@@ -81,7 +81,7 @@ def templates(paths: DataFrame, how: Tree) -> DataFrame:
     rows = staged(paths.withColumn("parts", parts).withColumn("template", F.lit("")), "paths")
     deepest = rows.agg(F.max(F.size("parts"))).first()[0] or 0
     for level in range(deepest):
-        rows = rows.withColumn("part", F.col("parts")[level])
+        rows = rows.withColumn("part", F.get("parts", F.lit(level)))
         child = (
             rows.filter(F.col("part").isNotNull())
             .groupBy("host", "template", "part")

@@ -1,0 +1,400 @@
+"""The corpus operators against brute force, libraries, round trips and odd rows."""
+
+import glob
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from compare import compare, open_tables
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from reelmill.llm import (
+    bpe,
+    catalog,
+    chat,
+    exact_dedup,
+    maxent,
+    minhash,
+    packing,
+    secrets,
+    simhash,
+    toxicity,
+    url_filter,
+)
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def text_of(rows):
+    return {r.doc_id: r.text or "" for r in rows.collect()}
+
+
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
+def test_against_sql(spark, name):
+    assert compare(spark, open_tables(SF), catalog.queries()[name], catalog.oracle_sql()[name], SF) == []
+
+
+# exact copies
+
+
+def test_copies_of_odd_rows(odd):
+    rows = {(r.doc_id, r.text_sha256): r for r in exact_dedup.exact_dedup(odd).collect()}
+    by_id = {i: r for (i, _), r in rows.items()}
+    assert (by_id[0].keep_id, by_id[0].group_size, by_id[10].kept) == (10, 4, True)
+    assert by_id[3].keep_id == by_id[4].keep_id == 4 and by_id[3].group_size == 2
+    assert by_id[7].kept and not by_id[6].kept
+    assert by_id[None].keep_id is None and by_id[None].kept
+
+
+def test_ambiguous_names_change_nothing(docs):
+    def groups(how):
+        return {(r.doc_id, r.keep_id) for r in exact_dedup.exact_dedup(docs, how).collect()}
+
+    assert groups(exact_dedup.Chunking()) == groups(exact_dedup.Chunking(digest_bytes=1))
+
+
+def test_chunks_are_found_again_behind_an_insertion():
+    body = b"".join(hashlib.sha256(bytes([i])).hexdigest().encode() for i in range(256)) * 2
+    how = exact_dedup.Chunking()
+    first = dict.fromkeys(next(exact_dedup._chunked([body], how))[1])
+    second = next(exact_dedup._chunked([b"inserted " + body], how))[1]
+    assert b"".join(second) == b"inserted " + body
+    assert sum(c in first for c in second) >= len(second) - 3
+
+
+# near copies
+
+
+def test_near_copies_of_odd_rows(odd):
+    rows = minhash.near_duplicates(odd, minhash.Near(size=4)).collect()
+    of = {r.doc_id: r for r in rows}
+    assert len(rows) == odd.count()
+    assert of[0].component_id == of[1].component_id == of[2].component_id == of[10].component_id == 0
+    assert of[3].n_shingles == of[5].n_shingles == 0 and of[3].kept and of[5].kept
+    assert (of[7].component_id, of[7].n_shingles) == (6, 1)
+    assert of[None].component_id is None and of[None].kept
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    rows, n = [], 0
+    shared = " ".join(f"s{i}" for i in range(80))  # a passage that many texts hold
+    for _ in range(40):
+        words = [f"v{w}" for w in rng.integers(0, 4000, rng.integers(6, 240))]
+        for _ in range(8):
+            own = list(words)
+            for at in rng.integers(0, len(own), max(1, len(own) // 45)):
+                own[at] = f"e{rng.integers(1_000_000)}"
+            rows.append((n, " ".join(own) + (f" {shared}" if n % 3 == 0 else "")))
+            n += 1
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [minhash.shingles(minhash.words_of(t.encode()), 5) for _, t in rows]
+    low = list(range(n))
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for i in range(n):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                low[b] = a
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(made).collect()}
+    assert found == {i: root(i) for i in range(n)}
+
+
+# secrets
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern, group, least in (
+        (0, r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+        (1, "AKIA[A-Z0-9]+", 0, 18),
+        (2, "[0-9a-f]+", 0, 16),
+    ):
+        flags = re.IGNORECASE | re.ASCII if kind == 0 else 0
+        out += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, flags) if len(m[group]) >= least]
+    return sorted(out)
+
+
+def test_spans_of_odd_rows(odd):
+    rows = secrets.scan(odd).collect()
+    assert len(rows) == odd.count()
+    texts = defaultdict(list)
+    for r in odd.collect():
+        texts[r.doc_id].append(brute_spans(r.text or ""))
+    for r in rows:
+        base = [tuple(s) for s in r.spans if s.kind < 3]
+        assert base in texts[r.doc_id]
+    twelve = next(r for r in rows if r.doc_id == 12)
+    assert [s.kind for s in twelve.spans] == [0, 1, 3]
+
+
+def test_redaction_leaves_no_secret(odd):
+    clean = secrets.redact(odd, secrets.scan(odd))
+    assert clean.columns == odd.columns and clean.count() == odd.count()
+    assert secrets.scan(clean).filter("size(spans) > 0").count() == 0
+    assert text_of(clean)[6] == "one two" and "[SECRET]" in text_of(clean)[12]
+
+
+# toxicity
+
+
+def test_toxicity_finds_the_sentence(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        sentences = [" ".join(f"w{chr(97 + w)}" for w in rng.integers(0, 20, 6)) for _ in range(5)]
+        if i % 4 == 0:
+            sentences[i % 5] += " vile"
+        rows.append((i, ". ".join(sentences) + ".", int(i % 4 == 0)))
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    judged = toxicity.judge(made.select("doc_id", "text"), made.select("doc_id", "toxic")).collect()
+    assert all(r.predicted == int(r.doc_id % 4 == 0) for r in judged)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in judged)
+    for r in judged:
+        if r.predicted:
+            (span,) = r.offending
+            assert "vile" in rows[r.doc_id][1][span.start : span.end]
+
+
+def test_toxicity_of_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, None), (99, 1), (None, 1)], "doc_id long, toxic int")
+    rows = toxicity.judge(odd, labels, folds=1, out=7).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert {r.score for r in toxicity.judge(odd, labels.limit(0)).collect()} == {0.0}
+    assert toxicity.judge(none, labels).count() == 0
+
+
+# urls
+
+
+def test_urls(spark):
+    rows = [
+        (1, "http://A.Example.org/es/1?x=/fr/"), (2, "https://example.org/en/17#t"), (3, "http://x.com/fr/"),
+        (4, "http://com/de/1"), (5, "no scheme"), (6, None), (7, "http://other.net"), (7, "http://other.net"),
+        (8, "http://notorg/x"), (9, "http://a.org?q"), (None, "http://a.org/b"),
+    ]
+    made = spark.createDataFrame(rows, "page_id long, url string")
+    found = url_filter.judge_urls(made).collect()
+    assert len(found) == len(rows)
+    of = {r.page_id: (r.host, r.path, r.rule) for r in found}
+    assert of[1] == ("a.example.org", "/es/1", "example.org/es/")
+    assert of[2] == ("example.org", "/en/17", "example.org/en/1")
+    assert of[3][2] == "com/fr/" and of[4][2] == "com/de/"
+    assert of[5] == of[6] == ("", "", None) and of[8][2] is None and of[9] == ("a.org", "", None)
+    assert {r.verdict for r in found} <= {"allow", "block"}
+
+
+def test_templates_and_purity(spark):
+    urls = [f"http://h.com/de/{i}" for i in range(30)] + [f"http://h.com/fr/{i}" for i in range(30)]
+    urls += [f"http://h.com/x/de{i}" for i in range(10)]
+    made = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = url_filter.judge_urls(made, rules=[("block", "h.com", "/de/1"), ("allow", "h.com", "/fr/1")]).collect()
+    verdict = {(r.template, r.verdict) for r in found if r.rule is None}
+    assert ("/de/*", "block") in verdict and ("/fr/*", "allow") in verdict
+
+
+# tokens
+
+
+def test_bpe_against_library(docs, odd):
+    table = bpe.ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    for rows in (docs, odd):
+        want = Counter((r.doc_id, tuple(own.encode_ordinary(r.text or "")), r.text or "") for r in rows.collect())
+        got = bpe.decode(bpe.encode(rows, block_bytes=20_000)).collect()
+        assert want == Counter(
+            (r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist()), bytes(r.decoded).decode()) for r in got
+        )
+
+
+def test_packing(docs, odd):
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    own.encode_special_tokens = True
+    for rows in (docs, odd):
+        texts = [(r.doc_id, r.text or "") for r in rows.collect()]
+        coded = own.encode_batch([t for _, t in texts], add_special_tokens=False)
+        want = Counter((i, tuple([*c.ids, 1])) for (i, _), c in zip(texts, coded, strict=True))
+        packed = packing.pack(packing.pieces(rows), 2).collect()
+        bins, again = defaultdict(list), defaultdict(list)
+        for p in packed:
+            bins[p.sequence_id].append((p.offset, p.length))
+            again[p.doc_id, p.doc_tokens].append((p.start, np.frombuffer(p.ids, "<u4").tolist()))
+            assert len(p.ids) == 4 * p.length
+        for parts in bins.values():
+            ends = np.cumsum([n for _, n in sorted(parts)])
+            assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= packing.LIMIT
+        for (i, tokens), n in Counter((i, len(c)) for i, c in want.elements()).items():
+            pieces = sorted(again[i, tokens])
+            assert sum(len(p) for _, p in pieces) == n * tokens
+            if n == 1:
+                assert (i, tuple(t for _, p in pieces for t in p)) in want
+        total = sum(n for parts in bins.values() for _, n in parts)
+        assert rows is odd or total / packing.LIMIT / len(bins) > 0.97
+
+
+def test_first_fit_is_first_fit():
+    rng = np.random.default_rng(1)
+    lengths = sorted(rng.integers(1, 100, 300).tolist(), reverse=True)
+    room, want = [], []
+    for n in lengths:
+        at = next((i for i, r in enumerate(room) if r >= n), len(room))
+        if at == len(room):
+            room.append(100)
+        want.append((at, 100 - room[at]))
+        room[at] -= n
+    assert list(zip(*packing.first_fit(lengths, 100), strict=True)) == want
+
+
+# chat
+
+
+def test_chat_round_trip(spark):
+    rows = [
+        (1, 1, "assistant", "<|end|>\\<|turn|>user\\\\<\\|"), (1, 0, "user", None), (2, 0, None, "x"),
+        (3, 0, "assistant", ""), (3, 1, "assistant", " é😀\n\n"), (3, 1, "assistant", " é😀\n\n"), (None, None, "user", "|>"),
+    ]
+    made = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = {r.conv_id: r for r in chat.read_back(chat.format_conversations(made)).collect()}
+    assert [tuple(t) for t in back[1].turns] == [("user", ""), ("assistant", rows[0][3])]
+    assert back[1].loss_text == rows[0][3] and back[2].loss_text == ""
+    assert back[3].loss_text == 2 * " é😀\n\n" and len(back[3].turns) == 3
+    assert [tuple(t) for t in back[None].turns] == [("user", "|>")]
+    assert chat.digests(chat.format_conversations(made.limit(0))).count() == 0
+
+
+# fingerprints
+
+
+def brute_print(text):
+    words = [w for w in re.split("[ \t-\r]+", text.lower()) if w]
+    return words if len(words) < 2 else [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+
+
+def bits(a, b):
+    return bin(int(a, 16) ^ int(b, 16)).count("1")
+
+
+def test_fingerprints(spark, docs):
+    texts = text_of(docs)
+    rows = {r.doc_id: r for r in simhash.op9_simhash_blocks(spark, SF).collect()}
+    order = sorted(texts, reverse=True)
+    for at, i in enumerate(order):
+        after, r = order[(at + 1) % len(order)], rows[i]
+        n = len(texts[i]) // 3
+        edited = texts[i][: len(texts[i]) - n] + texts[after][:n]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.near_next == 1 - bits(r.fingerprint, rows[after].fingerprint) / 128
+        if i % 50 == 0:
+            assert r.n_near == sum(bits(r.fingerprint, o.fingerprint) <= 4 for o in rows.values())
+    hashed = spark.createDataFrame([(i, w) for i in order[:5] for w in brute_print(texts[i])], "i long, w string")
+    votes = defaultdict(lambda: np.zeros(64, int))
+    for i, h in hashed.selectExpr("i", "xxhash64(w)").collect():
+        votes[i] += np.array([1 if h >> k & 1 else -1 for k in range(64)])
+    for i, v in votes.items():
+        assert rows[i].fingerprint[:16] == f"{sum(1 << k for k in range(64) if v[k] > 0):016x}"
+
+
+def test_fingerprints_of_odd_rows(odd, none):
+    rows = simhash.with_edited(odd).collect()
+    assert len(rows) == odd.count() and len({r.row for r in rows}) == len(rows)
+    assert {r.next_row for r in rows} == {r.row for r in rows}
+    assert simhash.with_edited(none).count() == 0
+
+
+# language model
+
+
+def test_scores_against_brute_force(spark, docs):
+    texts = text_of(docs)
+    words = {i: [*t.encode().lower().split(), b""] for i, t in texts.items()}
+    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    counts = Counter(w for i, ws in words.items() if not out[i] for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    small = maxent.Training(head=50)  # so that most words go through the join
+    rows = maxent.lm_scores(docs, docs.filter("crc32(cast(doc_id AS string)) % 7 != 2"), small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words[r.doc_id])
+        assert math.isclose(r.base_score, want, rel_tol=1e-9)
+        assert (r.n_tokens, r.train_tokens) == (len(words[r.doc_id]), n)
+        assert r.n_known == sum(counts[w] > 0 for w in words[r.doc_id])
+    fresh = [r for r in rows if out[r.doc_id]]
+    assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh)
+
+
+def test_model_adds_up_to_one(spark):
+    made = spark.createDataFrame([(1, "a b c a b"), (2, "b c"), (3, None)], "doc_id long, text string")
+    words = maxent.corpus_counts(made).filter(f"kind = {maxent.WORD}")
+    sizes, n, v, ends = maxent.class_sizes(words)
+    assert (n, v, ends) == (10, 4, 3)
+    counts = {bytes(r.key): r.n for r in words.collect() if r.key}
+    # known words and one unknown in each class of words share the class
+    share = np.array([sum(c + 1 for w, c in counts.items() if maxent.code(w) >> 11 == k) + 1 for k in range(31)])
+    assert np.allclose(share / sizes[:31], 1) and sizes[31] == 1
+    table = maxent.train(maxent.corpus_counts(made).filter(f"kind = {maxent.HISTORY}"), maxent.Training())
+    assert np.allclose(np.exp(table.astype(float)).sum(axis=1), 1, atol=1e-4)
+
+
+def test_scores_of_odd_rows(odd, none):
+    assert maxent.lm_scores(odd, odd).count() == odd.count()
+    rows = maxent.lm_scores(odd, none).collect()
+    assert len(rows) == odd.count() and {r.train_tokens for r in rows} == {0}
+    assert maxent.lm_scores(none, odd).count() == 0
+
+
+# all of them on no rows, and the pipeline
+
+
+def test_no_rows(spark, none):
+    assert exact_dedup.exact_dedup(none).count() == 0
+    assert minhash.near_duplicates(none).count() == 0
+    assert secrets.scan(none).count() == 0
+    assert bpe.decode(bpe.encode(none)).count() == 0
+    assert packing.pack(packing.pieces(none), 1).count() == 0
+    assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_pipeline(spark, docs):
+    last = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.staged(stage(spark, last, SF), name)
+        assert now.columns == docs.columns
+        ids, before = set(text_of(now)), set(text_of(last))
+        assert ids <= before
+        if name == "exact_dedup":
+            lower = [bytes(t.encode()).lower() for t in text_of(now).values()]
+            assert len(lower) == len(set(lower)) == len({t.encode().lower() for t in text_of(last).values()})
+        if name == "secret_scans":
+            assert ids == before and secrets.scan(now).filter("size(spans) > 0").count() == 0
+        last = now
+    packed = corpus_pipeline.STAGES[-1][1](spark, last, SF)
+    assert set(r.doc_id for r in packed.select("doc_id").collect()) == set(text_of(last))
+
+
+def test_pipeline_on_odd_rows(spark, odd):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd, SF).count() > 0
+
+
+def test_no_local_checkpoint():
+    for path in glob.glob(f"{catalog.__file__.rsplit('/', 1)[0]}/*.py"):
+        with open(path, encoding="utf-8") as file:
+            assert "localCheckpoint" not in file.read()
