@@ -87,10 +87,12 @@ def assign_jobs(queue: DataFrame, batch: str, receipts: DataFrame | None = None)
     if receipts is None:
         job = first_truthy(F.col("distill_job_id"), job_id_for(batch))
         return queue.select("id", "video_id", job.alias("job_id"), F.lit(None).cast("string").alias("error"))
-    answered = queue.join(
-        receipts.select("video_id", F.col("job_id").alias("given"), F.col("error").alias("refusal")),
-        "video_id",
+    # one receipt per video, however often it came: a job id counts before a refusal
+    each = receipts.groupBy("video_id").agg(
+        F.min(F.when(F.col("job_id") != "", F.col("job_id"))).alias("given"),
+        F.min(F.when(F.col("error") != "", F.col("error"))).alias("refusal"),
     )
+    answered = queue.join(each, "video_id")
     job = F.nullif(first_truthy(F.col("distill_job_id"), F.col("given")), F.lit(""))
     error = F.when(job.isNull(), F.substring(first_truthy(F.col("refusal"), NO_JOB_ID), 1, ERROR_CHARS))
     return answered.select("id", "video_id", job.alias("job_id"), error.alias("error"))

@@ -23,7 +23,7 @@ class Settings:
     """What a deployment configures. The defaults."""
 
     lookback_days: int = discovery.LOOKBACK_DAYS
-    max_items: int | None = discovery.MAX_ITEMS
+    max_items: int | None = None  # a landed feed is read once: what a cap drops is lost
     limit: int = queues.PASS_LIMIT
     max_attempts: int = queues.MAX_ATTEMPTS
     max_distill_attempts: int = queues.MAX_DISTILL_ATTEMPTS
@@ -67,18 +67,15 @@ def discover(
         discovery.newest(discovery.first_wins(recent), settings.max_items), "items"
     )
     known = store.read("episodes")
-    if settings.max_items is None:
-        fresh = discovery.as_discovered(
-            discovery.number_bulk(
-                discovery.unseen(items, known),
-                discovery.newest_feed_order(items),
-                discovery.next_id(known),
-                store.staging("bulk"),
-            ),
-            now,
-        )
-    else:
-        fresh = discovery.new_episodes(items, known, now)
+    fresh = discovery.as_discovered(
+        discovery.number_bulk(
+            discovery.unseen(items, known),
+            discovery.newest_feed_order(items),
+            discovery.next_id(known),
+            store.staging("bulk"),
+        ),
+        now,
+    )
     fresh = store.stage(fresh.withColumn("bucket", store.bucket_of(F.col("video_id"))), "fresh")
     counts = store.stage(discovery.discovery_counts(items, fresh), "counts")
     updated = runs.discovery_run(store.read("ingest_runs").drop("bucket"), counts, run_date, now)
@@ -201,7 +198,8 @@ def _submit_rows(
     )
     counts = store.stage(distill.submit_counts(changes), "counts")
     # requests first: a pass that dies here is repeated with the same job ids
-    write_requests(_requests(store, changes, settings), outbox, batch)
+    commit = store.pointer()["version"] + 1
+    write_requests(_requests(store, changes, settings), outbox, batch, commit)
     writes = {"episodes": _episode_write(store, changes, distill.apply_submissions)}
     if recorded:
         run_date, now = recorded

@@ -4,16 +4,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_requests(requests: DataFrame, path: str, batch: str) -> None:
-    """Write ``(job_id, request)`` rows, one JSON document per line, under the batch.
+def write_requests(requests: DataFrame, path: str, batch: str, commit: int = 0) -> None:
+    """Write ``(job_id, request)`` rows, one JSON document per line, under batch and commit.
 
-    A replayed batch overwrites its own directory, so nothing is sent twice.
+    A pass that is repeated before its commit overwrites its own directory, so nothing
+    is sent twice; another pass under the same batch name has a directory of its own.
     """
     opened = F.regexp_replace(F.to_json(F.struct("job_id")), r"\}\z", "")
     line = F.concat(opened, F.lit(',"request":'), F.col("request"), F.lit("}"))
-    requests.select(line.alias("value")).write.mode("overwrite").text(f"{path}/batch={batch}")
+    requests.select(line.alias("value")).write.mode("overwrite").text(f"{path}/batch={batch}/commit={commit}")
 
 
 def read_requests(spark, path: str) -> DataFrame:
     """The outbox as ``(batch, job_id, request)``; ``request`` is JSON text."""
-    return spark.read.schema("job_id string, request string, batch string").json(path)
+    found = spark.read.schema("job_id string, request string, batch string, commit long").json(path)
+    return found.select("batch", "job_id", "request")

@@ -61,8 +61,8 @@ def targets_of(spark, spec, **more):
 
 
 def test_channel_specs(spark):
-    assert targets_of(spark, "allin, bnn=id:UC1234567890") == [
-        ("", "allin", "allin"),
+    assert targets_of(spark, "cinema, bnn=id:UC1234567890") == [
+        ("", "cinema", "cinema"),
         ("UC1234567890", "", "bnn"),
     ]
     assert targets_of(spark, " My Show=@@h=1 , ID: X_y ,, id: , @ ,=id:Q") == [
@@ -144,7 +144,7 @@ def test_kinds(spark):
         ("ok", 0, 200, captions("a", "a ", "b", length_seconds=5)),
         ("empty", 0, 200, captions(" ", " ")),
         ("gone", 0, 404, {"detail": "none"}),
-        ("busy", 0, 429, "slow down"),
+        ("busy", 0, 429, "wait a while"),
         ("unpaid", 0, 402, {"detail": {"message": "no credits", "reason": "x"}}),
         ("denied", 0, 403, "{}"),
         ("list", 0, 200, "[1]"),
@@ -157,7 +157,7 @@ def test_kinds(spark):
     assert got["ok"].text == "a\nb" and got["ok"].length_seconds == 5 and got["ok"].error is None
     assert got["empty"].error == "transcript unavailable for empty (de)"
     assert got["gone"].error == "transcript unavailable for gone (de): none"
-    assert got["busy"].error == "transcriptapi 429 for busy: slow down"
+    assert got["busy"].error == "transcriptapi 429 for busy: wait a while"
     assert got["unpaid"].error == "transcriptapi 402 for unpaid: no credits"
     assert got["denied"].error == "transcriptapi 403 for denied: "
 
@@ -457,7 +457,7 @@ def test_counters_of_a_missing_date_vanish(spark):
 
 
 def test_failed_discovery(spark):
-    row = runs.failed_discovery_run(run_rows(spark), DAY, "api down" + "x" * 600, NOW).first()
+    row = runs.failed_discovery_run(run_rows(spark), DAY, "no route" + "x" * 600, NOW).first()
     assert (row.status, row.failures) == ("failed", 1)
     assert len(json.loads(row.notes)["error"]) == 500
 

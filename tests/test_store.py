@@ -121,7 +121,7 @@ def seed(store, tmp_path, *videos):
 
 HISTORY = [
     answer("a", 404, {"detail": "none"}, 1),
-    answer("b", 429, "slow down", 1),
+    answer("b", 429, "wait a while", 1),
     answer("a", 200, captions("one", "one", "two", length_seconds=50), 2),
     answer("c", 403, {}, 2),
     answer("b", 200, captions("b text"), 3),
@@ -288,3 +288,24 @@ def test_state_invariants(store, tmp_path):
     assert episodes.count() == episodes.select("video_id").distinct().count()
     assert episodes.count() == episodes.select("id").distinct().count()
     assert set(episodes.columns) == {*schemas.EPISODES.names, "bucket"}
+
+
+def test_passes_under_one_batch_name_all_reach_the_outbox(store, tmp_path):
+    fetched(store, tmp_path, "a", "b", "c")
+    box = str(tmp_path / "outbox")
+    one = passes.Settings(limit=1)
+    for _ in range(3):
+        passes.submit(store, box, "same", NOW, DAY, one)
+    sent = [r.job_id for r in outbox.read_requests(store.spark, box).collect()]
+    assert sorted(sent) == sorted(job_of(store, v) for v in "abc")
+
+
+def test_receipts_delivered_twice_count_once(store, tmp_path):
+    fetched(store, tmp_path, "a", "b")
+    rows = [("a", "j1", None), ("a", "j1", None), ("a", None, "late refusal"), ("b", None, "no"), ("b", "", "no")]
+    receipts = store.spark.createDataFrame(rows, "video_id string, job_id string, error string")
+    counts = passes.submit(store, str(tmp_path / "outbox"), "b1", NOW, DAY, SETTINGS, receipts).first().asDict()
+    assert counts == {"submitted": 1, "failures": 1}
+    state = {r.video_id: r for r in store.read("episodes").collect()}
+    assert len(state) == 2 == store.read("episodes").count()
+    assert state["a"].distill_job_id == "j1" and state["b"].last_error == "no"

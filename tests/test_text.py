@@ -1,6 +1,7 @@
 """Text, language, time and payload functions against Python's own rules."""
 
 import hashlib
+import itertools
 import re
 from datetime import datetime, timezone
 
@@ -26,21 +27,24 @@ EDGES = [
 ]
 
 
-def py_hash(value):
-    return hashlib.sha256(re.sub(r"\s+", " ", value or "").strip().lower().encode()).hexdigest()
+#: What the edges come to, worked out by hand.
+NORMAL = [
+    "", "", "a b c", "a b", "a b", "a b", "a b", "a b", "a b",
+    "a", "a\u200bb", "a\ufeffb", "a\u180eb", "\u03bf\u03b4\u03bf\u03c2", "i\u0307",
+    "\xdf", "\u01c6", "a b", "x", "", "a b",
+]
 
 
-def py_flatten(lines):
-    kept = []
-    for line in lines:
-        line = re.sub(r"\s+", " ", line or "").strip()
-        if line and (not kept or kept[-1] != line):
-            kept.append(line)
-    return "\n".join(kept)
+def distinct_lines(lines):
+    """Lines of single-spaced words, without blank ones and runs of one line."""
+    spaced = (" ".join((line or "").split()) for line in lines)
+    return "\n".join(line for line, _ in itertools.groupby(filter(None, spaced)))
 
 
 def test_hash_edges(spark):
-    assert column_of(spark, EDGES, "string", text.content_hash) == [py_hash(v) for v in EDGES]
+    assert column_of(spark, EDGES, "string", text.content_hash) == [
+        hashlib.sha256(v.encode()).hexdigest() for v in NORMAL
+    ]
 
 
 def test_every_space_character(spark):
@@ -64,7 +68,7 @@ FLATTENS = [
 
 def test_flatten_edges(spark):
     got = column_of(spark, FLATTENS, "array<string>", text.flatten_segments)
-    assert got == [py_flatten(v or []) for v in FLATTENS]
+    assert got == ["a\nb", "x", "", "a\nb\na", "q q", "hello\nworld", ""]
 
 
 @settings(max_examples=5, deadline=None)
@@ -77,12 +81,12 @@ def test_flatten_edges(spark):
 )
 def test_flatten_random(spark, cases):
     got = column_of(spark, cases, "array<string>", text.flatten_segments)
-    assert got == [py_flatten(v) for v in cases]
+    assert got == [distinct_lines(v) for v in cases]
 
 
 def test_slugify(spark):
     names = ["All In", "@@x--y", "___", "", "UC_1234", "Café 9", "-a-"]
-    want = [re.sub(r"[^a-z0-9]+", "-", n.lower()).strip("-") or "channel" for n in names]
+    want = ["all-in", "x-y", "channel", "channel", "uc-1234", "caf-9", "a"]
     assert column_of(spark, names, "string", text.slugify) == want
 
 
