@@ -71,7 +71,7 @@ def discover(
         discovery.number_bulk(
             discovery.unseen(items, known),
             discovery.newest_feed_order(items),
-            discovery.next_id(known),
+            F.greatest(discovery.next_id(known), F.lit(store.last_id("episodes") + 1)),
             store.staging("bulk"),
         ),
         now,
@@ -85,6 +85,12 @@ def discover(
     return counts
 
 
+def _given_ids(store: StateStore) -> dict[str, int]:
+    """The highest ids so far; noted with a deletion, so that none is given twice."""
+    tables = ("episodes", "distillations")
+    return {t: store.read(t).agg(F.max("id")).first()[0] or 0 for t in tables}
+
+
 def _episode_write(store: StateStore, changes: DataFrame, apply) -> Write:
     """Rewrite the buckets that ``changes`` (staged, with bucket) fall into."""
     touched = store.touched(changes)
@@ -238,7 +244,8 @@ def collect(
     touched = store.touched(good)
     stored = store.read("distillations", touched).drop("bucket")
     # ids are unique over the whole table, so the highest one comes from all buckets
-    highest = store.read("distillations").select("id")
+    noted = store.spark.range(1).select(F.lit(store.last_id("distillations")).alias("id"))
+    highest = store.read("distillations").select("id").unionByName(noted)
     merged = distill.upsert_results(stored, batch, now, highest)
     known = store.read("episodes", touched).select(F.col("id").alias("episode_id"), "bucket")
     store.commit(
@@ -288,7 +295,8 @@ def reset_and_refetch(
             "distillations": Write(
                 ch.delete_results(store.read("distillations", lost), gone), lost
             ),
-        }
+        },
+        ids=_given_ids(store),
     )
     return changes, gone
 
@@ -317,7 +325,8 @@ def retry_failed(
             "distillations": Write(
                 ch.delete_results(store.read("distillations", lost), used_up), lost
             ),
-        }
+        },
+        ids=_given_ids(store),
     )
     changes, gone = reset_and_refetch(store, again, responses, now, settings, delete_after)
     return retry_counts(used_up, again, changes, gone)
@@ -404,7 +413,8 @@ def delete(store: StateStore, ids: DataFrame) -> int:
             "distillations": Write(
                 ch.delete_results(store.read("distillations", touched), gone), touched
             ),
-        }
+        },
+        ids=_given_ids(store),
     )
     return gone.count()
 

@@ -3,7 +3,9 @@
 A commit writes new directories and then one small record that names, for every
 table and bucket, the directories to read. Readers follow the newest complete
 record, so a job that dies half way changes nothing and a table is never
-overwritten while it is read. One writer at a time.
+overwritten while it is read. Every attempt to commit writes folders of its own, and
+a version is published by renaming its record to a name that must be free: of two
+writers that commit at once one is refused and nothing of it is ever read.
 """
 
 import json
@@ -49,6 +51,7 @@ class StateStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self._writer = uuid.uuid4().hex[:8]
         self._record: tuple[str, dict] = ("", {"version": 0, "tables": {}, "applied": {}})
 
     # -- pointer ------------------------------------------------------------
@@ -70,6 +73,10 @@ class StateStore:
         """Last batch id of ``stream`` that is part of the state (-1: none)."""
         return self.pointer()["applied"].get(stream, -1)
 
+    def last_id(self, table: str) -> int:
+        """The highest id that a commit has noted, also of rows deleted since (0: none)."""
+        return self.pointer().get("ids", {}).get(table, 0)
+
     # -- read ---------------------------------------------------------------
 
     def bucket_of(self, video_id: Column) -> Column:
@@ -90,7 +97,7 @@ class StateStore:
 
     def staging(self, label: str) -> str:
         """Where an intermediate result of the coming version goes."""
-        return f"{self.root}/_staged/v={self.pointer()['version'] + 1}/{label}"
+        return f"{self.root}/_staged/{self._writer}/v={self.pointer()['version'] + 1}/{label}"
 
     def stage(self, rows: DataFrame, label: str) -> DataFrame:
         """Write an intermediate result and read it back.
@@ -106,17 +113,44 @@ class StateStore:
         """Buckets that a change set falls into: at most ``self.buckets`` numbers."""
         return sorted(r["bucket"] for r in changes.select("bucket").distinct().collect())
 
-    def commit(self, writes: dict[str, Write], applied: dict[str, int] | None = None) -> int:
-        """Write all tables, then publish them together as the next version."""
+    def _publish(self, record: str, name: str) -> None:
+        """Give a finished record its name; an error if another has that name."""
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        source, target = fs.Path(record), fs.Path(name)
+        hadoop = self.spark._jsc.hadoopConfiguration()
+        context = fs.FileContext.getFileContext(source.getFileSystem(hadoop).getUri(), hadoop)
+        kind = self.spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        options = self.spark._jvm.java.lang.reflect.Array.newInstance(kind, 1)
+        options[0] = kind.getEnumConstants()[0]  # NONE: never overwrite
+        try:
+            context.rename(source, target, options)
+        except Exception as refused:
+            if self._names(name.removeprefix(f"{self.root}/")):
+                raise RuntimeError(f"another writer has published {name}") from refused
+            raise
+
+    def commit(
+        self,
+        writes: dict[str, Write],
+        applied: dict[str, int] | None = None,
+        ids: dict[str, int] | None = None,
+    ) -> int:
+        """Write all tables, then publish them together as the next version.
+
+        ``ids`` notes the highest id given so far by table; see :meth:`last_id`.
+        """
         current = self.pointer()
         version = current["version"] + 1
+        folder = f"v={version:08d}-{uuid.uuid4().hex[:8]}"
         tables = {name: dict(dirs) for name, dirs in current["tables"].items()}
+        noted = current.get("ids", {})
+        noted = noted | {name: max(n, noted.get(name, 0)) for name, n in (ids or {}).items()}
 
         def put(name: str) -> None:
             rows = writes[name].rows.select(*schemas.TABLES[name].names, "bucket")
             # few, even files per bucket whatever the join before it did
-            even = rows.hint("rebalance", "bucket").write.mode("overwrite")
-            even.partitionBy("bucket").parquet(f"{self.root}/{name}/v={version:08d}")
+            even = rows.hint("rebalance", "bucket").write
+            even.partitionBy("bucket").parquet(f"{self.root}/{name}/{folder}")
 
         with ThreadPoolExecutor(max(len(writes), 1)) as pool:
             list(pool.map(put, writes))
@@ -124,14 +158,17 @@ class StateStore:
             dirs = tables.setdefault(name, {})
             for bucket in write.buckets or []:
                 dirs.pop(str(bucket), None)
-            for path in self._names(f"{name}/v={version:08d}/bucket=*"):
+            for path in self._names(f"{name}/{folder}/bucket=*"):
                 bucket = path.rsplit("=", 1)[1]
-                dirs[bucket] = dirs.get(bucket, []) + [f"v={version:08d}"]
+                dirs[bucket] = dirs.get(bucket, []) + [folder]
         record = {
             "version": version,
             "tables": tables,
             "applied": {**current["applied"], **(applied or {})},
+            "ids": noted,
         }
         line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(record)).alias("value"))
-        line.write.mode("overwrite").text(f"{self.root}/commits/c={version:010d}")
+        draft = f"{self.root}/commits/_draft-{uuid.uuid4().hex[:8]}"
+        line.write.text(draft)
+        self._publish(draft, f"{self.root}/commits/c={version:010d}")
         return version

@@ -309,3 +309,34 @@ def test_receipts_delivered_twice_count_once(store, tmp_path):
     state = {r.video_id: r for r in store.read("episodes").collect()}
     assert len(state) == 2 == store.read("episodes").count()
     assert state["a"].distill_job_id == "j1" and state["b"].last_error == "no"
+
+
+def test_deleted_ids_are_not_given_again(store, tmp_path, spark):
+    land(tmp_path / "feeds", "1.json", feed_doc("@a", "v1", "v2"))
+    discover(store, tmp_path / "feeds")
+    newest = store.read("episodes").agg(F.max("id")).first()[0]
+    assert passes.delete(store, spark.createDataFrame([(newest,)], "id long")) == 1
+    land(tmp_path / "feeds", "2.json", feed_doc("@a", "v3"))
+    discover(store, tmp_path / "feeds")
+    assert rows(store.read("episodes"), "id") == [(1,), (newest + 1,)]
+
+
+def test_second_writer_of_a_version_is_refused(store, spark, monkeypatch):
+    """Two commits from one version: the later fails and none of its rows is read."""
+    def texts(number):
+        return Write(
+            spark.range(1).select(
+                F.lit(number).cast("long").alias("id"), F.lit(1).cast("long").alias("text_version"),
+                F.lit("text").alias("raw_text"), F.lit(0).alias("bucket"),
+            )
+        )
+
+    late = StateStore(spark, store.root, buckets=4)
+    before = late.pointer()
+    monkeypatch.setattr(late, "pointer", lambda: before)
+    store.commit({"texts": texts(1)})
+    with pytest.raises(RuntimeError, match="another writer"):
+        late.commit({"texts": texts(2)})
+    assert rows(store.read("texts"), "id") == [(1,)]
+    assert store.commit({"texts": texts(3)}) == 2
+    assert rows(store.read("texts"), "id") == [(1,), (3,)]
