@@ -208,6 +208,11 @@ def classify_jobs(jobs: DataFrame) -> DataFrame:
     )
 
 
+def ends(jobs: DataFrame) -> DataFrame:
+    """The documents that say how a job ended."""
+    return jobs.filter(F.col("status").isin("succeeded", "failed"))
+
+
 def collected(pending: DataFrame, jobs: DataFrame) -> DataFrame:
     """Q3 rows with the class and result of their job.
 
@@ -215,8 +220,7 @@ def collected(pending: DataFrame, jobs: DataFrame) -> DataFrame:
     still pending. Documents of other jobs are dropped before anything else.
     """
     queue = pending.select("id", "video_id", F.col("distill_job_id").alias("job_id"))
-    ended = jobs.filter(F.col("status").isin("succeeded", "failed"))
-    mine = ended.join(queue.select("job_id"), "job_id", "left_semi")
+    mine = ends(jobs).join(queue.select("job_id"), "job_id", "left_semi")
     rest = [c for c in mine.columns if c not in ("job_id", schemas.CORRUPT)]
     first = F.min_by(F.struct(*rest), F.struct("received_at", "status", "result"))
     final = mine.groupBy("job_id").agg(first.alias("end")).select("job_id", "end.*")

@@ -11,6 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelmill import schemas
 from reelmill.operators import changes as ch
 from reelmill.operators import discovery, distill, queues, reports, runs, transcripts
 from reelmill.sources.landed import feed_rows
@@ -122,9 +123,46 @@ def _transitions(
     return store.stage(_with_bucket(numbered, queue), "transitions")
 
 
+def _typed(rows: DataFrame, table: str) -> DataFrame:
+    """Landed rows in the columns of ``table``; a missing time is before all others."""
+    fields = schemas.TABLES[table].fields
+    typed = rows.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in fields])
+    return typed.withColumn("received_at", F.coalesce("received_at", F.timestamp_seconds(F.lit(0))))
+
+
+def _with_waiting(
+    store: StateStore, table: str, key: str, arrived: DataFrame | None
+) -> tuple[list[int], DataFrame, DataFrame]:
+    """The buckets of a batch (None: of all that waits), its rows, and those that wait there."""
+    if arrived is None:
+        buckets = sorted(int(b) for b in store.pointer()["tables"].get(table, {}))
+        waiting = store.read(table, buckets)
+        return buckets, waiting.limit(0), waiting
+    typed = _typed(arrived, table).withColumn("bucket", store.bucket_of(F.col(key)))
+    buckets = store.touched(typed)
+    return buckets, typed, store.read(table, buckets)
+
+
+def _still_waiting(
+    store: StateStore, table: str, buckets: list[int], rows: DataFrame, early: DataFrame
+) -> dict[str, Write]:
+    """``rows`` whose key is in ``early`` (staged) wait on; nothing if none does or did."""
+    before = store.pointer()["tables"].get(table, {})
+    if early.isEmpty() and not any(str(b) in before for b in buckets):
+        return {}
+    return {table: Write(rows.join(early.drop("bucket"), early.columns[0], "left_semi"), buckets)}
+
+
+def _used_write(store: StateStore, keys: DataFrame) -> Write:
+    """``keys`` (staged, with bucket) beside those used before in their buckets."""
+    touched = store.touched(keys)
+    used = store.read("used_answers", touched)
+    return Write(used.unionByName(keys.select(*used.columns)), touched)
+
+
 def fetch(
     store: StateStore,
-    responses: DataFrame,
+    responses: DataFrame | None,
     now: datetime,
     run_date: date,
     settings: Settings = Settings(),
@@ -134,21 +172,48 @@ def fetch(
 ) -> DataFrame:
     """Responses for queued episodes -> transcripts and transitions. Returns T11 counts.
 
-    ``limit=None`` takes every eligible episode that has an answer in the batch.
+    ``limit=None`` takes every eligible episode that has an answer in the batch; an
+    answer whose episode is not known yet waits in the state, and ``responses=None``
+    is a batch of what waits. An answer is used once: a folder may be read again.
+    Only keys meet the state; bodies are picked by the (staged) keys to be used.
     """
-    queue = queues.needing_transcript(store.read("episodes"), limit, settings.max_attempts)
-    queue = queue.select("id", "video_id", "attempts", "bucket")
     if limit is None:
-        queue = queue.join(responses.select("video_id"), "video_id", "left_semi")
-    queue = store.stage(queue, "queue")
-    changes = _transitions(store, queue, responses, settings)
+        buckets, arrived, waiting = _with_waiting(store, "waiting_answers", "video_id", responses)
+        answers = arrived.unionByName(waiting)
+        asked = store.stage(answers.select("video_id", "bucket").distinct(), "asked")
+        state = store.read("episodes", buckets)
+        queue = queues.needing_transcript(state, None, settings.max_attempts)
+        queue = queue.join(asked.select("video_id"), "video_id", "left_semi")
+    else:
+        buckets, state = None, store.read("episodes")
+        answers = _typed(responses, "waiting_answers").unionByName(
+            store.read("waiting_answers").drop("bucket")
+        )
+        queue = queues.needing_transcript(state, limit, settings.max_attempts)
+    queue = store.stage(queue.select("id", "video_id", "attempts", "bucket"), "queue")
+    keys = transcripts.with_digest(answers).select(*transcripts.ANSWER)
+    keys = (
+        keys.join(queue.select("video_id"), "video_id", "left_semi")
+        .join(store.read("used_answers", buckets), transcripts.ANSWER, "left_anti")
+        .distinct()
+        .withColumn("bucket", store.bucket_of(F.col("video_id")))
+    )
+    keys = store.stage(keys, "answers")
+    mine = transcripts.with_digest(answers).join(
+        keys.drop("bucket"), transcripts.ANSWER, "left_semi"
+    )
+    changes = _transitions(store, queue, mine.drop("digest", "bucket"), settings)
     counts = store.stage(transcripts.pass_counts(changes), "counts")
     writes = {
         "episodes": _episode_write(
             store, changes, lambda s, c: transcripts.apply_transitions(s, c, now)
         ),
         "texts": Write(_new_texts(changes)),
+        "used_answers": _used_write(store, keys),
     }
+    if limit is None:
+        early = store.stage(asked.join(state.select("video_id"), "video_id", "left_anti"), "early")
+        writes |= _still_waiting(store, "waiting_answers", buckets, answers, early)
     if record:
         writes["ingest_runs"] = _stage_run(store, counts, run_date, now, "transcripts_fetched")
     store.commit(writes, applied)
@@ -216,22 +281,43 @@ def _submit_rows(
 
 def collect(
     store: StateStore,
-    jobs: DataFrame,
+    jobs: DataFrame | None,
     now: datetime,
     run_date: date,
     settings: Settings = Settings(),
     limit: int | None = queues.PASS_LIMIT,
     applied: Applied = None,
 ) -> DataFrame:
-    """Job documents of pending episodes -> results and transitions. Returns F4 counts."""
+    """Job documents of pending episodes -> results and transitions. Returns F4 counts.
+
+    ``limit=None`` takes every pending episode that has a document in the batch; the end
+    of a job that no episode has yet waits in the state (unless it has been collected
+    before), and ``jobs=None`` is a batch of what waits.
+    """
     pending = queues.pending_distill(store.read("episodes"), limit)
     if limit is None:
-        seen = jobs.select(F.col("job_id").alias("distill_job_id"))
-        pending = pending.join(seen, "distill_job_id", "left_semi")
+        buckets, arrived, waiting = _with_waiting(store, "waiting_jobs", "job_id", jobs)
+        jobs = arrived.unionByName(waiting)
+        seen = store.stage(jobs.select("job_id", "bucket").distinct(), "seen")
+        asked = seen.select(F.col("job_id").alias("distill_job_id"))
+        pending = pending.join(asked, "distill_job_id", "left_semi")
+    else:
+        jobs = _typed(jobs, "waiting_jobs").unionByName(store.read("waiting_jobs").drop("bucket"))
     pending = store.stage(pending, "pending")
     results = store.stage(
-        _with_bucket(distill.collected(pending, jobs), pending), "collected"
+        _with_bucket(distill.collected(pending, jobs.drop("bucket")), pending), "collected"
     )
+    over = results.filter(F.col("kind") != "pending").select("job_id")
+    writes = {"ended_jobs": Write(over.withColumn("bucket", store.bucket_of(F.col("job_id"))))}
+    if limit is None:
+        ends = distill.ends(jobs)
+        early = (
+            ends.select("job_id").distinct()
+            .join(pending.select(F.col("distill_job_id").alias("job_id")), "job_id", "left_anti")
+            .join(store.read("ended_jobs", buckets), "job_id", "left_anti")
+        )
+        early = store.stage(early, "early")
+        writes |= _still_waiting(store, "waiting_jobs", buckets, ends, early)
     counts = store.stage(distill.collect_counts(results), "counts")
     good = results.filter(F.col("kind") == "ok")
     submitted = good.select("id", "job_id", "bucket")
@@ -249,7 +335,8 @@ def collect(
     merged = distill.upsert_results(stored, batch, now, highest)
     known = store.read("episodes", touched).select(F.col("id").alias("episode_id"), "bucket")
     store.commit(
-        {
+        writes
+        | {
             "episodes": _episode_write(
                 store, results, lambda s, c: distill.apply_collected(s, c, now)
             ),
@@ -261,6 +348,22 @@ def collect(
     return counts
 
 
+def _deletion(store: StateStore, gone: DataFrame, texts: DataFrame | None = None) -> dict[str, Write]:
+    """What goes with deleted episodes (staged id, video_id, bucket): results, texts and
+    the keys of used answers. ``texts`` are added in the same commit."""
+    lost = store.touched(gone)
+
+    def rest(table: str, key: str, of: str) -> DataFrame:
+        return store.read(table, lost).join(gone.select(F.col(of).alias(key)), key, "left_anti")
+
+    kept = rest("texts", "id", "id")
+    return {
+        "texts": Write(kept if texts is None else kept.unionByName(texts.select(*kept.columns)), lost),
+        "distillations": Write(rest("distillations", "episode_id", "id"), lost),
+        "used_answers": Write(rest("used_answers", "video_id", "video_id"), lost),
+    }
+
+
 def reset_and_refetch(
     store: StateStore,
     chosen: DataFrame,
@@ -268,36 +371,39 @@ def reset_and_refetch(
     now: datetime,
     settings: Settings,
     delete_after: int | None = None,
+    used_up: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Reset episodes (U7) and apply the newest response that came since ``now``.
 
     Rows without such a response stay discovered for a later pass. With
     ``delete_after`` the rows that failed again at or over that number of tries
-    are deleted with their results. Returns (change rows, deleted ids).
+    are deleted, and so are those of ``used_up``: all in one commit. Returns
+    (change rows, deleted ids).
     """
     chosen = store.stage(chosen, "chosen")
-    touched = store.touched(chosen)
+    target = ["id", "video_id", "bucket"]
+    drop = chosen.select(*target).limit(0) if used_up is None else used_up.select(*target)
+    drop = store.stage(drop, "used_up")
+    touched = store.touched(chosen.select("bucket").unionByName(drop.select("bucket")))
     state = ch.reset_full(store.read("episodes", touched), chosen.select("id"))
-    since = responses.filter(F.col("received_at") >= F.lit(now.isoformat()).cast("timestamp"))
+    typed = _typed(responses, "waiting_answers")
+    since = typed.filter(F.col("received_at") >= F.lit(now.isoformat()).cast("timestamp"))
     newest = transcripts.newest_answer(since, chosen)
+    keys = transcripts.with_digest(newest).select(*transcripts.ANSWER).distinct()
+    keys = store.stage(keys.withColumn("bucket", store.bucket_of(F.col("video_id"))), "answers")
     changes = _transitions(store, chosen, newest, settings)
     state = store.stage(
         transcripts.apply_transitions(state, changes.drop("bucket"), now), "refetched"
     )
-    gone = store.stage(
-        queues.still_failed(state, chosen, delete_after).select("id", "bucket"), "gone"
-    )
-    lost = store.touched(gone)
-    store.commit(
-        {
-            "episodes": Write(ch.delete_episodes(state, gone), touched),
-            "texts": Write(_new_texts(changes)),
-            "distillations": Write(
-                ch.delete_results(store.read("distillations", lost), gone), lost
-            ),
-        },
-        ids=_given_ids(store),
-    )
+    failed = queues.still_failed(state, chosen, delete_after).select(*target)
+    gone = store.stage(failed.unionByName(drop), "gone")
+    writes = _deletion(store, gone, _new_texts(changes))
+    both = sorted({*writes["used_answers"].buckets, *store.touched(keys)})
+    used = store.read("used_answers", both)
+    used = used.unionByName(keys.select(*used.columns)).distinct()
+    writes["used_answers"] = Write(used.join(gone, "video_id", "left_anti").select(*used.columns), both)
+    writes["episodes"] = Write(ch.delete_episodes(state, gone), touched)
+    store.commit(writes, ids=_given_ids(store))
     return changes, gone
 
 
@@ -316,31 +422,20 @@ def retry_failed(
         store.read("episodes"), from_date, to_date, max_attempts
     )
     used_up, again = queues.split_retries(candidates, delete_after)
-    used_up = store.stage(used_up.select("id", "bucket"), "used_up")
     again = store.stage(again, "again")
-    lost = store.touched(used_up)
-    store.commit(
-        {
-            "episodes": Write(ch.delete_episodes(store.read("episodes", lost), used_up), lost),
-            "distillations": Write(
-                ch.delete_results(store.read("distillations", lost), used_up), lost
-            ),
-        },
-        ids=_given_ids(store),
+    changes, gone = reset_and_refetch(
+        store, again, responses, now, settings, delete_after, used_up
     )
-    changes, gone = reset_and_refetch(store, again, responses, now, settings, delete_after)
-    return retry_counts(used_up, again, changes, gone)
+    return retry_counts(again, changes, gone)
 
 
-def retry_counts(
-    used_up: DataFrame, again: DataFrame, changes: DataFrame, gone: DataFrame
-) -> DataFrame:
+def retry_counts(again: DataFrame, changes: DataFrame, gone: DataFrame) -> DataFrame:
     def rows(frame: DataFrame) -> Column:
         return frame.agg(F.count("*")).scalar()
 
     return transcripts.pass_counts(changes).select(
         "*",
-        (rows(used_up) + rows(gone)).alias("deleted"),
+        rows(gone).alias("deleted"),
         rows(again).alias("retried"),
         rows(again).alias("reprocessed"),
     )
@@ -392,7 +487,8 @@ def reprocess(
     settings: Settings = Settings(),
 ) -> DataFrame:
     """F8 on the store: reset (U6) and submit candidates that have text."""
-    chosen = store.stage(candidates.filter(ch.has_text(candidates)), "chosen")
+    with_text = candidates.filter(ch.has_text(candidates)).dropDuplicates(["id"])
+    chosen = store.stage(with_text, "chosen")
     touched = store.touched(chosen)
     state = ch.reset_for_reprocess(store.read("episodes", touched), chosen.select("id"))
     store.commit({"episodes": Write(state, touched)})
@@ -403,19 +499,11 @@ def reprocess(
 
 def delete(store: StateStore, ids: DataFrame) -> int:
     """U8 on the store; returns the number of deleted episodes."""
-    gone = store.stage(
-        reports.episodes_by_id(store.read("episodes"), ids).select("id", "bucket"), "gone"
-    )
+    found = reports.episodes_by_id(store.read("episodes"), ids)
+    gone = store.stage(found.select("id", "video_id", "bucket"), "gone")
     touched = store.touched(gone)
-    store.commit(
-        {
-            "episodes": Write(ch.delete_episodes(store.read("episodes", touched), gone), touched),
-            "distillations": Write(
-                ch.delete_results(store.read("distillations", touched), gone), touched
-            ),
-        },
-        ids=_given_ids(store),
-    )
+    state = Write(ch.delete_episodes(store.read("episodes", touched), gone), touched)
+    store.commit(_deletion(store, gone) | {"episodes": state}, ids=_given_ids(store))
     return gone.count()
 
 

@@ -60,8 +60,8 @@ EPISODES = _fields(
     ("distilled_at", _T, True),
 )
 
-#: One row per stored transcript. Rows are only added; a version is the number
-#: of the commit that stored it.
+#: One row per stored transcript. Rows are only added, until their episode is
+#: deleted; a version is the number of the commit that stored it.
 TEXTS = _fields(("id", _L, False), ("text_version", _L, False), ("raw_text", _S, False))
 
 DISTILLATIONS = _fields(
@@ -90,11 +90,31 @@ INGEST_RUNS = _fields(
     ("updated_at", _T, True),
 )
 
+#: Landed input that came before its episode or submission; it waits for them.
+WAITING_ANSWERS = _fields(
+    ("video_id", _S, False), ("http_status", _I, True), ("received_at", _T, True), ("body", _S, True)
+)
+WAITING_JOBS = _fields(
+    ("job_id", _S, False),
+    ("status", _S, True),
+    ("error", _S, True),
+    ("result", _S, True),
+    ("received_at", _T, True),
+)
+
+#: Keys of the input that passes have used: it counts once, however often it is read.
+USED_ANSWERS = _fields(("video_id", _S, False), ("received_at", _T, False), ("digest", _L, False))
+ENDED_JOBS = _fields(("job_id", _S, False))
+
 TABLES = {
     "episodes": EPISODES,
     "texts": TEXTS,
     "distillations": DISTILLATIONS,
     "ingest_runs": INGEST_RUNS,
+    "waiting_answers": WAITING_ANSWERS,
+    "waiting_jobs": WAITING_JOBS,
+    "used_answers": USED_ANSWERS,
+    "ended_jobs": ENDED_JOBS,
 }
 
 # Landed files, one JSON document per line. Each schema carries the corrupt

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmill.operators.discovery import channel_targets
@@ -38,6 +39,14 @@ def _drain(
     )
 
 
+def _matched(store: StateStore, table: str, key: str, column: str) -> bool:
+    """Whether something that waits has its episode by now."""
+    if not store.pointer()["tables"].get(table):
+        return False
+    known = store.read("episodes").select(F.col(column).alias(key))
+    return not store.read(table).select(key).join(known, key, "left_semi").isEmpty()
+
+
 def discover(
     store: StateStore,
     landing: str,
@@ -70,8 +79,11 @@ def fetch(
     """Landed responses -> transcripts and transitions of eligible episodes.
 
     The batch is bounded by files, not by a row limit: an answer that has been
-    fetched and paid for is never dropped.
+    fetched and paid for is never dropped. One that comes before its episode waits
+    in the state; what waits for episodes known by now is taken first.
     """
+    if _matched(store, "waiting_answers", "video_id", "video_id"):
+        passes.fetch(store, None, now, run_date, settings, None)
     docs = landed.read_responses(
         store.spark, landing, stream=True, files_per_batch=files_per_batch
     )
@@ -91,7 +103,12 @@ def collect(
     files_per_batch: int | None = None,
     name: str = "collect",
 ) -> StreamingQuery:
-    """Landed job documents -> results and transitions of pending episodes."""
+    """Landed job documents -> results and transitions of pending episodes.
+
+    The end of a job that no episode has yet waits in the state, as answers do in X2.
+    """
+    if _matched(store, "waiting_jobs", "job_id", "distill_job_id"):
+        passes.collect(store, None, now, run_date, settings, None)
     docs = landed.read_jobs(store.spark, landing, stream=True, files_per_batch=files_per_batch)
 
     def apply(local: StateStore, rows: DataFrame, applied: dict[str, int]) -> None:

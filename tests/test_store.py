@@ -311,6 +311,68 @@ def test_receipts_delivered_twice_count_once(store, tmp_path):
     assert state["a"].distill_job_id == "j1" and state["b"].last_error == "no"
 
 
+def test_answers_before_their_episode_wait_for_it(store, tmp_path):
+    """The same state whether answers land before or after discovery, in any batches."""
+    for i, doc in enumerate(HISTORY):
+        land(tmp_path / "answers", f"{i}.json", doc)
+    shown = {}
+    for name, files, early in (("late", None, 0), ("early", 2, 1), ("mixed", None, 1)):
+        one = StateStore(store.spark, f"{store.root}-{name}", 4)
+        if not early:
+            seed(one, tmp_path, "a", "b", "c")
+        args = (one, str(tmp_path / "answers"), NOW, DAY, SETTINGS, files)
+        streams.fetch(*args).awaitTermination()
+        waiting = one.read("waiting_answers").count()
+        assert waiting == (len(HISTORY) if early else 1)
+        if early:
+            seed(one, tmp_path, "a", "b", "c")
+            streams.fetch(*args).awaitTermination()  # no new file lands
+        assert rows(one.read("waiting_answers"), "video_id") == [("unknown",)]
+        shown[name] = rows(one.read("episodes"), *SHOWN), run_row(one).transcripts_fetched
+    assert shown["late"] == shown["early"] == shown["mixed"] and shown["late"][1] == 2
+
+
+def test_job_results_before_the_submission_wait_for_it(store, tmp_path):
+    fetched(store, tmp_path, "a", "b")
+    receipts = store.spark.createDataFrame([("a", "j1"), ("b", "j2")], "video_id string, job_id string")
+    receipts = receipts.withColumn("error", F.lit(None).cast("string"))
+    end = {"job_id": "j1", "status": "succeeded", "result": GOOD, "received_at": "2024-05-01T12:00:00Z"}
+    land(tmp_path / "jobs", "1.json", end, {"job_id": "j2", "status": "running"})
+    args = (store, str(tmp_path / "jobs"), NOW, DAY, SETTINGS)
+    streams.collect(*args).awaitTermination()
+    assert rows(store.read("waiting_jobs"), "job_id") == [("j1",)]
+    passes.submit(store, str(tmp_path / "box"), "b1", NOW, DAY, SETTINGS, receipts)
+    land(tmp_path / "jobs", "2.json", {"job_id": "j2", "status": "failed", "error": "boom"})
+    streams.collect(*args).awaitTermination()
+    assert rows(store.read("episodes"), "video_id", "status") == [("a", "done"), ("b", "failed")]
+    # a document that comes once more is not kept
+    land(tmp_path / "jobs", "3.json", end)
+    streams.collect(*args).awaitTermination()
+    assert store.read("waiting_jobs").count() == 0 and store.read("distillations").count() == 1
+
+
+def test_batch_fetch_counts_an_answer_once(store, tmp_path):
+    seed(store, tmp_path, "a", "b")
+    land(tmp_path / "answers", "1.json", answer("a", 404, {}), {"video_id": "b", "http_status": 404})
+    docs = landed.read_responses(store.spark, str(tmp_path / "answers"))
+    for limit in (200, 200, None):
+        passes.fetch(store, docs, NOW, DAY, SETTINGS, limit)
+    assert rows(store.read("episodes"), "video_id", "attempts") == [("a", 1), ("b", 1)]
+    land(tmp_path / "answers", "2.json", answer("a", 404, {}, 5))
+    docs = landed.read_responses(store.spark, str(tmp_path / "answers"))
+    passes.fetch(store, docs, NOW, DAY, SETTINGS)
+    assert rows(store.read("episodes"), "video_id", "attempts") == [("a", 2), ("b", 1)]
+
+
+def test_deleted_episodes_leave_no_text(store, tmp_path):
+    fetched(store, tmp_path, "a", "b", "c")
+    gone = store.read("episodes").filter("video_id = 'b'").select("id")
+    assert passes.delete(store, gone) == 1
+    kept = reports.with_text(store.read("episodes"), store.read("texts"))
+    assert rows(kept, "raw_text") == [("text a",), ("text c",)] and store.read("texts").count() == 2
+    assert rows(store.read("used_answers"), "video_id") == [("a",), ("c",)]
+
+
 def test_deleted_ids_are_not_given_again(store, tmp_path, spark):
     land(tmp_path / "feeds", "1.json", feed_doc("@a", "v1", "v2"))
     discover(store, tmp_path / "feeds")
