@@ -59,14 +59,23 @@ def discover(
     settings: Settings = Settings(),
     applied: Applied = None,
 ) -> DataFrame:
-    """Feed documents -> new episodes and the run row. Returns crawled / new."""
-    wanted = discovery.join_feeds(discovery.with_channel_ref(targets), feed_rows(docs))
-    recent = discovery.within_lookback(
-        discovery.normalise_feed(wanted), now, settings.lookback_days
-    )
-    items = store.stage(
-        discovery.newest(discovery.first_wins(recent), settings.max_items), "items"
-    )
+    """Feed documents -> new episodes and the run row. Returns crawled / new.
+
+    Feeds that can't be read are a failure in the run row, and raised again.
+    """
+    try:
+        wanted = discovery.join_feeds(discovery.with_channel_ref(targets), feed_rows(docs))
+        recent = discovery.within_lookback(
+            discovery.normalise_feed(wanted), now, settings.lookback_days
+        )
+        items = store.stage(
+            discovery.newest(discovery.first_wins(recent), settings.max_items), "items"
+        )
+    except Exception as error:
+        stored = store.read("ingest_runs").drop("bucket")
+        failed = runs.failed_discovery_run(stored, run_date, str(error), now)
+        store.commit({"ingest_runs": _run_write(failed)})
+        raise
     known = store.read("episodes")
     fresh = discovery.as_discovered(
         discovery.number_bulk(
@@ -441,33 +450,47 @@ def retry_counts(again: DataFrame, changes: DataFrame, gone: DataFrame) -> DataF
     )
 
 
-def requeue(
+def restart(
     store: StateStore,
     video_ids: DataFrame,
     responses: DataFrame,
-    outbox: str,
-    batch: str,
     now: datetime,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """full reset, new transcript, new submission. Returns video_id, outcome.
+    """Full reset and new transcript, nothing submitted. Returns video_id, outcome.
 
     The outcome of an unknown id is ``not_found``, of a row without a new
     response ``waiting``.
     """
-    episodes = store.read("episodes")
-    chosen = reports.episodes_by_id(episodes, video_ids, "video_id")
+    chosen = reports.episodes_by_id(store.read("episodes"), video_ids, "video_id")
     asked = video_ids.select("video_id").distinct()
     known = store.stage(chosen.select("id", "video_id", "bucket"), "known")
     changes, _ = reset_and_refetch(store, chosen, responses, now, settings)
     outcomes = changes.select("video_id", "outcome")
-    refetched = (
-        reports.episodes_by_id(store.read("episodes"), known)
-        .filter(F.col("status") == "fetched")
-    )
-    result = store.stage(requeue_outcomes(asked, known, outcomes), "outcomes")
+    return store.stage(requeue_outcomes(asked, known, outcomes), "outcomes")
+
+
+def requeue(
+    store: StateStore,
+    video_ids: DataFrame,
+    responses: DataFrame,
+    outbox: str,
+    batch: str,
+    now: datetime,
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """:func:`restart`, then a new submission. Returns video_id, outcome."""
+    outcomes = restart(store, video_ids, responses, now, settings)
+    again = outcomes.filter(F.col("outcome") == "fetched")
+    refetched = reports.episodes_by_id(store.read("episodes"), again, "video_id")
     _submit_rows(store, refetched, outbox, batch, settings)
-    return result
+    return outcomes
+
+
+def restart_counts(outcomes: DataFrame) -> DataFrame:
+    """T11 counts and ``reprocessed`` of the outcomes of a restart or requeue."""
+    reset = F.count_if(F.col("outcome") != "not_found").alias("reprocessed")
+    return transcripts.pass_counts(outcomes).select("*", outcomes.agg(reset).scalar().alias("reprocessed"))
 
 
 def requeue_outcomes(asked: DataFrame, known: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -114,6 +114,17 @@ def test_discovery_stream_in_batches_and_replayed(store, tmp_path):
     )
 
 
+def test_failed_discovery_is_recorded(store, spark, tmp_path):
+    land(tmp_path / "feeds", "1.json", feed_doc("@a", "v"))
+    gone = F.when(F.col("channel").isNotNull(), F.raise_error(F.lit("feed is gone"))).otherwise("")
+    docs = landed.read_feeds(spark, str(tmp_path / "feeds")).withColumn("channel", gone)
+    with pytest.raises(Exception, match="feed is gone"):
+        passes.discover(store, docs, discovery.channel_targets(spark, "a"), NOW, DAY, SETTINGS)
+    run = run_row(store)
+    assert (run.status, run.failures, run.episodes_discovered) == ("failed", 1, 0)
+    assert "feed is gone" in json.loads(run.notes)["error"] and store.read("episodes").count() == 0
+
+
 def seed(store, tmp_path, *videos):
     land(tmp_path / "feeds", "1.json", feed_doc("@a", *videos))
     discover(store, tmp_path / "feeds")
@@ -252,6 +263,8 @@ def test_requeue_and_retry(store, tmp_path, spark):
     box = str(tmp_path / "box")
     got = passes.requeue(store, asked, docs, box, "r1", NOW, SETTINGS)
     assert rows(got, "video_id", "outcome") == [("a", "fetched"), ("b", "unavailable"), ("zz", "not_found")]
+    counts = passes.restart_counts(got).first()
+    assert (counts.reprocessed, counts.transcripts_fetched, counts.unavailable, counts.failures) == (2, 1, 1, 0)
     assert job_of(store, "a") and not job_of(store, "b")
     sent = outbox.read_requests(spark, box).collect()
     assert [json.loads(r.request)["text"] for r in sent] == ["newer a"]
