@@ -118,6 +118,50 @@ def test_near_copies_against_all_pairs(spark):
     assert found == {i: root(i) for i in range(n)}
 
 
+def test_near_copies_through_a_hub_and_along_a_chain(spark):
+    rng = np.random.default_rng(5)
+    original = [f"o{i}" for i in range(400)]
+    rows = []
+    for i in range(2001):  # each similar to the original only, whose id is in the middle
+        own = list(original)
+        for at in rng.choice(400, 8, replace=False) if i != 1000 else ():
+            own[at] = f"e{rng.integers(10**9)}"
+        rows.append((i, " ".join(own)))
+    line = [f"c{i}" for i in range(400 + 36 * 60)]
+    for k, i in enumerate(rng.permutation(60)):  # each similar to the next and the one before only
+        rows.append((3000 + int(i), " ".join(line[36 * k : 36 * k + 400])))
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(made, minhash.Near(size=4)).collect()}
+    sets = {i: minhash.shingles(minhash.words_of(t.encode()), 4) for i, t in rows}
+
+    def similar(i, j):
+        both = len(sets[i] & sets[j])
+        return 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+
+    # few copies keep under 0.8 of the original, where replaced words lie far apart
+    hub = {i for i in range(2001) if similar(i, 1000)}
+    assert len(hub) > 1900 and {found[i] for i in hub} == {min(hub)}
+    assert {c for i, c in found.items() if i >= 3000} == {3000}
+
+
+def test_blocks_of_members_and_texts_change_nothing(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(150)]
+        for k in range(40):
+            own = list(words)
+            for at in rng.choice(150, 4, replace=False):
+                own[at] = f"e{rng.integers(10**9)}"
+            rows.append((g * 40 + k, " ".join(own)))
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def found(**sizes):
+        return sorted(minhash.near_duplicates(made, minhash.Near(size=4, **sizes)).collect())
+
+    assert found(centres=1, block=7, held=5) == found()
+
+
 # secrets
 
 
