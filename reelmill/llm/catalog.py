@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from reelmill.llm import (
     bpe,
     chat,
+    collocations,
     exact_dedup,
     maxent,
     minhash,
     packing,
+    periodic_runs,
+    quality_rules,
     secrets,
     simhash,
     toxicity,
@@ -18,7 +21,21 @@ from reelmill.llm import (
 )
 
 _ALL = {}
-for _module in (exact_dedup, secrets, toxicity, url_filter, minhash, bpe, packing, chat, simhash, maxent):
+for _module in (
+    exact_dedup,
+    secrets,
+    toxicity,
+    url_filter,
+    minhash,
+    bpe,
+    packing,
+    chat,
+    simhash,
+    maxent,
+    periodic_runs,
+    collocations,
+    quality_rules,
+):
     _ALL |= _module.QUERIES
 
 
