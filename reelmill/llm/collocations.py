@@ -53,7 +53,7 @@ class Mining:
     longest: int = 5
     least: int = 100
     inside: int = 100
-    batch_bytes: int = 32 << 20
+    batch_bytes: int = 8 << 20
     table_bytes: int = 128 << 20
 
 
@@ -172,29 +172,12 @@ def windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataF
     def run(batches):
         known = sent.value
         for held in _batches(batches, how.batch_bytes):
-            x, hashes = held.words(), held.hashes()
-            langs = np.array([of for of, _ in held.numbers], np.int64)
+            langs, words, counts = _counted(held, known, how.longest)
             vocabulary = pa.array([word for _, word in held.numbers], pa.binary()).cast(pa.string())
-            often = np.append(_known(known, hashes), False)
-            hashes = np.append(hashes, np.uint64(0))
-            lead = np.where(often[x], x, -1)  # -1 is the last of ``often``: not known
-            goes_on = np.zeros(len(x), bool)
-            goes_on[:-1] = (lead[:-1] >= 0) & (lead[1:] >= 0) & _known(known, _pair_hashes(hashes[x[:-1]], hashes[x[1:]]))
-            word_at = np.flatnonzero(x >= 0)
-            lang = langs[x[word_at]]
-            column, on, columns = lead[word_at], lead[word_at] >= 0, []
-            for i in range(how.longest):
-                columns.append(np.where(on, column, -1))
-                if i + 1 < how.longest:
-                    at = np.minimum(word_at + i, len(x) - 1)
-                    on = on & goes_on[at]
-                    column = lead[np.minimum(at + 1, len(x) - 1)]
-            keys = np.stack([lang, *columns])
-            keys, counts = _counted(keys)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(held.langs), pa.string()).take(pa.array(keys[0])),
-                    *[vocabulary.take(pa.array(k, mask=k < 0)) for k in keys[1:]],
+                    pa.array(list(held.langs), pa.string()).take(pa.array(langs)),
+                    *[vocabulary.take(pa.array(column, mask=column < 0)) for column in words],
                     pa.array(counts),
                 ],
                 ["lang", *names, "n"],
@@ -203,14 +186,41 @@ def windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataF
     return _named(docs).mapInArrow(run, ", ".join(["lang string", *(f"{name} string" for name in names), "n long"]))
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns of ``keys`` and how often each comes."""
-    order = np.lexsort(keys[::-1])
-    sorted_keys = keys[:, order]
-    first = np.ones(len(order), bool)
-    first[1:] = (sorted_keys[:, 1:] != sorted_keys[:, :-1]).any(axis=0)
-    starts = np.flatnonzero(first)
-    return sorted_keys[:, starts], np.diff(np.append(starts, len(order)))
+def _counted(held: _Numbered, known: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, words (one row a column, -1 for none) and count of the distinct windows.
+
+    Windows grow column by column: those that go on are told apart by the window so far
+    and the next word, and most stop early.
+    """
+    x, hashes = held.words(), held.hashes()
+    n_langs, n_words = len(held.langs), len(hashes)
+    often = np.append(_known(known, hashes), False)  # the last is for -1, no word
+    hashes = np.append(hashes, np.uint64(0))
+    lead = np.where(often[x], x, -1)
+    goes_on = np.zeros(len(x), bool)
+    goes_on[:-1] = (lead[:-1] >= 0) & (lead[1:] >= 0)
+    at = np.flatnonzero(goes_on)
+    goes_on[at] = _known(known, _pair_hashes(hashes[lead[at]], hashes[lead[at + 1]]))
+    # windows of no word by language, then those of one word
+    of_word = np.array([of for of, _ in held.numbers], np.int64)
+    langs = np.append(np.arange(n_langs), of_word)
+    words = np.full((longest, n_langs + n_words), -1)
+    words[0, n_langs:] = np.arange(n_words)
+    word_at = np.flatnonzero(x >= 0)
+    window = np.where(lead[word_at] >= 0, n_langs + lead[word_at], of_word[x[word_at]])
+    active = np.flatnonzero(lead[word_at] >= 0)
+    for column in range(1, longest):
+        active = active[goes_on[word_at[active] + column - 1]]
+        following = lead[word_at[active] + column]
+        grown, which = np.unique(window[active] * n_words + following, return_inverse=True)
+        shorter = grown // max(n_words, 1)
+        added = words[:, shorter]
+        added[column] = grown % max(n_words, 1)
+        window[active] = words.shape[1] + which
+        words, langs = np.concatenate([words, added], axis=1), np.append(langs, langs[shorter])
+    counts = np.bincount(window, minlength=words.shape[1])
+    there = np.flatnonzero(counts)
+    return langs[there], words[:, there], counts[there]
 
 
 def _phrase(words: list[Column]) -> Column:
