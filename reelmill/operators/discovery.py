@@ -14,7 +14,6 @@ from reelmill.functions.times import moment, parse_published
 DEFAULT_SLUG = "allin"
 DEFAULT_HANDLE = "allin"
 LOOKBACK_DAYS = 14
-MAX_ITEMS = 80
 WATCH_URL = "https://www.youtube.com/watch?v="
 
 _TARGET = "struct<channel_id string, channel_handle string, channel_slug string>"
@@ -139,8 +138,8 @@ def newest_feed_order(items: DataFrame) -> list:
     return [F.col("published_at").desc_nulls_last(), *_feed_order(items), F.col("video_id")]
 
 
-def newest(items: DataFrame, max_items: int | None = MAX_ITEMS) -> DataFrame:
-    """The newest ``max_items``, ties in feed order; None (a bulk load) keeps all."""
+def newest(items: DataFrame, max_items: int | None = None) -> DataFrame:
+    """The newest ``max_items``, ties in feed order; all of them without a number."""
     if max_items is None:
         return items
     return items.orderBy(*newest_feed_order(items)).limit(max_items)
@@ -162,16 +161,14 @@ def next_id(table: DataFrame) -> Column:
     return F.coalesce(table.agg(F.max("id")).scalar(), F.lit(0)) + 1
 
 
-def new_episodes(items: DataFrame, episodes: DataFrame, now: datetime) -> DataFrame:
-    """The rows to insert, numbered in newest-first order of the batch.
-
-    The batch is at most the pass's ``max_items`` rows, so one task may number
-    it; :func:`number_bulk` is the form for whole loads.
-    """
+def new_episodes(
+    items: DataFrame, episodes: DataFrame, now: datetime, workdir: str, last_id: int = 0
+) -> DataFrame:
+    """The rows to insert, numbered in newest-first order of the batch, above the
+    stored ids and ``last_id``."""
+    start = F.greatest(next_id(episodes), F.lit(last_id + 1))
     fresh = unseen(items, episodes)
-    place = Window.orderBy(*newest_feed_order(items))
-    numbered = fresh.withColumn("id", F.row_number().over(place) - 1 + next_id(episodes))
-    return as_discovered(numbered, now)
+    return as_discovered(number_bulk(fresh, newest_feed_order(items), start, workdir), now)
 
 
 def as_discovered(numbered: DataFrame, now: datetime) -> DataFrame:

@@ -12,7 +12,7 @@ from reelmill.functions.text import first_truthy
 from reelmill.functions.times import iso_utc, moment
 from reelmill.operators.changes import has_text, new, reset_for_reprocess, update_rows
 from reelmill.operators.discovery import next_id
-from reelmill.operators.queues import MAX_DISTILL_ATTEMPTS, PASS_LIMIT, needing_distill
+from reelmill.operators.queues import MAX_DISTILL_ATTEMPTS, needing_distill
 from reelmill.operators.transcripts import ERROR_CHARS
 
 # The request's source marks and options.
@@ -70,7 +70,7 @@ def job_id_for(batch: str) -> Column:
 def submissions(
     episodes: DataFrame,
     batch: str,
-    limit: int = PASS_LIMIT,
+    limit: int | None = None,
     max_attempts: int = MAX_DISTILL_ATTEMPTS,
     receipts: DataFrame | None = None,
 ) -> DataFrame:
@@ -87,17 +87,22 @@ def assign_jobs(queue: DataFrame, batch: str, receipts: DataFrame | None = None)
     if receipts is None:
         job = first_truthy(F.col("distill_job_id"), job_id_for(batch))
         return queue.select("id", "video_id", job.alias("job_id"), F.lit(None).cast("string").alias("error"))
-    # one receipt per video, however often it came: a job id counts before a refusal
-    each = receipts.groupBy("video_id").agg(
-        F.min(F.when(F.col("job_id") != "", F.col("job_id"))).alias("given"),
-        F.min(F.when(F.col("error") != "", F.col("error"))).alias("refusal"),
-    )
+    each = receipts if "given" in receipts.columns else one_receipt(receipts)
     answered = queue.join(each, "video_id")
     job = F.nullif(first_truthy(F.col("distill_job_id"), F.col("given")), F.lit(""))
     error = F.when(job.isNull(), F.substring(first_truthy(F.col("refusal"), NO_JOB_ID), 1, ERROR_CHARS))
     return answered.select("id", "video_id", job.alias("job_id"), error.alias("error"))
 
 
+def one_receipt(receipts: DataFrame) -> DataFrame:
+    """video_id, given, refusal: one row per video, however often its receipt came; a job
+    id counts before a refusal."""
+    return receipts.groupBy("video_id").agg(
+        F.min(F.when(F.col("job_id") != "", F.col("job_id"))).alias("given"),
+        F.min(F.when(F.col("error") != "", F.col("error"))).alias("refusal"),
+    )
+
+
 def apply_submissions(episodes: DataFrame, submitted: DataFrame) -> DataFrame:
     """F5, F6 on the state: job id and cleared error, or a failed attempt."""
     refused = new("job_id").isNull()
@@ -221,9 +226,15 @@ def collected(pending: DataFrame, jobs: DataFrame) -> DataFrame:
     """
     queue = pending.select("id", "video_id", F.col("distill_job_id").alias("job_id"))
     mine = ends(jobs).join(queue.select("job_id"), "job_id", "left_semi")
-    rest = [c for c in mine.columns if c not in ("job_id", schemas.CORRUPT)]
-    first = F.min_by(F.struct(*rest), F.struct("received_at", "status", "result"))
-    final = mine.groupBy("job_id").agg(first.alias("end")).select("job_id", "end.*")
+    mine = mine.drop(schemas.CORRUPT).withColumn("digest", F.xxhash64("status", "error", "result"))
+    # keys are compared; the documents they choose are moved once
+    first = F.min(F.struct("received_at", "digest")).alias("first")
+    keys = mine.groupBy("job_id").agg(first).select(
+        F.col("job_id").alias("of"), F.col("first.received_at").alias("at"), F.col("first.digest").alias("which")
+    )
+    same = (F.col("job_id") == F.col("of")) & F.col("received_at").eqNullSafe(F.col("at"))
+    chosen = mine.join(keys, same & (F.col("digest") == F.col("which")), "left_semi").drop("digest")
+    final = chosen.dropDuplicates(["job_id"])
     joined = queue.join(classify_jobs(final), "job_id", "left")
     return joined.withColumn("kind", F.coalesce("kind", F.lit("pending")))
 

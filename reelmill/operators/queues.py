@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from reelmill.functions.times import in_date_range
 from reelmill.operators.changes import has_text
 
-# Rows per pass and attempt ceilings.
-PASS_LIMIT = 200
+# Attempt ceilings.
 MAX_ATTEMPTS = 5
 MAX_DISTILL_ATTEMPTS = 10
 
@@ -18,24 +17,24 @@ def newest_first() -> list[Column]:
     return [F.col("published_at").desc_nulls_last(), F.col("id").desc()]
 
 
-def _head(episodes: DataFrame, condition: Column, limit: int | None) -> DataFrame:
-    # sort + limit in one step: every task keeps its best ``limit`` rows; without
-    # a limit (all that is eligible, for a batch of answers) there is no order
-    wanted = episodes.filter(condition)
-    return wanted if limit is None else wanted.orderBy(*newest_first()).limit(limit)
+def head(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The newest ``limit`` rows; all of them, in no order, without a limit.
+
+    Sort and limit are one step: every task keeps its best rows."""
+    return rows if limit is None else rows.orderBy(*newest_first()).limit(limit)
 
 
 def needing_transcript(
-    episodes: DataFrame, limit: int | None = PASS_LIMIT, max_attempts: int = MAX_ATTEMPTS
+    episodes: DataFrame, limit: int | None = None, max_attempts: int = MAX_ATTEMPTS
 ) -> DataFrame:
     """Q1: new episodes, or failures without text that have tries left."""
     retry = (F.col("status") == "failed") & ~has_text(episodes)
     wanted = (F.col("status") == "discovered") | (retry & (F.col("attempts") < max_attempts))
-    return _head(episodes, wanted, limit)
+    return head(episodes.filter(wanted), limit)
 
 
 def needing_distill(
-    episodes: DataFrame, limit: int | None = PASS_LIMIT, max_attempts: int = MAX_DISTILL_ATTEMPTS
+    episodes: DataFrame, limit: int | None = None, max_attempts: int = MAX_DISTILL_ATTEMPTS
 ) -> DataFrame:
     """Q2: texts that are not submitted, or failed submissions with tries left."""
     retry = (
@@ -44,13 +43,13 @@ def needing_distill(
         & (F.col("distill_attempts") < max_attempts)
     )
     wanted = F.col("distill_job_id").isNull() & ((F.col("status") == "fetched") | retry)
-    return _head(episodes, wanted, limit)
+    return head(episodes.filter(wanted), limit)
 
 
-def pending_distill(episodes: DataFrame, limit: int | None = PASS_LIMIT) -> DataFrame:
+def pending_distill(episodes: DataFrame, limit: int | None = None) -> DataFrame:
     """Q3: submitted jobs whose result is not in yet."""
     wanted = (F.col("status") == "fetched") & F.col("distill_job_id").isNotNull()
-    return _head(episodes, wanted, limit)
+    return head(episodes.filter(wanted), limit)
 
 
 def failed_candidates(

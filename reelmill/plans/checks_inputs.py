@@ -216,6 +216,11 @@ def newest(spark, sf):
     return _shown(discovery.newest(discovery.first_wins(_recent(spark, sf))))
 
 
+@query("d9_newest_80", "items", f"SELECT {_ITEM}, feed_pos FROM items WHERE pos <= 80")
+def newest_80(spark, sf):
+    return _shown(discovery.newest(discovery.first_wins(_recent(spark, sf)), 80))
+
+
 # -- languages --------------------------------------------------------------------
 
 _PREF = "lang || '-' || upper(source) || ' , ASR,' || source || ', asr-' || lang || ',, ' || lang"

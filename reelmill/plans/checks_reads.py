@@ -277,45 +277,44 @@ def episode_detail(spark, sf):
 # -- queues -------------------------------------------------------------------
 
 _QUEUE = "id, video_id, status, attempts, distill_attempts, distill_job_id"
-_QUEUE_COLS = [*_QUEUE.split(", "), "pos"]
-
-
-def _queue_sql(condition: str) -> str:
-    return f"""SELECT {_QUEUE}, pos FROM (
-        SELECT *, row_number() OVER (ORDER BY published_at DESC NULLS LAST, id DESC) AS pos
-          FROM ep WHERE {condition}) WHERE pos <= 200"""
+_QUEUE_COLS = _QUEUE.split(", ")
+_QUEUES = {
+    "q1_needing_transcript": (
+        queues.needing_transcript,
+        "status = 'discovered' OR (status = 'failed' AND raw_text IS NULL AND attempts < 5)",
+    ),
+    "q2_needing_distill": (
+        queues.needing_distill,
+        """(status = 'fetched' AND distill_job_id IS NULL) OR (status = 'failed'
+           AND raw_text IS NOT NULL AND distill_job_id IS NULL AND distill_attempts < 10)""",
+    ),
+    "q3_pending_distill": (
+        queues.pending_distill,
+        "status = 'fetched' AND distill_job_id IS NOT NULL",
+    ),
+}
 
 
-@query(
-    "q1_needing_transcript",
-    "ep",
-    _queue_sql(
-        "status = 'discovered' OR (status = 'failed' AND raw_text IS NULL AND attempts < 5)"
-    ),
-)
-def needing_transcript(spark, sf):
-    return _ranked(queues.needing_transcript(fx.episodes(spark, sf))).select(*_QUEUE_COLS)
+def _queue(name: str, select, condition: str) -> None:
+    """A queue over the whole table, and the newest 200 of it in their order."""
 
+    @query(name, "ep", f"SELECT {_QUEUE} FROM ep WHERE {condition}")
+    def whole(spark, sf):
+        return select(fx.episodes(spark, sf)).select(*_QUEUE_COLS)
 
-@query(
-    "q2_needing_distill",
-    "ep",
-    _queue_sql(
-        """(status = 'fetched' AND distill_job_id IS NULL) OR (status = 'failed'
-           AND raw_text IS NOT NULL AND distill_job_id IS NULL AND distill_attempts < 10)"""
-    ),
-)
-def needing_distill(spark, sf):
-    return _ranked(queues.needing_distill(fx.episodes(spark, sf))).select(*_QUEUE_COLS)
+    @query(
+        f"{name}_200",
+        "ep",
+        f"""SELECT {_QUEUE}, pos FROM (
+            SELECT *, row_number() OVER (ORDER BY published_at DESC NULLS LAST, id DESC) AS pos
+              FROM ep WHERE {condition}) WHERE pos <= 200""",
+    )
+    def newest(spark, sf):
+        return _ranked(select(fx.episodes(spark, sf), 200)).select(*_QUEUE_COLS, "pos")
 
 
-@query(
-    "q3_pending_distill",
-    "ep",
-    _queue_sql("status = 'fetched' AND distill_job_id IS NOT NULL"),
-)
-def pending_distill(spark, sf):
-    return _ranked(queues.pending_distill(fx.episodes(spark, sf))).select(*_QUEUE_COLS)
+for _name, (_select, _condition) in _QUEUES.items():
+    _queue(_name, _select, _condition)
 
 
 _FOUND = ["id", "video_id", "status", "attempts", "last_error"]

@@ -13,6 +13,7 @@ from reelmill.plans.checks_inputs import _recent, naive
 from reelmill.plans.flagship import summary_after_pass
 from reelmill.plans.checks_reads import _COMPLETED, _RUN, labelled_ids
 from reelmill.plans.oracle import hashed, with_tables
+from reelmill.sources.store import work_dir
 
 QUERIES: dict = {}
 NOW = fx.NOW
@@ -230,7 +231,7 @@ _FRESH = f"""fresh AS (SELECT *, row_number() OVER (
 )
 def insert_new(spark, sf):
     items = discovery.newest(discovery.first_wins(_recent(spark, sf)))
-    fresh = discovery.new_episodes(items, _known(spark, sf), NOW)
+    fresh = discovery.new_episodes(items, _known(spark, sf), NOW, work_dir(spark))
     return fresh.select(
         "id", "video_id", "channel_slug", "title", naive("published_at"), "status", "attempts"
     )
@@ -345,7 +346,7 @@ def classify_jobs(spark, sf):
 @query(
     "f3_extract_results",
     "jobs",
-    """SELECT job_id, 'm1' AS model, 'unknown' AS prompt_version, 'sum ' || d AS summary,
+    """SELECT job_id, 'm1' AS model, 'unknown' AS prompt_version, summary,
               'a,b' AS key_topics, '{"n":' || d || '}' AS segments,
               '{"total_tokens":' || d || '}' AS token_usage, 'r' || d AS request_id
          FROM jobs WHERE kind = 'ok'""",
@@ -358,9 +359,7 @@ def extract_results(spark, sf):
     )
 
 
-_PENDING = """pending AS (SELECT id FROM (SELECT id, row_number() OVER (
-        ORDER BY published_at DESC NULLS LAST, id DESC) AS pos
-        FROM ep WHERE status = 'fetched' AND distill_job_id IS NOT NULL) WHERE pos <= 200)"""
+_PENDING = """pending AS (SELECT id FROM ep WHERE status = 'fetched' AND distill_job_id IS NOT NULL)"""
 
 
 def _collected(spark, sf) -> DataFrame:
@@ -418,11 +417,9 @@ def collect_state(spark, sf):
     )
 
 
-_SUBMIT = """queue AS (SELECT * FROM (SELECT *, row_number() OVER (
-        ORDER BY published_at DESC NULLS LAST, id DESC) AS pos FROM ep
+_SUBMIT = """queue AS (SELECT * FROM ep
         WHERE (status = 'fetched' AND distill_job_id IS NULL) OR (status = 'failed'
-          AND raw_text IS NOT NULL AND distill_job_id IS NULL AND distill_attempts < 10))
-        WHERE pos <= 200)"""
+          AND raw_text IS NOT NULL AND distill_job_id IS NULL AND distill_attempts < 10))"""
 _JOB = "sha256(video_id || '|' || distill_attempts || '|b1')"
 
 
@@ -686,10 +683,8 @@ def stage_accounting(spark, sf):
                raw_text IS NOT NULL AS has_text FROM ep
         UNION ALL SELECT pos + (SELECT max(id) FROM ep), video_id, published_at, 'discovered', 0,
                NULL, NULL, NULL, false FROM items),
-       queue AS (SELECT * FROM (SELECT *, row_number() OVER (
-               ORDER BY published_at DESC NULLS LAST, id DESC) AS place FROM state
-               WHERE status = 'discovered'
-                  OR (status = 'failed' AND NOT has_text AND attempts < 5)) WHERE place <= 200),
+       queue AS (SELECT * FROM state WHERE status = 'discovered'
+                  OR (status = 'failed' AND NOT has_text AND attempts < 5)),
        after AS (SELECT coalesce(m.new_status, s.status) AS status,
                CASE WHEN m.id IS NULL THEN s.last_error ELSE coalesce(m.reason, m.error) END
                  AS last_error,

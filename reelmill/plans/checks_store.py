@@ -6,7 +6,7 @@ to the shared folder; each run uses a new directory of its own.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmill import schemas
@@ -116,7 +116,7 @@ def unanswered(spark, sf) -> DataFrame:
 _ITEM = "video_id, channel_slug, title, source_url, thumbnail_url, description, published_at"
 
 
-@query("s1_feed_source", "items", f"SELECT {_ITEM}, pos FROM items")
+@query("s1_feed_source", "items", f"SELECT {_ITEM} FROM items")
 def feed_source(spark, sf):
     path = f"{work_dir(spark)}/feeds"
     land_feeds(spark, sf, path)
@@ -126,10 +126,7 @@ def feed_source(spark, sf):
     items = discovery.newest(
         discovery.first_wins(discovery.within_lookback(found, fx.AS_OF))
     )
-    # at most max_items rows are numbered here
-    order = [F.col("published_at").desc_nulls_last(), *discovery._feed_order(items)]
-    place = F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("pos")
-    return items.select(*_ITEM.split(", ")[:-1], naive("published_at"), place)
+    return items.select(*_ITEM.split(", ")[:-1], naive("published_at"))
 
 
 @query(
@@ -150,7 +147,7 @@ def response_source(spark, sf):
 @query(
     "s3_job_source",
     "jobs",
-    """SELECT job_id, kind, error, CASE WHEN kind = 'ok' THEN 'sum ' || d END AS summary FROM jobs""",
+    "SELECT job_id, kind, error, summary FROM jobs",
 )
 def job_source(spark, sf):
     path = f"{work_dir(spark)}/jobs"
@@ -172,9 +169,9 @@ def request_outbox(spark, sf):
     path = f"{work_dir(spark)}/outbox"
     full = fx.episodes(spark, sf, text=True).filter(F.col("raw_text").isNotNull())
     rows = full.select(distill.job_id_for("b1").alias("job_id"), distill.request_json().alias("request"))
-    outbox.write_requests(rows, path, "b1")
+    outbox.write_requests(rows, f"{path}/batch=b1/commit=1")
     digest = F.sha2("request", 256).alias("digest")
-    return outbox.read_requests(spark, path).select("batch", "job_id", digest)
+    return outbox.read_requests(spark, f"{path}/batch=b1/commit=1").select("batch", "job_id", digest)
 
 
 @query(
@@ -271,22 +268,313 @@ def _asked(spark, sf) -> DataFrame:
     "ep moves",
     f"""SELECT a.video_id, coalesce(m.outcome, 'not_found') AS outcome,
               CASE WHEN m.id IS NOT NULL THEN m.new_status END AS status,
-              CASE WHEN m.new_status = 'fetched' THEN sha256(a.video_id || '|0|r1') END
+              CASE WHEN m.new_status = 'fetched' THEN sha256(a.video_id || '|0|r1|2') END
                 AS distill_job_id
          FROM asked a LEFT JOIN (SELECT m.* FROM moves m) m ON m.video_id = a.video_id""",
     _ASKED,
 )
 def requeue(spark, sf):
-    store = seeded(spark, sf)
-    outcomes = passes.requeue(
-        store, _asked(spark, sf), fx.responses(spark, sf), f"{store.root}/outbox", "r1", NOW, SETTINGS
-    )
+    store, (outcomes, _) = _requeued(spark, sf)
     state = store.read("episodes").select("video_id", "status", "distill_job_id")
     return outcomes.join(state, "video_id", "left").select(
         "video_id", "outcome", "status", "distill_job_id"
     )
 
 
+def _requeued(spark, sf) -> tuple[StateStore, passes.Requeued]:
+    store = seeded(spark, sf)
+    return store, passes.requeue(
+        store, _asked(spark, sf), fx.responses(spark, sf), f"{store.root}/outbox", "r1", NOW, SETTINGS
+    )
+
+
+_COUNTED = """count(*) FILTER (WHERE m.outcome = 'fetched') AS transcripts_fetched,
+              count(*) FILTER (WHERE m.outcome = 'skipped') AS skipped,
+              count(*) FILTER (WHERE m.outcome = 'unavailable') AS unavailable,
+              count(*) FILTER (WHERE m.outcome = 'failed') AS failures,
+              count(m.id) AS reprocessed"""
+
+
+@query(
+    "f9_requeue_counts",
+    "moves",
+    f"""SELECT {_COUNTED}, count(*) FILTER (WHERE m.outcome = 'fetched') AS submitted
+          FROM asked a LEFT JOIN moves m ON m.video_id = a.video_id""",
+    _ASKED,
+)
+def requeue_counts(spark, sf):
+    return _requeued(spark, sf)[1].counts
+
+
+@query(
+    "f9_requeue_requests",
+    "ep moves flat",
+    """SELECT sha256(a.video_id || '|0|r1|2') AS job_id, f.raw_text AS text
+         FROM asked a JOIN moves m ON m.video_id = a.video_id AND m.outcome = 'fetched'
+         JOIN flat f ON f.doc_id = m.doc_id""",
+    _ASKED,
+)
+def requeue_requests(spark, sf):
+    """The requests that the requeue's commit has sent, with the new texts."""
+    store, _ = _requeued(spark, sf)
+    sent = outbox.sent_requests(store)
+    return sent.select("job_id", F.get_json_object("request", "$.text").alias("text"))
+
+
+@query(
+    "f9_restart",
+    "moves",
+    f"SELECT {_COUNTED} FROM asked a LEFT JOIN moves m ON m.video_id = a.video_id",
+    _ASKED,
+)
+def restart(spark, sf):
+    store = seeded(spark, sf)
+    return passes.restart(store, _asked(spark, sf), fx.responses(spark, sf), NOW, SETTINGS).counts
+
+
+# -- submission, chain, deletion ------------------------------------------------------------
+
+_QUEUED = """queue AS (SELECT * FROM ep WHERE (status = 'fetched' AND distill_job_id IS NULL)
+    OR (status = 'failed' AND raw_text IS NOT NULL AND distill_job_id IS NULL
+        AND distill_attempts < 10))"""
+
+
+def land_receipts(spark, sf, path: str) -> None:
+    fx.receipts(spark, sf).repartition(4).write.mode("overwrite").json(path)
+
+
+def _acknowledged(spark, sf) -> StateStore:
+    """Receipts in several micro-batches, then all of them again."""
+    store = seeded(spark, sf)
+    path = f"{store.root}/receipts"
+    land_receipts(spark, sf, path)
+    for name in ("receipts", "again"):
+        streams.receipts(
+            store, path, f"{store.root}/outbox", NOW, RUN_DATE, SETTINGS, 2, name
+        ).awaitTermination()
+    return store
+
+
+@query(
+    "f5_submit_receipts",
+    "ep",
+    """SELECT ep.id, CASE WHEN q.id IS NULL THEN ep.status WHEN k < 2 THEN 'failed' ELSE 'fetched' END
+                AS status,
+              CASE WHEN q.id IS NULL THEN ep.distill_job_id
+                   WHEN k > 1 THEN 'k' || (ep.id - 1) END AS distill_job_id,
+              CASE WHEN q.id IS NULL THEN ep.last_error WHEN k = 1 THEN 'queue full for ' || (ep.id - 1)
+                   WHEN k = 0 THEN
+                     'the summarisation service did not return a job_id for the process request'
+              END AS last_error,
+              ep.distill_attempts + CASE WHEN q.id IS NULL OR k > 1 THEN 0 ELSE 1 END
+                AS distill_attempts
+         FROM (SELECT *, (id - 1) % 11 AS k FROM ep) ep LEFT JOIN queue q ON q.id = ep.id""",
+    _QUEUED,
+)
+def submit_receipts(spark, sf):
+    """A receipt counts once, however often it lands."""
+    return _acknowledged(spark, sf).read("episodes").select(
+        "id", "status", "distill_job_id", "last_error", "distill_attempts"
+    )
+
+
+@query(
+    "f5_submit_receipt_requests",
+    "ep",
+    """SELECT 'k' || (id - 1) AS job_id, raw_text AS text FROM queue WHERE (id - 1) % 11 > 1""",
+    _QUEUED,
+)
+def submit_receipt_requests(spark, sf):
+    """Each accepted request is in the outbox once."""
+    sent = outbox.sent_requests(_acknowledged(spark, sf))
+    return sent.select("job_id", F.get_json_object("request", "$.text").alias("text"))
+
+
+@query(
+    "f5_submit_requests",
+    "ep",
+    """SELECT sha256(video_id || '|' || distill_attempts || '|b1|2') AS job_id, raw_text AS text
+         FROM queue""",
+    _QUEUED,
+)
+def submit_requests(spark, sf):
+    store = seeded(spark, sf)
+    passes.submit(store, f"{store.root}/outbox", "b1", NOW, RUN_DATE, SETTINGS)
+    sent = outbox.sent_requests(store)
+    return sent.select("job_id", F.get_json_object("request", "$.text").alias("text"))
+
+
+def _chained(spark, sf, times: int) -> StateStore:
+    store = seeded(spark, sf, unanswered(spark, sf))
+    feeds, answers = f"{store.root}/feeds", f"{store.root}/responses"
+    land_feeds(spark, sf, feeds)
+    land_responses(spark, sf, answers)
+    targets = discovery.channel_targets(spark, fx.CHANNELS)
+    for _ in range(times):
+        passes.run_chain(
+            store, landed.read_feeds(spark, feeds), targets, landed.read_responses(spark, answers),
+            f"{store.root}/outbox", "c1", fx.AS_OF, RUN_DATE, SETTINGS,
+        )
+    return store
+
+
+@query(
+    "r4_chain_twice",
+    "moves firsts rn",
+    """SELECT video_id, new_status AS status,
+              attempts + CASE WHEN new_status = 'failed' THEN 1 ELSE 0 END AS attempts,
+              CASE WHEN new_status = 'fetched' THEN sha256(video_id || '|0|c1|2') END
+                AS distill_job_id FROM moves
+        UNION ALL SELECT video_id, 'discovered', 0, NULL FROM firsts""",
+)
+def chain_twice(spark, sf):
+    """A second chain over the same landed files changes no episode."""
+    return _chained(spark, sf, 2).read("episodes").select(
+        "video_id", "status", "attempts", "distill_job_id"
+    )
+
+
+@query(
+    "r4_chain_twice_run",
+    "moves firsts rn",
+    """SELECT run_date, status, reprocessed, distilled,
+              episodes_discovered + CASE WHEN hit THEN (SELECT count(*) FROM firsts) ELSE 0 END
+                AS episodes_discovered,
+              transcripts_fetched + CASE WHEN hit THEN (SELECT count(*) FROM moves
+                WHERE outcome = 'fetched') ELSE 0 END AS transcripts_fetched,
+              failures + CASE WHEN hit THEN (SELECT count(*) FROM moves
+                WHERE outcome = 'failed') ELSE 0 END AS failures
+         FROM (SELECT * REPLACE (CASE WHEN run_date = DATE '2024-01-30' THEN 'success' ELSE status END
+                 AS status), run_date = DATE '2024-01-30' AS hit FROM rn)""",
+)
+def chain_twice_run(spark, sf):
+    """Counters of both chains: the second has nothing to count and succeeds."""
+    runs = _chained(spark, sf, 2).read("ingest_runs")
+    return runs.select("run_date", "status", *_RUN.split(", "))
+
+
+_GONE = "gone AS (SELECT doc_id + 1 AS id FROM labels WHERE toxic = 1)"
+
+
+def _deleted(spark, sf, fold: bool) -> StateStore:
+    store = seeded(spark, sf)
+    toxic = fx.table(spark, sf, "labels").filter("toxic = 1")
+    passes.delete(store, toxic.select((F.col("doc_id") + 1).alias("id")))
+    if fold:
+        passes.fold_deleted(store)
+    return store
+
+
+def _deletion_query(name: str, fold: bool) -> None:
+    @query(
+        f"u8_delete_texts{name}",
+        "ep",
+        """SELECT ep.id, ep.raw_text FROM ep WHERE raw_text IS NOT NULL
+              AND id NOT IN (SELECT id FROM gone)""",
+        _GONE,
+    )
+    def texts(spark, sf):
+        return _deleted(spark, sf, fold).read("texts").select("id", "raw_text")
+
+    @query(
+        f"u8_delete_results{name}",
+        "di",
+        "SELECT id, episode_id, summary FROM di WHERE episode_id NOT IN (SELECT id FROM gone)",
+        _GONE,
+    )
+    def results(spark, sf):
+        return _deleted(spark, sf, fold).read("distillations").select("id", "episode_id", "summary")
+
+
+_deletion_query("", False)
+_deletion_query("_folded", True)
+
+
+# Every event is a change of the episode of its user, in the order of the events.
+_CHANGED = f"""
+    change AS (SELECT user_id + 1 AS id, event_id AS seq,
+        CASE WHEN event_id % 13 = 0 THEN 'again' ELSE event_type END AS op FROM events),
+    turn AS (SELECT c.*, bool_or(op = 'signup') OVER (PARTITION BY c.id ORDER BY seq
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lost, ep.raw_text
+          FROM change c JOIN ep ON ep.id = c.id),
+    counted AS (SELECT *, max(CASE WHEN op IN ('signup', 'again') THEN seq END)
+               OVER (PARTITION BY id) AS since FROM turn
+         WHERE op <> 'again' OR (raw_text IS NOT NULL AND NOT coalesce(lost, false))),
+    merged AS (SELECT id,
+        arg_max(CASE op WHEN 'signup' THEN 'discovered' WHEN 'click' THEN 'failed'
+                WHEN 'error' THEN 'failed' WHEN 'again' THEN 'fetched' END, seq)
+          FILTER (WHERE op IN ('signup', 'click', 'error', 'again')) AS status,
+        arg_max(CASE WHEN op IN ('click', 'error') THEN op || ' ' || seq ELSE '' END, seq)
+          FILTER (WHERE op IN ('signup', 'click', 'error', 'again')) AS error,
+        arg_max(CASE WHEN op = 'purchase' THEN 'p' || seq ELSE '' END, seq)
+          FILTER (WHERE op IN ('signup', 'purchase', 'error', 'again')) AS job,
+        count(*) FILTER (WHERE op = 'click') AS tries, any_value(since) AS since,
+        count(*) FILTER (WHERE op = 'error' AND (since IS NULL OR seq > since)) AS failures,
+        arg_max(op = 'view', seq) FILTER (WHERE op IN ('signup', 'view')) AS touched,
+        bool_or(op = 'signup') AS lost
+          FROM counted GROUP BY id)"""
+
+
+def event_patches(spark, sf) -> DataFrame:
+    """The events as patches: a reset, a touch, a new status, a job, a failure, a reprocess."""
+    seq = F.col("event_id")
+    rows = fx.table(spark, sf, "events").select(
+        (F.col("user_id") + 1).alias("id"),
+        seq.alias("seq"),
+        F.when(seq % 13 == 0, "again").otherwise(F.col("event_type")).alias("op"),
+    )
+
+    def of(op: str, **columns) -> DataFrame:
+        return rows.filter(F.col("op") == op).withColumns(columns)
+
+    error = F.concat_ws(" ", "op", F.col("seq"))
+    clicks = of("click", status=F.lit("failed"), last_error=error, bump=F.lit(1))
+    every = [
+        ch.reset_patches(of("signup")),
+        ch.touch_patches(of("view"), NOW),
+        ch.status_patches(clicks),
+        ch.job_patches(of("purchase", distill_job_id=F.concat(F.lit("p"), F.col("seq")))),
+        ch.failed_patches(of("error", error=error), 500),
+        ch.reprocess_patches(of("again")),
+    ]
+    whole = every[0]
+    for part in every[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+_PATCHED = f"""SELECT ep.id, coalesce(m.status, ep.status) AS status,
+          CASE WHEN m.error IS NULL THEN ep.last_error WHEN m.error <> '' THEN m.error END AS last_error,
+          CASE WHEN m.job IS NULL THEN ep.distill_job_id WHEN m.job <> '' THEN m.job END
+            AS distill_job_id,
+          CAST(ep.attempts + coalesce(m.tries, 0) AS INTEGER) AS attempts,
+          CAST(CASE WHEN m.since IS NULL THEN ep.distill_attempts ELSE 0 END
+            + coalesce(m.failures, 0) AS INTEGER) AS distill_attempts,
+          CASE WHEN m.touched THEN {_NOW} WHEN m.touched IS NULL THEN ep.distilled_at END
+            AS distilled_at,
+          CASE WHEN m.lost THEN NULL ELSE ep.raw_char_count END AS raw_char_count
+     FROM ep LEFT JOIN merged m ON m.id = ep.id"""
+_PATCH_COLS = ["id", "status", "last_error", "distill_job_id", "attempts", "distill_attempts"]
+
+
+@query("u7_composed_changes", "ep", _PATCHED, _CHANGED)
+def composed_changes(spark, sf):
+    """Many changes of one episode as one."""
+    episodes = fx.episodes(spark, sf)
+    one = ch.compose(event_patches(spark, sf), episodes)
+    rest = [naive("distilled_at"), F.col("raw_char_count").cast("bigint").alias("raw_char_count")]
+    return ch.apply_patches(episodes, one).select(*_PATCH_COLS, *rest)
+
+
+@query("u7_amended_store", "ep", _PATCHED, _CHANGED)
+def amended_store(spark, sf):
+    """The same through the store, in one commit."""
+    store = seeded(spark, sf)
+    passes.amend(store, event_patches(spark, sf))
+    rest = [naive("distilled_at"), F.col("raw_char_count").cast("bigint").alias("raw_char_count")]
+    return store.read("episodes").select(*_PATCH_COLS, *rest)
+
+
 # -- streams ----------------------------------------------------------------------------------
 
 
@@ -370,9 +658,10 @@ def batch_run_counters(spark, sf):
               CASE WHEN j.kind IS NULL OR j.kind = 'pending' THEN ep.last_error ELSE j.error END
                 AS last_error,
               CASE WHEN j.kind = 'ok' THEN {_NOW} ELSE ep.distilled_at END AS distilled_at,
-              CASE WHEN j.kind = 'ok' THEN 'sum ' || j.d ELSE d.summary END AS summary,
+              CASE WHEN j.kind = 'ok' THEN j.summary ELSE d.summary END AS summary,
               CASE WHEN j.kind = 'ok' THEN 'm1' ELSE d.model END AS model
-         FROM ep LEFT JOIN jobs j ON j.id = ep.id
+         FROM ep LEFT JOIN jobs j ON j.id = ep.id AND ep.status = 'fetched'
+                AND ep.distill_job_id = j.job_id
               LEFT JOIN di d ON d.episode_id = ep.id AND d.is_current""",
 )
 def incremental_collect(spark, sf):

@@ -78,15 +78,14 @@ def episodes(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
 
 
 def distillations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B2, with lists of the counted sizes."""
+    """B2, two results of every document, with lists of the counted sizes."""
     d, k = F.col("doc_id"), F.col("k")
-    docs = documents(spark, sf_dir).filter(F.col("m") >= 7)
-    return docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+    return documents(spark, sf_dir).withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))).select(
         (d * 2 + k).alias("id"),
         (d + 1).alias("episode_id"),
         F.concat(F.lit("m"), d % 2).alias("model"),
         F.concat(F.lit("v"), k).alias("prompt_version"),
-        F.substring("text", 1, 200).alias("summary"),
+        F.coalesce("text", F.lit("")).alias("summary"),
         F.array_repeat(F.lit("topic"), (d % 4).cast("int")).alias("key_topics"),
         F.array_repeat(F.lit("{}"), (d % 5).cast("int")).alias("segments"),
         F.lit(None).cast("string").alias("token_usage"),
@@ -159,8 +158,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     body = (
-        F.when(k == 1, F.lit('{"detail":{"message":"out of credits","reason":"quota"}}'))
-        .when(k == 0, F.lit('{"detail":"no transcript"}'))
+        F.when(k == 1, F.lit('{"detail":{"message":"monthly quota is used up","reason":"quota"}}'))
+        .when(k == 0, F.lit('{"detail":"captions are off"}'))
         .when(k < 5, F.lit("{}"))
         .otherwise(full)
     )
@@ -182,27 +181,46 @@ def response_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One job document per pending episode."""
+    """One job document per document, its whole text as the summary of a good one."""
     d = F.col("doc_id")
-    k = d % 40
-    result = F.when(
-        k == 5,
-        F.format_string(
-            '{"request_id":"r%s","processing":{"model":"m1","token_usage":{"total_tokens":%s}},'
-            '"distillation":{"summary":"sum %s","key_topics":["a","b"],"segments":[{"n":%s}]}}',
-            d, d, d, d,
-        ),
-    ).when(k == 35, F.format_string('{"request_id":"r%s"}', d))
-    status = F.when(k == 15, "failed").when(k == 25, "running").otherwise("succeeded")
-    return documents(spark, sf_dir).filter(F.col("m") == 5).select(
+    k = d % 8
+    result = F.struct(
+        F.format_string("r%s", d).alias("request_id"),
+        F.struct(
+            F.lit("m1").alias("model"), F.struct(d.alias("total_tokens")).alias("token_usage")
+        ).alias("processing"),
+        F.struct(
+            F.coalesce("text", F.lit("")).alias("summary"),
+            F.array(F.lit("a"), F.lit("b")).alias("key_topics"),
+            F.array(F.struct(d.alias("n"))).alias("segments"),
+        ).alias("distillation"),
+    )
+    good = k.isin(0, 2, 5, 6)
+    body = F.when(good, F.to_json(result)).when(k == 7, F.format_string('{"request_id":"r%s"}', d))
+    status = F.when(k.isin(1, 4), "failed").when(k == 3, "running").otherwise("succeeded")
+    return documents(spark, sf_dir).select(
         F.concat(F.lit("j"), d).alias("job_id"),
         status.alias("status"),
-        F.when((k == 15) & (d % 80 == 15), F.format_string("model error %s", d)).alias("error"),
-        result.alias("result"),
+        F.when(k.isin(1, 4) & (d % 16 < 8), F.format_string("model error %s", d)).alias("error"),
+        body.alias("result"),
         F.lit(NOW.isoformat()).cast("timestamp").alias("received_at"),
     )
 
 
+def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the service answers to a request for each document; some answers come twice."""
+    d = F.col("doc_id")
+    k = d % 11
+    times = F.when(d % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return documents(spark, sf_dir).select(
+        _video_id().alias("video_id"),
+        F.when(k > 1, F.concat(F.lit("k"), d)).alias("job_id"),
+        F.when(k == 1, F.format_string("queue full for %s", d)).alias("error"),
+        F.lit(NOW.isoformat()).cast("timestamp").alias("received_at"),
+        F.explode(times).alias("copy"),
+    ).drop("copy")
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B7, row form of the document lines."""
     return documents(spark, sf_dir).select(

@@ -23,7 +23,7 @@ def summary_after_pass(spark: SparkSession, sf_dir: str, now: datetime = fx.NOW)
     found = discovery.normalise_feed(discovery.join_feeds(targets, fx.feed(spark, sf_dir)))
     recent = discovery.within_lookback(found, fx.AS_OF)
     items = work.stage(discovery.newest(discovery.first_wins(recent)), "items")
-    fresh = work.stage(discovery.new_episodes(items, episodes, now), "fresh")
+    fresh = work.stage(discovery.new_episodes(items, episodes, now, work.staging("bulk")), "fresh")
     counts = discovery.discovery_counts(items, fresh)
     account = runs.discovery_run(fx.ingest_runs(spark, sf_dir), counts, date(2024, 1, 30), now)
 

@@ -39,13 +39,12 @@ TABLES = {
           FROM documents""",
     "di": f"""
         SELECT doc_id * 2 + k AS id, doc_id + 1 AS episode_id, 'm' || (doc_id % 2) AS model,
-               'v' || k AS prompt_version, substr(text, 1, 200) AS summary,
+               'v' || k AS prompt_version, coalesce(text, '') AS summary,
                CAST(doc_id % 4 AS INTEGER) AS key_topic_count,
                CAST(doc_id % 5 AS INTEGER) AS segment_count,
                CASE WHEN doc_id % 20 = 9 THEN k = 1 ELSE k = 2 END AS is_current,
                {_PUB} AS created_at
-          FROM documents, (SELECT 1 AS k UNION ALL SELECT 2) ks
-         WHERE doc_id % 10 >= 7""",
+          FROM documents, (SELECT 1 AS k UNION ALL SELECT 2) ks""",
     "rn": """
         SELECT run_date, CASE failures % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'partial'
                          ELSE 'failed' END AS status,
@@ -74,14 +73,13 @@ TABLES = {
             SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY channel_slug, feed_pos)
                       AS rn FROM recent) WHERE rn = 1""",
     "items": """
-        SELECT * FROM (SELECT *, row_number() OVER (
-            ORDER BY published_at DESC NULLS LAST, channel_slug, feed_pos) AS pos FROM firsts)
-         WHERE pos <= 80""",
+        SELECT *, row_number() OVER (
+            ORDER BY published_at DESC NULLS LAST, channel_slug, feed_pos) AS pos FROM firsts""",
     "resp": f"""
         SELECT doc_id, doc_id + 1 AS id, {_VID} AS video_id, CAST(doc_id % 7 AS INTEGER) AS attempts,
                CASE doc_id % 12 WHEN 0 THEN 404 WHEN 1 THEN 402 WHEN 2 THEN 429 WHEN 3 THEN 500
                     WHEN 4 THEN 403 ELSE 200 END AS http_status,
-               CASE doc_id % 12 WHEN 0 THEN 'no transcript' WHEN 1 THEN 'out of credits'
+               CASE doc_id % 12 WHEN 0 THEN 'captions are off' WHEN 1 THEN 'monthly quota is used up'
                     ELSE '' END AS detail,
                CASE WHEN doc_id % 12 > 5 THEN text ELSE '' END AS text, lang,
                CASE WHEN doc_id % 13 <> 0 THEN {_LEN} END AS length_seconds
@@ -115,15 +113,15 @@ TABLES = {
                           END AS reason FROM answers)""",
     "jobs": """
         SELECT doc_id + 1 AS id, 'j' || doc_id AS job_id, doc_id AS d,
-               CASE doc_id % 40 WHEN 5 THEN 'ok' WHEN 15 THEN 'failed' WHEN 25 THEN 'pending'
-                    ELSE 'invalid' END AS kind,
-               CASE doc_id % 40
-                    WHEN 15 THEN CASE WHEN doc_id % 80 = 15 THEN 'model error ' || doc_id
-                                      ELSE 'distill job j' || doc_id || ' failed' END
-                    WHEN 35 THEN
+               CASE WHEN doc_id % 8 IN (0, 2, 5, 6) THEN 'ok' WHEN doc_id % 8 IN (1, 4) THEN 'failed'
+                    WHEN doc_id % 8 = 3 THEN 'pending' ELSE 'invalid' END AS kind,
+               CASE WHEN doc_id % 8 IN (1, 4) AND doc_id % 16 < 8 THEN 'model error ' || doc_id
+                    WHEN doc_id % 8 IN (1, 4) THEN 'distill job j' || doc_id || ' failed'
+                    WHEN doc_id % 8 = 7 THEN
                       'the summarisation service returned an invalid process response'
-               END AS error
-          FROM documents WHERE doc_id % 10 = 5""",
+               END AS error,
+               CASE WHEN doc_id % 8 IN (0, 2, 5, 6) THEN coalesce(text, '') END AS summary
+          FROM documents""",
     "segs": """
         SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents""",

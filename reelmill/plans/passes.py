@@ -1,12 +1,16 @@
 """The passes over stored state: discover, fetch, submit, collect, retry, requeue.
 
-A pass reads the state, works out its change rows, writes those once (so that
-counters, state and texts all come from the same rows), rewrites the buckets the
-changes fall into and publishes everything in one commit.
+A pass is a unit of the store: it reads one version of the state, works out its change
+rows, writes those once (so that counters, state and texts all come from the same rows),
+rewrites the buckets the changes fall into and publishes everything as one record. Passes
+that consist of passes (a requeue, a chain) read what their parts wrote and publish once;
+a pass that dies, or that another writer has overtaken, leaves no trace.
 """
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +20,19 @@ from reelmill.operators import changes as ch
 from reelmill.operators import discovery, distill, queues, reports, runs, transcripts
 from reelmill.sources.landed import feed_rows
 from reelmill.sources.outbox import write_requests
-from reelmill.sources.store import StateStore, Write
+from reelmill.sources.store import StateStore, Unit, Write
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a deployment configures. The defaults."""
+    """What a deployment configures. The defaults.
+
+    ``limit`` bounds the episodes that one pass takes (None: all that are eligible).
+    """
 
     lookback_days: int = discovery.LOOKBACK_DAYS
     max_items: int | None = None  # a landed feed is read once: what a cap drops is lost
-    limit: int = queues.PASS_LIMIT
+    limit: int | None = None
     max_attempts: int = queues.MAX_ATTEMPTS
     max_distill_attempts: int = queues.MAX_DISTILL_ATTEMPTS
     min_seconds: int = 0
@@ -63,36 +70,30 @@ def discover(
 
     Feeds that can't be read are a failure in the run row, and raised again.
     """
-    try:
-        wanted = discovery.join_feeds(discovery.with_channel_ref(targets), feed_rows(docs))
-        recent = discovery.within_lookback(
-            discovery.normalise_feed(wanted), now, settings.lookback_days
+    with store.unit() as work:
+        try:
+            wanted = discovery.join_feeds(discovery.with_channel_ref(targets), feed_rows(docs))
+            recent = discovery.within_lookback(
+                discovery.normalise_feed(wanted), now, settings.lookback_days
+            )
+            items = work.stage(
+                discovery.newest(discovery.first_wins(recent), settings.max_items), "items"
+            )
+        except Exception as error:
+            stored = work.read("ingest_runs").drop("bucket")
+            failed = runs.failed_discovery_run(stored, run_date, str(error), now)
+            work.commit({"ingest_runs": _run_write(failed)})
+            work.publish()
+            raise
+        known = work.read("episodes")
+        fresh = discovery.new_episodes(
+            items, known, now, work.staging("bulk"), work.last_id("episodes")
         )
-        items = store.stage(
-            discovery.newest(discovery.first_wins(recent), settings.max_items), "items"
-        )
-    except Exception as error:
-        stored = store.read("ingest_runs").drop("bucket")
-        failed = runs.failed_discovery_run(stored, run_date, str(error), now)
-        store.commit({"ingest_runs": _run_write(failed)})
-        raise
-    known = store.read("episodes")
-    fresh = discovery.as_discovered(
-        discovery.number_bulk(
-            discovery.unseen(items, known),
-            discovery.newest_feed_order(items),
-            F.greatest(discovery.next_id(known), F.lit(store.last_id("episodes") + 1)),
-            store.staging("bulk"),
-        ),
-        now,
-    )
-    fresh = store.stage(fresh.withColumn("bucket", store.bucket_of(F.col("video_id"))), "fresh")
-    counts = store.stage(discovery.discovery_counts(items, fresh), "counts")
-    updated = runs.discovery_run(store.read("ingest_runs").drop("bucket"), counts, run_date, now)
-    store.commit(
-        {"episodes": Write(fresh), "ingest_runs": _run_write(updated)}, applied
-    )
-    return counts
+        fresh = work.stage(fresh.withColumn("bucket", work.bucket_of(F.col("video_id"))), "fresh")
+        counts = work.stage(discovery.discovery_counts(items, fresh), "counts")
+        updated = runs.discovery_run(work.read("ingest_runs").drop("bucket"), counts, run_date, now)
+        work.commit({"episodes": Write(fresh), "ingest_runs": _run_write(updated)}, applied)
+        return counts
 
 
 def _given_ids(store: StateStore) -> dict[str, int]:
@@ -116,7 +117,7 @@ def _stage_run(
 
 
 def _transitions(
-    store: StateStore, queue: DataFrame, responses: DataFrame, settings: Settings
+    store: Unit, queue: DataFrame, responses: DataFrame, settings: Settings
 ) -> DataFrame:
     """Staged change rows with the bucket and the version of their text."""
     changes = transcripts.transitions(
@@ -127,7 +128,7 @@ def _transitions(
         settings.max_seconds,
         settings.language_codes(),
     )
-    version = F.when(F.col("raw_text").isNotNull(), F.lit(store.pointer()["version"] + 1))
+    version = F.when(F.col("raw_text").isNotNull(), F.lit(store.base + 1))
     numbered = changes.withColumn("text_version", version.cast("bigint"))
     return store.stage(_with_bucket(numbered, queue), "transitions")
 
@@ -175,58 +176,56 @@ def fetch(
     now: datetime,
     run_date: date,
     settings: Settings = Settings(),
-    limit: int | None = queues.PASS_LIMIT,
+    limit: int | None = None,
     applied: Applied = None,
     record: bool = True,
 ) -> DataFrame:
     """Responses for queued episodes -> transcripts and transitions. Returns T11 counts.
 
-    ``limit=None`` takes every eligible episode that has an answer in the batch; an
-    answer whose episode is not known yet waits in the state, and ``responses=None``
-    is a batch of what waits. An answer is used once: a folder may be read again.
-    Only keys meet the state; bodies are picked by the (staged) keys to be used.
+    Takes the eligible episodes that have an unused answer in the batch, the newest
+    ``limit`` of them if there is one. An answer whose episode is not known yet, or was
+    left to a later pass by the limit, waits in the state; ``responses=None`` is a batch
+    of what waits. An answer is used once: a folder may be read again. Only keys meet
+    the state; bodies are picked by the (staged) keys to be used.
     """
-    if limit is None:
-        buckets, arrived, waiting = _with_waiting(store, "waiting_answers", "video_id", responses)
+    with store.unit() as work:
+        buckets, arrived, waiting = _with_waiting(work, "waiting_answers", "video_id", responses)
         answers = arrived.unionByName(waiting)
-        asked = store.stage(answers.select("video_id", "bucket").distinct(), "asked")
-        state = store.read("episodes", buckets)
-        queue = queues.needing_transcript(state, None, settings.max_attempts)
-        queue = queue.join(asked.select("video_id"), "video_id", "left_semi")
-    else:
-        buckets, state = None, store.read("episodes")
-        answers = _typed(responses, "waiting_answers").unionByName(
-            store.read("waiting_answers").drop("bucket")
+        fresh = (
+            transcripts.with_digest(answers)
+            .select(*transcripts.ANSWER, "bucket")
+            .distinct()
+            .join(work.read("used_answers", buckets).drop("bucket"), transcripts.ANSWER, "left_anti")
         )
-        queue = queues.needing_transcript(state, limit, settings.max_attempts)
-    queue = store.stage(queue.select("id", "video_id", "attempts", "bucket"), "queue")
-    keys = transcripts.with_digest(answers).select(*transcripts.ANSWER)
-    keys = (
-        keys.join(queue.select("video_id"), "video_id", "left_semi")
-        .join(store.read("used_answers", buckets), transcripts.ANSWER, "left_anti")
-        .distinct()
-        .withColumn("bucket", store.bucket_of(F.col("video_id")))
-    )
-    keys = store.stage(keys, "answers")
-    mine = transcripts.with_digest(answers).join(
-        keys.drop("bucket"), transcripts.ANSWER, "left_semi"
-    )
-    changes = _transitions(store, queue, mine.drop("digest", "bucket"), settings)
-    counts = store.stage(transcripts.pass_counts(changes), "counts")
-    writes = {
-        "episodes": _episode_write(
-            store, changes, lambda s, c: transcripts.apply_transitions(s, c, now)
-        ),
-        "texts": Write(_new_texts(changes)),
-        "used_answers": _used_write(store, keys),
-    }
-    if limit is None:
-        early = store.stage(asked.join(state.select("video_id"), "video_id", "left_anti"), "early")
-        writes |= _still_waiting(store, "waiting_answers", buckets, answers, early)
-    if record:
-        writes["ingest_runs"] = _stage_run(store, counts, run_date, now, "transcripts_fetched")
-    store.commit(writes, applied)
-    return counts
+        fresh = work.stage(fresh, "fresh_answers")
+        state = work.read("episodes", buckets)
+        able = queues.needing_transcript(state, None, settings.max_attempts)
+        able = able.join(fresh.select("video_id").distinct(), "video_id", "left_semi")
+        queue = queues.head(able, limit).select("id", "video_id", "attempts", "bucket")
+        queue = work.stage(queue, "queue")
+        keys = work.stage(fresh.join(queue.select("video_id"), "video_id", "left_semi"), "answers")
+        mine = transcripts.with_digest(answers.drop("bucket")).join(
+            keys.drop("bucket"), transcripts.ANSWER, "left_semi"
+        )
+        changes = _transitions(work, queue, mine.drop("digest"), settings)
+        counts = work.stage(transcripts.pass_counts(changes), "counts")
+        later = fresh.select("video_id").join(state.select("video_id"), "video_id", "left_anti")
+        if limit is not None:
+            left = able.select("video_id").join(queue.select("video_id"), "video_id", "left_anti")
+            later = later.unionByName(left)
+        later = work.stage(later.distinct(), "later")
+        writes = {
+            "episodes": _episode_write(
+                work, changes, lambda s, c: transcripts.apply_transitions(s, c, now)
+            ),
+            "texts": Write(_new_texts(changes)),
+            "used_answers": _used_write(work, keys),
+            **_still_waiting(work, "waiting_answers", buckets, answers, later),
+        }
+        if record:
+            writes["ingest_runs"] = _stage_run(work, counts, run_date, now, "transcripts_fetched")
+        work.commit(writes, applied)
+        return counts
 
 
 def _new_texts(changes: DataFrame) -> DataFrame:
@@ -234,15 +233,19 @@ def _new_texts(changes: DataFrame) -> DataFrame:
     return fetched.select("id", "text_version", "raw_text", "bucket")
 
 
-def _requests(store: StateStore, submitted: DataFrame, settings: Settings) -> DataFrame:
-    """F1 for the submitted rows: head rows and texts of their buckets only."""
-    buckets = store.touched(submitted)
-    head = store.read("episodes", buckets).join(submitted.select("id", "job_id"), "id")
-    full = reports.with_text(head, store.read("texts", buckets))
+def _requests(store: Unit, submitted: DataFrame, settings: Settings) -> DataFrame:
+    """F1 for the submitted rows (staged id, job_id, bucket).
+
+    Only the folders of the text versions that the rows show are read, and only their
+    texts go on: the rows are written first, so up to the planner's broadcast bound no
+    text is shuffled; beyond it the wanted texts are, once.
+    """
+    known = store.read("episodes", store.touched(submitted)).drop("bucket")
+    head = store.stage(known.join(submitted.select("id", "job_id", "bucket"), "id"), "request_heads")
+    shown = head.filter(F.col("text_version").isNotNull()).select("bucket", "text_version").distinct()
+    texts = store.read_versions("texts", {(r.bucket, r.text_version) for r in shown.collect()})
     request = distill.request_json(settings.source, settings.max_chunk_chars)
-    return full.filter(F.col("job_id").isNotNull()).select(
-        "id", "job_id", request.alias("request")
-    )
+    return reports.with_text(head, texts).select("id", "job_id", request.alias("request"))
 
 
 def submit(
@@ -254,37 +257,88 @@ def submit(
     settings: Settings = Settings(),
     receipts: DataFrame | None = None,
     record: bool = True,
+    applied: Applied = None,
 ) -> DataFrame:
-    """Q2 rows -> request documents and job ids. Returns submitted / failures."""
-    queue = queues.needing_distill(
-        store.read("episodes"), settings.limit, settings.max_distill_attempts
+    """Q2 rows -> request documents and job ids. Returns submitted / failures.
+
+    With ``receipts`` only the rows they answer; a receipt is used once, whether or not
+    there is a row for it, so it never comes back with a later submission.
+    """
+    with store.unit() as work:
+        eligible = queues.needing_distill(work.read("episodes"), None, settings.max_distill_attempts)
+        writes = {}
+        if receipts is not None:
+            receipts, writes = _unused_receipts(work, receipts)
+            eligible = eligible.join(receipts.select("video_id"), "video_id", "left_semi")
+        queue = queues.head(eligible, settings.limit)
+        recorded = (run_date, now) if record else None
+        return _submit_rows(
+            work, queue, outbox, batch, settings, receipts, recorded, writes=writes, applied=applied
+        )
+
+
+def _unused_receipts(store: Unit, receipts: DataFrame) -> tuple[DataFrame, dict[str, Write]]:
+    """One receipt per video of those not used before (staged), and their keys to keep."""
+    received = F.col("received_at") if "received_at" in receipts.columns else F.lit(None)
+    keyed = receipts.select(
+        "video_id",
+        F.coalesce(received.cast("timestamp"), F.timestamp_seconds(F.lit(0))).alias("received_at"),
+        F.xxhash64("job_id", "error").alias("digest"),
+        "job_id",
+        "error",
+        store.bucket_of(F.col("video_id")).alias("bucket"),
     )
-    recorded = (run_date, now) if record else None
-    return _submit_rows(store, queue, outbox, batch, settings, receipts, recorded)
+    keyed = store.stage(keyed.distinct(), "landed_receipts")
+    used = store.read("used_receipts", store.touched(keyed)).drop("bucket")
+    keys = store.stage(
+        keyed.select(*transcripts.ANSWER, "bucket").join(used, transcripts.ANSWER, "left_anti"),
+        "receipt_keys",
+    )
+    fresh = keyed.join(keys.drop("bucket"), transcripts.ANSWER, "left_semi")
+    one = store.stage(distill.one_receipt(fresh), "receipts")
+    return one, {"used_receipts": Write(keys)}
 
 
 def _submit_rows(
-    store: StateStore,
+    store: Unit,
     queue: DataFrame,
     outbox: str,
     batch: str,
     settings: Settings,
     receipts: DataFrame | None = None,
     recorded: tuple[date, datetime] | None = None,
+    reset: bool = False,
+    writes: dict[str, Write] | None = None,
+    applied: Applied = None,
 ) -> DataFrame:
-    queue = store.stage(queue, "queue")
-    changes = store.stage(
-        _with_bucket(distill.assign_jobs(queue, batch, receipts), queue), "submissions"
-    )
+    """Submit the rows of ``queue``; with ``reset`` they are first reset as in U6.
+
+    The version is part of the job ids, so a job is never taken for an earlier one of
+    its episode and batch. Requests count when the unit is published that names them.
+    """
+    columns = ["id", "video_id", "distill_job_id", "distill_attempts", "bucket"]
+    queue = store.stage(queue.select(*columns), "queue")
+    version = store.base + 1
+    asked = queue
+    if reset:
+        asked = queue.withColumn("distill_job_id", F.lit(None).cast("string")).withColumn("distill_attempts", F.lit(0))
+    changes = distill.assign_jobs(asked, f"{batch}|{version}", receipts)
+    changes = store.stage(_with_bucket(changes, queue), "submissions")
     counts = store.stage(distill.submit_counts(changes), "counts")
-    # requests first: a pass that dies here is repeated with the same job ids
-    commit = store.pointer()["version"] + 1
-    write_requests(_requests(store, changes, settings), outbox, batch, commit)
-    writes = {"episodes": _episode_write(store, changes, distill.apply_submissions)}
+    folder = f"{outbox}/batch={batch}/commit={version}-{uuid.uuid4().hex[:8]}"
+    write_requests(_requests(store, changes.filter(F.col("job_id").isNotNull()), settings), folder)
+    store.send(folder)
+
+    def apply(state: DataFrame, submitted: DataFrame) -> DataFrame:
+        if reset:
+            state = ch.reset_for_reprocess(state, submitted.select("id"))
+        return distill.apply_submissions(state, submitted)
+
+    writes = {**(writes or {}), "episodes": _episode_write(store, changes, apply)}
     if recorded:
         run_date, now = recorded
         writes["ingest_runs"] = _stage_run(store, counts, run_date, now)
-    store.commit(writes)
+    store.commit(writes, applied)
     return counts
 
 
@@ -294,87 +348,99 @@ def collect(
     now: datetime,
     run_date: date,
     settings: Settings = Settings(),
-    limit: int | None = queues.PASS_LIMIT,
+    limit: int | None = None,
     applied: Applied = None,
 ) -> DataFrame:
     """Job documents of pending episodes -> results and transitions. Returns F4 counts.
 
-    ``limit=None`` takes every pending episode that has a document in the batch; the end
-    of a job that no episode has yet waits in the state (unless it has been collected
-    before), and ``jobs=None`` is a batch of what waits.
+    Takes the pending episodes that have a document in the batch, the newest ``limit`` of
+    them if there is one. The end of a job that no episode has yet, or that the limit left
+    to a later pass, waits in the state (unless it has been collected before);
+    ``jobs=None`` is a batch of what waits.
     """
-    pending = queues.pending_distill(store.read("episodes"), limit)
-    if limit is None:
-        buckets, arrived, waiting = _with_waiting(store, "waiting_jobs", "job_id", jobs)
+    with store.unit() as work:
+        buckets, arrived, waiting = _with_waiting(work, "waiting_jobs", "job_id", jobs)
         jobs = arrived.unionByName(waiting)
-        seen = store.stage(jobs.select("job_id", "bucket").distinct(), "seen")
+        seen = work.stage(jobs.select("job_id").distinct(), "seen")
         asked = seen.select(F.col("job_id").alias("distill_job_id"))
-        pending = pending.join(asked, "distill_job_id", "left_semi")
-    else:
-        jobs = _typed(jobs, "waiting_jobs").unionByName(store.read("waiting_jobs").drop("bucket"))
-    pending = store.stage(pending, "pending")
-    results = store.stage(
-        _with_bucket(distill.collected(pending, jobs.drop("bucket")), pending), "collected"
-    )
-    over = results.filter(F.col("kind") != "pending").select("job_id")
-    writes = {"ended_jobs": Write(over.withColumn("bucket", store.bucket_of(F.col("job_id"))))}
-    if limit is None:
+        able = queues.pending_distill(work.read("episodes"), None).join(asked, "distill_job_id", "left_semi")
+        columns = ["id", "video_id", "distill_job_id", "published_at", "bucket"]
+        able = work.stage(able.select(*columns), "able")
+        pending = able if limit is None else work.stage(queues.head(able, limit), "pending")
+        results = distill.collected(pending, jobs.drop("bucket"))
+        results = work.stage(_with_bucket(results, pending), "collected")
+        over = results.filter(F.col("kind") != "pending").select("job_id")
+        writes = {"ended_jobs": Write(over.withColumn("bucket", work.bucket_of(F.col("job_id"))))}
         ends = distill.ends(jobs)
+        taken = pending.select(F.col("distill_job_id").alias("job_id"))
         early = (
             ends.select("job_id").distinct()
-            .join(pending.select(F.col("distill_job_id").alias("job_id")), "job_id", "left_anti")
-            .join(store.read("ended_jobs", buckets), "job_id", "left_anti")
+            .join(taken, "job_id", "left_anti")
+            .join(work.read("ended_jobs", buckets), "job_id", "left_anti")
         )
-        early = store.stage(early, "early")
-        writes |= _still_waiting(store, "waiting_jobs", buckets, ends, early)
-    counts = store.stage(distill.collect_counts(results), "counts")
-    good = results.filter(F.col("kind") == "ok")
-    submitted = good.select("id", "job_id", "bucket")
-    batch = distill.result_changes(good.drop("bucket")).join(
-        _requests(store, submitted, settings).select(
-            F.col("id").alias("episode_id"), F.col("request").alias("request_payload")
-        ),
-        "episode_id",
-    )
-    touched = store.touched(good)
-    stored = store.read("distillations", touched).drop("bucket")
-    # ids are unique over the whole table, so the highest one comes from all buckets
-    noted = store.spark.range(1).select(F.lit(store.last_id("distillations")).alias("id"))
-    highest = store.read("distillations").select("id").unionByName(noted)
-    merged = distill.upsert_results(stored, batch, now, highest)
-    known = store.read("episodes", touched).select(F.col("id").alias("episode_id"), "bucket")
-    store.commit(
-        writes
-        | {
-            "episodes": _episode_write(
-                store, results, lambda s, c: distill.apply_collected(s, c, now)
+        early = work.stage(early, "early")
+        writes |= _still_waiting(work, "waiting_jobs", buckets, ends, early)
+        counts = work.stage(distill.collect_counts(results), "counts")
+        good = results.filter(F.col("kind") == "ok")
+        submitted = work.stage(good.select("id", "job_id", "bucket"), "good")
+        batch = distill.result_changes(good.drop("bucket")).join(
+            _requests(work, submitted, settings).select(
+                F.col("id").alias("episode_id"), F.col("request").alias("request_payload")
             ),
-            "distillations": Write(merged.join(known, "episode_id"), touched),
-            "ingest_runs": _stage_run(store, counts, run_date, now, "distilled"),
-        },
-        applied,
-    )
-    return counts
-
+            "episode_id",
+        )
+        touched = work.touched(submitted)
+        stored = work.read("distillations", touched).drop("bucket")
+        # ids are unique over the whole table, so the highest one comes from all buckets
+        noted = work.spark.range(1).select(F.lit(work.last_id("distillations")).alias("id"))
+        highest = work.read("distillations").select("id").unionByName(noted)
+        merged = distill.upsert_results(stored, batch, now, highest)
+        known = work.read("episodes", touched).select(F.col("id").alias("episode_id"), "bucket")
+        work.commit(
+            writes
+            | {
+                "episodes": _episode_write(
+                    work, results, lambda s, c: distill.apply_collected(s, c, now)
+                ),
+                "distillations": Write(merged.join(known, "episode_id"), touched),
+                "ingest_runs": _stage_run(work, counts, run_date, now, "distilled"),
+            },
+            applied,
+        )
+        return counts
 
-def _deletion(store: StateStore, gone: DataFrame, texts: DataFrame | None = None) -> dict[str, Write]:
-    """What goes with deleted episodes (staged id, video_id, bucket): results, texts and
-    the keys of used answers. ``texts`` are added in the same commit."""
-    lost = store.touched(gone)
 
-    def rest(table: str, key: str, of: str) -> DataFrame:
-        return store.read(table, lost).join(gone.select(F.col(of).alias(key)), key, "left_anti")
+def _deletion(store: Unit, gone: DataFrame) -> dict[str, Write]:
+    """What goes with deleted episodes (staged id, video_id, bucket).
 
-    kept = rest("texts", "id", "id")
+    Texts and results are wide: their ids are marked, reads leave them out, and
+    :func:`fold_deleted` removes them. Keys of used answers are narrow and go at once.
+    """
+    lost = store.touched(gone)
+    used = store.read("used_answers", lost)
     return {
-        "texts": Write(kept if texts is None else kept.unionByName(texts.select(*kept.columns)), lost),
-        "distillations": Write(rest("distillations", "episode_id", "id"), lost),
-        "used_answers": Write(rest("used_answers", "video_id", "video_id"), lost),
+        "deleted": Write(gone.select("id", "bucket")),
+        "used_answers": Write(used.join(gone.select("video_id"), "video_id", "left_anti"), lost),
     }
 
 
+def fold_deleted(store: StateStore) -> list[int]:
+    """Remove what deletions have marked, in one commit. Returns the buckets rewritten."""
+    with store.unit() as work:
+        marked = sorted(int(b) for b in work.pointer()["tables"].get("deleted", {}))
+        if marked:
+            work.commit(
+                {
+                    "texts": Write(work.read("texts", marked), marked),
+                    "distillations": Write(work.read("distillations", marked), marked),
+                    "deleted": Write(work.read("deleted", marked).limit(0), marked),
+                }
+            )
+        return marked
+
+
 def reset_and_refetch(
-    store: StateStore,
+    store: Unit,
     chosen: DataFrame,
     responses: DataFrame,
     now: datetime,
@@ -386,8 +452,7 @@ def reset_and_refetch(
 
     Rows without such a response stay discovered for a later pass. With
     ``delete_after`` the rows that failed again at or over that number of tries
-    are deleted, and so are those of ``used_up``: all in one commit. Returns
-    (change rows, deleted ids).
+    are deleted, and so are those of ``used_up``. Returns (change rows, deleted ids).
     """
     chosen = store.stage(chosen, "chosen")
     target = ["id", "video_id", "bucket"]
@@ -406,11 +471,12 @@ def reset_and_refetch(
     )
     failed = queues.still_failed(state, chosen, delete_after).select(*target)
     gone = store.stage(failed.unionByName(drop), "gone")
-    writes = _deletion(store, gone, _new_texts(changes))
+    writes = _deletion(store, gone)
     both = sorted({*writes["used_answers"].buckets, *store.touched(keys)})
     used = store.read("used_answers", both)
     used = used.unionByName(keys.select(*used.columns)).distinct()
     writes["used_answers"] = Write(used.join(gone, "video_id", "left_anti").select(*used.columns), both)
+    writes["texts"] = Write(_new_texts(changes).join(gone.select("id"), "id", "left_anti"))
     writes["episodes"] = Write(ch.delete_episodes(state, gone), touched)
     store.commit(writes, ids=_given_ids(store))
     return changes, gone
@@ -427,15 +493,16 @@ def retry_failed(
     delete_after: int | None = None,
 ) -> DataFrame:
     """Q6 on the store. Returns deleted / retried / reprocessed and T11 counts."""
-    candidates = queues.failed_candidates(
-        store.read("episodes"), from_date, to_date, max_attempts
-    )
-    used_up, again = queues.split_retries(candidates, delete_after)
-    again = store.stage(again, "again")
-    changes, gone = reset_and_refetch(
-        store, again, responses, now, settings, delete_after, used_up
-    )
-    return retry_counts(again, changes, gone)
+    with store.unit() as work:
+        candidates = queues.failed_candidates(
+            work.read("episodes"), from_date, to_date, max_attempts
+        )
+        used_up, again = queues.split_retries(candidates, delete_after)
+        again = work.stage(again, "again")
+        changes, gone = reset_and_refetch(
+            work, again, responses, now, settings, delete_after, used_up
+        )
+        return retry_counts(again, changes, gone)
 
 
 def retry_counts(again: DataFrame, changes: DataFrame, gone: DataFrame) -> DataFrame:
@@ -450,24 +517,33 @@ def retry_counts(again: DataFrame, changes: DataFrame, gone: DataFrame) -> DataF
     )
 
 
+class Requeued(NamedTuple):
+    """Per asked video its ``outcome``, and one row of counters of the whole pass."""
+
+    outcomes: DataFrame
+    counts: DataFrame
+
+
 def restart(
     store: StateStore,
     video_ids: DataFrame,
     responses: DataFrame,
     now: datetime,
     settings: Settings = Settings(),
-) -> DataFrame:
-    """Full reset and new transcript, nothing submitted. Returns video_id, outcome.
+) -> Requeued:
+    """Full reset and new transcript, nothing submitted.
 
     The outcome of an unknown id is ``not_found``, of a row without a new
-    response ``waiting``.
+    response ``waiting``. Counts are those of T11 and ``reprocessed``.
     """
-    chosen = reports.episodes_by_id(store.read("episodes"), video_ids, "video_id")
-    asked = video_ids.select("video_id").distinct()
-    known = store.stage(chosen.select("id", "video_id", "bucket"), "known")
-    changes, _ = reset_and_refetch(store, chosen, responses, now, settings)
-    outcomes = changes.select("video_id", "outcome")
-    return store.stage(requeue_outcomes(asked, known, outcomes), "outcomes")
+    with store.unit() as work:
+        asked = work.stage(video_ids.select("video_id").distinct(), "asked")
+        chosen = reports.episodes_by_id(work.read("episodes"), asked, "video_id")
+        known = work.stage(chosen.select("id", "video_id", "bucket"), "known")
+        changes, _ = reset_and_refetch(work, chosen, responses, now, settings)
+        outcomes = requeue_outcomes(asked, known, changes.select("video_id", "outcome"))
+        outcomes = work.stage(outcomes, "outcomes")
+        return Requeued(outcomes, restart_counts(outcomes))
 
 
 def requeue(
@@ -478,13 +554,19 @@ def requeue(
     batch: str,
     now: datetime,
     settings: Settings = Settings(),
-) -> DataFrame:
-    """:func:`restart`, then a new submission. Returns video_id, outcome."""
-    outcomes = restart(store, video_ids, responses, now, settings)
-    again = outcomes.filter(F.col("outcome") == "fetched")
-    refetched = reports.episodes_by_id(store.read("episodes"), again, "video_id")
-    _submit_rows(store, refetched, outbox, batch, settings)
-    return outcomes
+) -> Requeued:
+    """:func:`restart`, then a new submission, published together.
+
+    Counts are those of the restart with ``submitted``; failures of both add up.
+    """
+    with store.unit() as work:
+        outcomes, counts = restart(work, video_ids, responses, now, settings)
+        again = outcomes.filter(F.col("outcome") == "fetched")
+        refetched = reports.episodes_by_id(work.read("episodes"), again, "video_id")
+        sent = _submit_rows(work, refetched, outbox, batch, settings)
+        both = F.col("failures") + sent.select("failures").scalar()
+        counts = counts.withColumn("failures", both).withColumn("submitted", sent.select("submitted").scalar())
+        return Requeued(outcomes, counts)
 
 
 def restart_counts(outcomes: DataFrame) -> DataFrame:
@@ -509,25 +591,33 @@ def reprocess(
     batch: str,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """F8 on the store: reset (U6) and submit candidates that have text."""
-    with_text = candidates.filter(ch.has_text(candidates)).dropDuplicates(["id"])
-    chosen = store.stage(with_text, "chosen")
-    touched = store.touched(chosen)
-    state = ch.reset_for_reprocess(store.read("episodes", touched), chosen.select("id"))
-    store.commit({"episodes": Write(state, touched)})
-    queue = reports.episodes_by_id(store.read("episodes", touched), chosen)
-    counts = _submit_rows(store, queue, outbox, batch, settings)
-    return counts.withColumn("reprocessed", F.col("submitted") + F.col("failures"))
+    """F8 on the store: reset (U6) and submit candidates that have text, in one commit."""
+    with store.unit() as work:
+        asked = work.stage(candidates.select("id").distinct(), "asked")
+        episodes = reports.episodes_by_id(work.read("episodes"), asked)
+        chosen = episodes.filter(ch.has_text(episodes))
+        counts = _submit_rows(work, chosen, outbox, batch, settings, reset=True)
+        return counts.withColumn("reprocessed", F.col("submitted") + F.col("failures"))
+
+
+def amend(store: StateStore, patches: DataFrame) -> int:
+    """Any number of ordered changes an episode (see :func:`changes.compose`), in one commit."""
+    with store.unit() as work:
+        episodes = work.read("episodes")
+        one = ch.compose(work.stage(patches, "patches"), episodes)
+        changes = work.stage(one.join(episodes.select("id", "bucket"), "id"), "amended")
+        return work.commit({"episodes": _episode_write(work, changes, ch.apply_patches)})
 
 
 def delete(store: StateStore, ids: DataFrame) -> int:
     """U8 on the store; returns the number of deleted episodes."""
-    found = reports.episodes_by_id(store.read("episodes"), ids)
-    gone = store.stage(found.select("id", "video_id", "bucket"), "gone")
-    touched = store.touched(gone)
-    state = Write(ch.delete_episodes(store.read("episodes", touched), gone), touched)
-    store.commit(_deletion(store, gone) | {"episodes": state}, ids=_given_ids(store))
-    return gone.count()
+    with store.unit() as work:
+        found = reports.episodes_by_id(work.read("episodes"), ids)
+        gone = work.stage(found.select("id", "video_id", "bucket"), "gone")
+        touched = work.touched(gone)
+        state = Write(ch.delete_episodes(work.read("episodes", touched), gone), touched)
+        work.commit(_deletion(work, gone) | {"episodes": state}, ids=_given_ids(work))
+        return gone.count()
 
 
 def run_chain(
@@ -541,11 +631,12 @@ def run_chain(
     run_date: date,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Discover, fetch and submit once, with one account in the run row."""
-    found = discover(store, docs, targets, now, run_date, settings)
-    fetched = fetch(store, responses, now, run_date, settings, settings.limit, record=False)
-    submitted = submit(store, outbox, batch, now, run_date, settings, record=False)
-    result = store.stage(runs.chain_result(found, fetched, submitted), "chain")
-    updated = runs.chain_run(store.read("ingest_runs").drop("bucket"), result, run_date, now)
-    store.commit({"ingest_runs": _run_write(updated)})
-    return result
+    """Discover, fetch and submit once, published together with one account."""
+    with store.unit() as work:
+        found = discover(work, docs, targets, now, run_date, settings)
+        fetched = fetch(work, responses, now, run_date, settings, settings.limit, record=False)
+        submitted = submit(work, outbox, batch, now, run_date, settings, record=False)
+        result = work.stage(runs.chain_result(found, fetched, submitted), "chain")
+        updated = runs.chain_run(work.read("ingest_runs").drop("bucket"), result, run_date, now)
+        work.commit({"ingest_runs": _run_write(updated)})
+        return result

@@ -104,8 +104,14 @@ WAITING_JOBS = _fields(
 
 #: Keys of the input that passes have used: it counts once, however often it is read.
 USED_ANSWERS = _fields(("video_id", _S, False), ("received_at", _T, False), ("digest", _L, False))
+USED_RECEIPTS = USED_ANSWERS
 ENDED_JOBS = _fields(("job_id", _S, False))
 
+#: Episodes whose texts and results are deleted but still in the files, and the column
+#: of each such table that holds the episode.
+DELETED = _fields(("id", _L, False))
+DELETED_BY = {"texts": "id", "distillations": "episode_id"}
+
 TABLES = {
     "episodes": EPISODES,
     "texts": TEXTS,
@@ -114,7 +120,9 @@ TABLES = {
     "waiting_answers": WAITING_ANSWERS,
     "waiting_jobs": WAITING_JOBS,
     "used_answers": USED_ANSWERS,
+    "used_receipts": USED_RECEIPTS,
     "ended_jobs": ENDED_JOBS,
+    "deleted": DELETED,
 }
 
 # Landed files, one JSON document per line. Each schema carries the corrupt
@@ -150,3 +158,10 @@ JOB_DOC = _fields(
     ("received_at", _T, True),
     (CORRUPT, _S, True),
 )
+RECEIPT_DOC = _fields(
+    ("video_id", _S, True),
+    ("job_id", _S, True),
+    ("error", _S, True),
+    ("received_at", _T, True),
+    (CORRUPT, _S, True),
+)

@@ -1,4 +1,4 @@
-"""Landed JSON files as batch or streaming frames.
+"""Landed JSON files as batch or streaming frames (S1-S3, receipts of S5).
 
 A line that is no JSON keeps its text in the corrupt-record column; the row
 views below drop it and :func:`unreadable` counts it.
@@ -49,6 +49,14 @@ def read_jobs(
     return docs.filter(F.col("job_id").isNotNull())
 
 
+def read_receipts(
+    spark: SparkSession, path: str, *, stream: bool = False, files_per_batch: int | None = None
+) -> DataFrame:
+    """What the service answered to a request: a job id or an error."""
+    docs = _read(spark, path, schemas.RECEIPT_DOC, stream, files_per_batch)
+    return docs.filter(F.col("video_id").isNotNull())
+
+
 def unreadable(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a landing directory that are not JSON documents."""
     return spark.read.text(path).filter(F.try_parse_json("value").isNull())

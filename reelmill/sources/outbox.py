@@ -1,21 +1,33 @@
-"""Request documents for the outside summarisation service."""
+"""Request documents for the outside summarisation service.
 
-from pyspark.sql import DataFrame
+A pass writes its requests to a folder of its own and names it in the record of its
+commit. Readers follow the records: requests of a pass that died before its commit, or
+that was refused, are in no record and are never sent; no other pass writes over them.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelmill.sources.store import StateStore
 
-def write_requests(requests: DataFrame, path: str, batch: str, commit: int = 0) -> None:
-    """Write ``(job_id, request)`` rows, one JSON document per line, under batch and commit.
 
-    A pass that is repeated before its commit overwrites its own directory, so nothing
-    is sent twice; another pass under the same batch name has a directory of its own.
-    """
+def write_requests(requests: DataFrame, folder: str) -> None:
+    """Write ``(job_id, request)`` rows, one JSON document per line, to a new folder."""
     opened = F.regexp_replace(F.to_json(F.struct("job_id")), r"\}\z", "")
     line = F.concat(opened, F.lit(',"request":'), F.col("request"), F.lit("}"))
-    requests.select(line.alias("value")).write.mode("overwrite").text(f"{path}/batch={batch}/commit={commit}")
+    requests.select(line.alias("value")).write.text(folder)
+
+
+def read_requests(spark: SparkSession, *folders: str) -> DataFrame:
+    """Folders of requests as ``(batch, job_id, request)``; ``request`` is JSON text."""
+    schema = "job_id string, request string"
+    if not folders:
+        return spark.createDataFrame([], f"batch string, {schema}")
+    found = spark.read.schema(schema).json(list(folders))
+    batch = F.regexp_extract(F.col("_metadata.file_path"), "/batch=([^/]*)/", 1)
+    return found.select(batch.alias("batch"), "job_id", "request")
 
 
-def read_requests(spark, path: str) -> DataFrame:
-    """The outbox as ``(batch, job_id, request)``; ``request`` is JSON text."""
-    found = spark.read.schema("job_id string, request string, batch string, commit long").json(path)
-    return found.select("batch", "job_id", "request")
+def sent_requests(store: StateStore, after: int = 0) -> DataFrame:
+    """Everything that the commits above version ``after`` have sent."""
+    return read_requests(store.spark, *store.requests(after))

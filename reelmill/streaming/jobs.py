@@ -94,6 +94,31 @@ def fetch(
     return _drain(docs, store, name, apply)
 
 
+def receipts(
+    store: StateStore,
+    landing: str,
+    outbox: str,
+    now: datetime,
+    run_date: date,
+    settings: Settings = Settings(),
+    files_per_batch: int | None = None,
+    name: str = "receipts",
+) -> StreamingQuery:
+    """Landed receipts -> job ids of submitted episodes, or failed attempts.
+
+    The request documents of a batch are published by the commit that holds its batch
+    id, so a batch that is replayed sends nothing again. A receipt for an episode that
+    isn't to be submitted (any more) changes nothing.
+    """
+    docs = landed.read_receipts(store.spark, landing, stream=True, files_per_batch=files_per_batch)
+
+    def apply(local: StateStore, rows: DataFrame, applied: dict[str, int]) -> None:
+        batch = f"{name}-{applied[name]}"
+        passes.submit(local, outbox, batch, now, run_date, settings, rows, applied=applied)
+
+    return _drain(docs, store, name, apply)
+
+
 def collect(
     store: StateStore,
     landing: str,

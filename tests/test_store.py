@@ -207,7 +207,7 @@ def test_submit_then_collect(store, tmp_path):
     counts = passes.submit(store, box, "b1", NOW, DAY, SETTINGS).first().asDict()
     assert counts == {"submitted": 3, "failures": 0}
     assert store.read("distillations").count() == 0
-    sent = {json.loads(r.request)["source_item_id"]: r for r in outbox.read_requests(store.spark, box).collect()}
+    sent = {json.loads(r.request)["source_item_id"]: r for r in outbox.sent_requests(store).collect()}
     assert json.loads(sent["a"].request)["text"] == "text a" and sent["a"].job_id == job_of(store, "a")
     again = passes.submit(store, box, "b2", NOW, DAY, SETTINGS).first().asDict()
     assert again == {"submitted": 0, "failures": 0}
@@ -261,12 +261,13 @@ def test_requeue_and_retry(store, tmp_path, spark):
     docs = landed.read_responses(spark, str(tmp_path / "new"))
     asked = spark.createDataFrame([("a",), ("b",), ("zz",)], "video_id string")
     box = str(tmp_path / "box")
-    got = passes.requeue(store, asked, docs, box, "r1", NOW, SETTINGS)
+    got, counts = passes.requeue(store, asked, docs, box, "r1", NOW, SETTINGS)
     assert rows(got, "video_id", "outcome") == [("a", "fetched"), ("b", "unavailable"), ("zz", "not_found")]
-    counts = passes.restart_counts(got).first()
+    counts = counts.first()
+    assert counts.submitted == 1
     assert (counts.reprocessed, counts.transcripts_fetched, counts.unavailable, counts.failures) == (2, 1, 1, 0)
     assert job_of(store, "a") and not job_of(store, "b")
-    sent = outbox.read_requests(spark, box).collect()
+    sent = outbox.sent_requests(store).collect()
     assert [json.loads(r.request)["text"] for r in sent] == ["newer a"]
     # b has failed once; a limit of two deletes it when it fails again
     later = NOW + timedelta(hours=1)
@@ -309,7 +310,7 @@ def test_passes_under_one_batch_name_all_reach_the_outbox(store, tmp_path):
     one = passes.Settings(limit=1)
     for _ in range(3):
         passes.submit(store, box, "same", NOW, DAY, one)
-    sent = [r.job_id for r in outbox.read_requests(store.spark, box).collect()]
+    sent = [r.job_id for r in outbox.sent_requests(store).collect()]
     assert sorted(sent) == sorted(job_of(store, v) for v in "abc")
 
 
