@@ -11,10 +11,12 @@
    other pair is confirmed on the full shingle sets, as strings.
 4. Confirmed pairs are joined into components.
 5. Buckets whose other members still lie in several components go on, on narrow rows of
-   ids and sketches in blocks of bounded size. In each round a member tries the one of
-   its near members of other components that is near to most (the original among its
-   copies). When a round brings few links, all near pairs of different components that
-   are left are confirmed, so that no pair of a bucket stays unseen.
+   ids and sketches in blocks of bounded size (buckets of one least id are one group). In
+   each round a member tries the one of its near members of other components that is near
+   to most (the original among its copies). When a round brings few links, the members
+   that still have a near one in another component are named, once each, and their texts
+   meet in blocks in which all pairs are counted exactly; a block sends only links that
+   join two components, so fewer than it has members. No pair of a bucket stays unseen.
 
 Two texts at a similarity of 0.8 meet in about 26 of the 64 bands (in none: 2 of 10**15
 pairs). ``tests/llm`` compares with all pairs, for hub groups and chains too.
@@ -288,7 +290,7 @@ def candidates(stars: DataFrame, nodes: DataFrame, how: Near) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, keys: list[str], at_end):
-    """Each run of rows with equal ``keys`` (its columns as lists) goes to ``at_end``."""
+    """Each run of rows with equal ``keys`` goes to ``at_end`` (the keys, the rows' rest)."""
     names = rows.columns
 
     def run(batches):
@@ -301,13 +303,13 @@ def _blocks(rows: DataFrame, keys: list[str], at_end):
                     now = row[: len(keys)]
                     if now != key:
                         if held:
-                            found += at_end(held)
+                            found += at_end(key, held)
                         key, held = now, []
                     held.append(row[len(keys) :])
             if found:
                 yield found
         if held:
-            yield at_end(held)
+            yield at_end(key, held)
 
     return run
 
@@ -337,10 +339,11 @@ def _members(rest: DataFrame, labels: DataFrame, nodes: DataFrame, how: Near) ->
 
 
 def _near_blocks(members: DataFrame, how: Near, every: bool) -> DataFrame:
-    """id, other, weight: of every two blocks, the near pairs of different components; all
-    of them (id < other), or for each member the one that is near to most."""
+    """id, other, weight: of every two blocks, the members with a near one of another
+    component. ``other`` is, of these, the one that is near to most; with ``every`` it is
+    the group."""
 
-    def pairs(held):
+    def pairs(key, held):
         if len({h[2] for h in held}) < 2:
             return []
         data = np.array(held, np.int64)
@@ -356,12 +359,9 @@ def _near_blocks(members: DataFrame, how: Near, every: bool) -> DataFrame:
             near[k : k + 256] = ~apart & (a[..., 2] != b[..., 2])
             weight[k : k + 256] = np.where(near[k : k + 256], np.maximum(1, how.most_bits + 1 - bits), 0)
         if every:
-            rows, cols = np.nonzero(near)
-            a, b = left[rows, 1], right[cols, 1]
-            if one.all():
-                a, b = a[a < b], b[a < b]
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            return [pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(np.zeros(len(low)))], names)]
+            some = np.unique(np.concatenate([left[near.any(axis=1), 1], right[near.any(axis=0), 1]]))
+            group = np.full(len(some), key[0])
+            return [pa.RecordBatch.from_arrays([pa.array(some), pa.array(group), pa.array(np.zeros(len(some)))], names)]
         out = []
         ways = [(left, right, near, weight)]
         if not one.all():
@@ -432,7 +432,7 @@ def confirmed_blocks(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, how: N
     moved = docs.select(F.col("doc_id").cast("long"), "text").join(sides.hint("merge"), "doc_id")
     moved = moved.select(*keys, "doc_id", "partners", F.col("text").cast("binary")).repartition(*keys).sortWithinPartitions(*keys)
 
-    def links(held):
+    def links(_, held):
         hashes, sets, wanted, root = WordHashes(), {}, {}, {}
         for doc, partners, text in held:
             data = bytes(text or b"")
@@ -472,33 +472,141 @@ def confirmed_blocks(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, how: N
     return moved.mapInArrow(flat, "a long, b long")
 
 
+def overlaps(sets: list[np.ndarray], few: int = 16, columns: int = 8192) -> np.ndarray:
+    """How many elements every two sets share.
+
+    An element of at most ``few`` sets adds to its pairs one by one; the others are
+    columns of a 0/1 matrix that is multiplied by itself, ``columns`` at a time.
+    """
+    n = len(sets)
+    shared = np.zeros((n, n), np.int64)
+    elements = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    new = np.ones(len(elements), bool)
+    new[1:] = elements[1:] != elements[:-1]
+    starts = np.flatnonzero(new)
+    held = np.diff(np.append(starts, len(elements)))
+    held_by = np.repeat(held, held)
+    rare = owner[(held_by > 1) & (held_by <= few)]
+    rank = np.repeat(np.arange(len(starts)), held)
+    rare_rank = rank[(held_by > 1) & (held_by <= few)]
+    for step in range(1, few):
+        same = rare_rank[step:] == rare_rank[:-step]
+        pairs = rare[:-step][same] * n + rare[step:][same]
+        shared += np.bincount(pairs, minlength=n * n).reshape(n, n)
+    shared += shared.T.copy()
+    often = np.flatnonzero(held > few)
+    for k in range(0, len(often), columns):
+        chosen = often[k : k + columns]
+        matrix = np.zeros((n, len(chosen)), np.float32)
+        for column, (start, size) in enumerate(zip(starts[chosen].tolist(), held[chosen].tolist(), strict=True)):
+            matrix[owner[start : start + size], column] = 1
+        shared += (matrix @ matrix.T).astype(np.int64)
+    return shared
+
+
+def joining_links(flagged: DataFrame, labels: DataFrame, docs: DataFrame, nodes: DataFrame, how: Near) -> DataFrame:
+    """a, b: links between members of one group, enough to join all that they join.
+
+    ``flagged`` (id, other): members and their groups, which are ids too. Groups that share
+    members are one cluster, so a text travels once to every two blocks of its cluster, not
+    to each of its buckets. There all pairs are counted by the hashes of their shingles;
+    one that is similar enough and joins two components is compared again as strings.
+    """
+    size, percent = how.size, how.percent
+    clusters = components(flagged.select(F.col("other").alias("a"), F.col("id").alias("b")).distinct())
+    sized = (
+        clusters.toDF("id", "cluster")
+        .join(flagged.select("id").distinct(), "id", "left_semi")
+        .join(nodes.select(F.col("doc_id").alias("id"), "n_shingles"), "id")
+        .join(labels.toDF("id", "component"), "id", "left")
+        .withColumn("component", F.coalesce("component", "id"))
+    )
+    sized = staged(sized, "clusters")
+    parts = sized.groupBy("cluster").agg(
+        F.greatest(
+            F.ceil(F.count("*") / how.held), F.ceil(F.sum("n_shingles") / how.held_shingles)
+        ).cast("int").alias("parts")
+    )
+    part = F.pmod(F.xxhash64("id", F.lit(9)), F.col("parts")).cast("int")
+    keys = ["cluster", "i", "j"]
+    dealt = sized.join(parts, "cluster").select(
+        "cluster", "id", "component", part.alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"),
+    )
+    dealt = dealt.select(
+        "cluster", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"),
+        F.col("id").alias("doc_id"), "component", "part",
+    )
+    moved = docs.select(F.col("doc_id").cast("long"), "text").join(dealt.hint("merge"), "doc_id")
+    moved = moved.select(*keys, "doc_id", "component", "part", F.col("text").cast("binary"))
+    moved = moved.repartition(*keys).sortWithinPartitions(*keys)
+
+    def links(key, held):
+        hashes = WordHashes()
+        ids, component, of, data = zip(*held, strict=True)
+        words = [words_of(bytes(text or b"")) for text in data]
+        sets = [shingle_hashes(w, size, hashes) for w in words]
+        both, n = overlaps(sets), np.array([len(s) for s in sets])
+        enough = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        label, of = np.array(component), np.array(of)
+        wanted = enough & (label[:, None] < label[None, :])
+        if key[1] != key[2]:  # pairs within one block are tried where it meets itself
+            wanted &= of[:, None] != of[None, :]
+        root = dict.fromkeys(component)
+
+        def top(x):
+            while root[x] is not None:
+                x = root[x]
+            return x
+
+        found = []
+        for x, y in np.argwhere(wanted).tolist():
+            s, t = top(component[x]), top(component[y])
+            if s == t:
+                continue
+            one, other = shingles(words[x], size), shingles(words[y], size)
+            shared = len(one & other)
+            if 100 * shared >= percent * (len(one) + len(other) - shared):
+                root[s] = t
+                found.append((ids[x], ids[y]))
+        return found
+
+    run = _blocks(moved, keys, links)
+
+    def flat(batches):
+        for found in run(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return moved.mapInArrow(flat, "a long, b long")
+
+
 def link_rest(stars: DataFrame, tried: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, how: Near) -> DataFrame:
     """node, component after all pairs of a bucket's members were tried or lie in one component."""
     labels = components(links)
-    # pairs with a centre are tried; buckets with the same centres are one group
+    # pairs with a centre are tried; buckets with the same least id are one group
     centres = stars.columns[1:]
     outer = reduce(lambda x, y: x & y, (F.col(c) != F.col("id") for c in centres))
-    rest = staged(stars.filter(outer).select(F.xxhash64(*centres).alias("group"), "id").distinct(), "rest")
+    rest = staged(stars.filter(outer).select(F.col("c0").alias("group"), "id").distinct(), "rest")
     few = None
-    every = False
     while True:
-        found = _near_blocks(_members(rest, labels, nodes, how), how, every)
-        if not every:
-            found = staged(found, "peaks")
-            if few is None:
-                # who has no near member of another component now never will
-                ids = found.select(F.col("id").alias("doc_id")).union(found.select("other")).distinct()
-                some = docs.select(F.col("doc_id").cast("long"), "text").join(ids.hint("merge"), "doc_id", "left_semi")
-                if not found.limit(1).count():
-                    return labels
-                few = staged(some, "rest_texts")
-            # what was tried gives way to the next best, by the votes of all blocks
-            low, high = F.least("id", "other"), F.greatest("id", "other")
-            votes = found.groupBy("id", "other", low.alias("a"), high.alias("b")).agg(F.sum("weight").alias("weight"))
-            votes = votes.join(tried, ["a", "b"], "left_anti")
-            found = votes.groupBy("id").agg(F.max_by("other", F.struct("weight", "other")).alias("other"))
-        pairs = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        fresh = staged(pairs.join(tried, ["a", "b"], "left_anti") if every else pairs, "pairs")
+        found = staged(_near_blocks(_members(rest, labels, nodes, how), how, False), "peaks")
+        if few is None:
+            # who has no near member of another component now never will
+            if not found.limit(1).count():
+                return labels
+            ids = found.select(F.col("id").alias("doc_id")).union(found.select("other")).distinct()
+            some = docs.select(F.col("doc_id").cast("long"), "text").join(ids.hint("merge"), "doc_id", "left_semi")
+            few = staged(some, "rest_texts")
+        # what was tried gives way to the next best, by the votes of all blocks
+        low, high = F.least("id", "other"), F.greatest("id", "other")
+        votes = found.groupBy("id", "other", low.alias("a"), high.alias("b")).agg(F.sum("weight").alias("weight"))
+        votes = votes.join(tried, ["a", "b"], "left_anti")
+        picks = votes.groupBy("id").agg(F.max_by("other", F.struct("weight", "other")).alias("other"))
+        pairs = picks.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        fresh = staged(pairs, "pairs")
         n, n_more = fresh.count(), 0
         if n:
             more = staged(confirmed_blocks(fresh, few, nodes, how), "links")
@@ -506,9 +614,11 @@ def link_rest(stars: DataFrame, tried: DataFrame, links: DataFrame, nodes: DataF
         if n_more:
             tried, links = tried.union(fresh), links.union(more)
             labels = components(links)
-        if every:
-            return labels
-        every = 10 * n_more <= n
+        if 10 * n_more <= n:
+            break
+    flagged = staged(_near_blocks(_members(rest, labels, nodes, how), how, True), "flagged")
+    last = staged(joining_links(flagged, labels, few, nodes, how), "links")
+    return components(links.union(last)) if last.limit(1).count() else labels
 
 
 def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
