@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 from reelmill.llm.common import documents, staged, texts
 
+#: Rows that a task hands over at once.
+ROWS = 20_000
 #: Bytes that end a piece become full stops, a tab becomes a space, A-Z become a-z.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PIECES = bytes.maketrans(BREAKS + b"\t", b"." * len(BREAKS) + b" ")
@@ -53,7 +55,7 @@ class Mining:
     longest: int = 5
     least: int = 100
     inside: int = 100
-    batch_bytes: int = 8 << 20
+    batch_bytes: int = 4 << 20
     table_bytes: int = 128 << 20
 
 
@@ -123,12 +125,10 @@ def pair_counts(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
             pairs, many = np.unique(x[:-1][both] * len(hashes) + x[1:][both], return_counts=True)
             size = max(len(hashes), 1)
             of_pairs = _pair_hashes(hashes[pairs // size], hashes[pairs % size])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "hash": pa.array(np.concatenate([hashes, of_pairs]).view(np.int64)),
-                    "n": pa.array(np.concatenate([counts, many]).astype(np.int64)),
-                }
-            )
+            every = np.concatenate([hashes, of_pairs]).view(np.int64)
+            n = np.concatenate([counts, many])
+            for k in range(0, len(n), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(every[k : k + ROWS]), pa.array(n[k : k + ROWS])], ["hash", "n"])
 
     return _named(docs).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
@@ -174,14 +174,13 @@ def windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataF
         for held in _batches(batches, how.batch_bytes):
             langs, words, counts = _counted(held, known, how.longest)
             vocabulary = pa.array([word for _, word in held.numbers], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(held.langs), pa.string()).take(pa.array(langs)),
-                    *[vocabulary.take(pa.array(column, mask=column < 0)) for column in words],
-                    pa.array(counts),
-                ],
-                ["lang", *names, "n"],
-            )
+            of_lang = pa.array(list(held.langs), pa.string())
+            for k in range(0, len(counts), ROWS):
+                part = slice(k, k + ROWS)
+                columns = [vocabulary.take(pa.array(column[part], mask=column[part] < 0)) for column in words]
+                yield pa.RecordBatch.from_arrays(
+                    [of_lang.take(pa.array(langs[part])), *columns, pa.array(counts[part])], ["lang", *names, "n"]
+                )
 
     return _named(docs).mapInArrow(run, ", ".join(["lang string", *(f"{name} string" for name in names), "n long"]))
 
@@ -204,7 +203,7 @@ def _counted(held: _Numbered, known: np.ndarray, longest: int) -> tuple[np.ndarr
     # windows of no word by language, then those of one word
     of_word = np.array([of for of, _ in held.numbers], np.int64)
     langs = np.append(np.arange(n_langs), of_word)
-    words = np.full((longest, n_langs + n_words), -1)
+    words = np.full((longest, n_langs + n_words), -1, np.int32)
     words[0, n_langs:] = np.arange(n_words)
     word_at = np.flatnonzero(x >= 0)
     window = np.where(lead[word_at] >= 0, n_langs + lead[word_at], of_word[x[word_at]])
