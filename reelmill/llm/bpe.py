@@ -5,14 +5,14 @@ pre-token crosses its edges, so the pre-tokens of a word are those that it has i
 its text. Two passes over the texts see them in the same blocks (runs of rows of
 one task):
 
-* the first sends every distinct word of a block, with its number there, to the
-  task that owns the word; that task encodes each distinct word once and sends the
-  ids back, packed per block;
+* the first deals the distinct words of a block, with their numbers there, to the
+  shares that own them, one packed row per block and share; the task of a share
+  encodes each distinct word once and sends the ids back, packed alike;
 * the second sends the positions, as numbers of words, and both meet by block,
   where the ids are put together by position.
 
-A frequent word so travels once per block, not once per occurrence, and its row is
-as small as any other, so no key is hot. ``docs`` must be a relation that reads the
+A frequent word so travels once per block, not once per occurrence, and takes no more
+room than any other, so no key is hot. ``docs`` must be a relation that reads the
 same rows in the same tasks again: a table or a staged result.
 
 Defined cases: a null text is empty and has no ids; a repeated row is encoded each
@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from reelmill.llm.common import documents, texts, with_fields
 
 #: Bytes of text in a block, if no single text is longer.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+#: Shares of the words per shuffle partition, and words that a task keeps encoded.
+SHARES, KEPT = 4, 1_000_000
 
 #: The letters that are white space to the pattern.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -83,20 +85,56 @@ def _unpack(packed: bytes, n: int) -> np.ndarray:
     return numbers
 
 
-def block_words(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """block, number, word: the distinct words of each block."""
+def _bytes_of(numbers: np.ndarray) -> bytes:
+    """Numbers with a length in front, compressed."""
+    return zlib.compress(np.append(len(numbers), numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _numbers_of(packed: bytes) -> np.ndarray:
+    data = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return np.ascontiguousarray(data.reshape(4, -1).T).view("<u4").ravel()[1:]
+
+
+def block_words(docs: DataFrame, block_bytes: int, shares: int) -> DataFrame:
+    """block, share, numbers, words: the distinct words of each block by their owner,
+    numbers as steps from one to the next."""
 
     def run(batches):
         for block, _, _, _, numbers in _blocks(batches, block_bytes):
+            words = [word.encode() for word in numbers]
+            owner = np.fromiter((zlib.crc32(word) % shares for word in words), np.int32, len(words))
+            order = np.argsort(owner, kind="stable")
+            edges = np.searchsorted(owner[order], np.arange(shares + 1))
+            rows = {"share": [], "numbers": [], "words": []}
+            for share in np.flatnonzero(np.diff(edges)).tolist():
+                mine = order[edges[share] : edges[share + 1]]
+                sizes = np.fromiter((len(words[i]) for i in mine), np.uint32, len(mine))
+                rows["share"].append(share)
+                rows["numbers"].append(_bytes_of(np.diff(mine, prepend=0)))
+                rows["words"].append(_joined(sizes, b"".join([words[i] for i in mine])))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "block": pa.array(np.full(len(numbers), block)),
-                    "number": pa.array(np.arange(len(numbers), dtype=np.int32)),
-                    "word": pa.array(list(numbers), pa.string()),
+                    "block": pa.array(np.full(len(rows["share"]), block)),
+                    "share": pa.array(rows["share"], pa.int32()),
+                    "numbers": pa.array(rows["numbers"], pa.binary()),
+                    "words": pa.array(rows["words"], pa.binary()),
                 }
             )
 
-    return docs.mapInArrow(run, "block long, number int, word string")
+    return docs.mapInArrow(run, "block long, share int, numbers binary, words binary")
+
+
+def _joined(sizes: np.ndarray, data: bytes) -> bytes:
+    """Pieces one after another behind their sizes, compressed."""
+    head = _bytes_of(sizes)
+    return len(head).to_bytes(4, "little") + head + zlib.compress(data, 1)
+
+
+def _pieces(packed: bytes) -> list[bytes]:
+    end = 4 + int.from_bytes(packed[:4], "little")
+    edges = np.cumsum(_numbers_of(packed[4:end]), dtype=np.int64).tolist()
+    data = zlib.decompress(packed[end:])
+    return [data[a:b] for a, b in zip([0, *edges], edges, strict=False)]
 
 
 def block_positions(docs: DataFrame, block_bytes: int) -> DataFrame:
@@ -116,33 +154,33 @@ def block_positions(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, "block long, doc_ids array<long>, counts array<int>, codes binary")
 
 
-def encoded_words(words: DataFrame, vocab: str, pattern: str) -> DataFrame:
-    """block, numbers, sizes, ids: words of one block encoded, each word once in all."""
+def encoded_words(words: DataFrame, vocab: str, pattern: str, width: str) -> DataFrame:
+    """block, numbers, ids: the words of a block and share encoded, each word once in all
+    (again only when a task has met ``KEPT`` others)."""
 
     def run(batches):
-        table = ranks(vocab)
-        encoder = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        width = "<u2" if max(table.values()) < 65536 else "<u4"
-        last, ids = None, b""
+        encoder = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks(vocab), special_tokens={})
+        known: dict[bytes, bytes] = {}
         for batch in batches:
-            of: dict[int, tuple[list, list, list]] = {}
-            rows = zip(*(batch.column(n).to_pylist() for n in ("block", "number", "word")), strict=True)
-            for block, number, word in rows:
-                if word != last:
-                    last, ids = word, np.array(encoder.encode_ordinary(word), width).tobytes()
-                kept = of.setdefault(block, ([], [], []))
-                kept[0].append(number), kept[1].append(len(ids)), kept[2].append(ids)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "block": pa.array(list(of), pa.int64()),
-                    "numbers": pa.array([np.array(k[0], "<u4").tobytes() for k in of.values()], pa.binary()),
-                    "sizes": pa.array([np.array(k[1], "<u4").tobytes() for k in of.values()], pa.binary()),
-                    "ids": pa.array([b"".join(k[2]) for k in of.values()], pa.binary()),
-                }
+            packed = []
+            for row in batch.column(2).to_pylist():
+                coded = []
+                for word in _pieces(row):
+                    ids = known.get(word)
+                    if ids is None:
+                        if len(known) >= KEPT:
+                            known.clear()
+                        ids = np.array(encoder.encode_ordinary(word.decode()), width).tobytes()
+                        known[word] = ids
+                    coded.append(ids)
+                sizes = np.fromiter(map(len, coded), np.uint32, len(coded))
+                packed.append(_joined(sizes, b"".join(coded)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["block", "numbers", "ids"]
             )
 
-    sent = words.repartition("word").sortWithinPartitions("word")
-    return sent.mapInArrow(run, "block long, numbers binary, sizes binary, ids binary")
+    sent = words.repartition("share").select("block", "numbers", "words")
+    return sent.mapInArrow(run, "block long, numbers binary, ids binary")
 
 
 def encode(
@@ -153,29 +191,24 @@ def encode(
 ) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers)."""
     vocab = vocab or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    width = "<u2" if max(ranks(vocab).values()) < 65536 else "<u4"
+    shares = SHARES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = encoded_words(block_words(docs, block_bytes), vocab, pattern)
+    parts = encoded_words(block_words(docs, block_bytes, shares), vocab, pattern, width)
     places = block_positions(docs, block_bytes)
 
     def join(found: pa.Table, where: pa.Table) -> pa.Table:
-        width = "<u2" if max(ranks(vocab).values()) < 65536 else "<u4"
         ids: dict[int, bytes] = {}
-        for numbers, sizes, packed in zip(
-            *(found.column(n).to_pylist() for n in ("numbers", "sizes", "ids")), strict=True
-        ):
-            wide = np.frombuffer(packed, width).astype("<u4").tobytes()
-            ends = np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64)) * (4 // np.dtype(width).itemsize)
-            start = 0
-            for number, end in zip(np.frombuffer(numbers, "<u4").tolist(), ends.tolist(), strict=True):
-                ids[number] = wide[start:end]
-                start = end
+        for numbers, packed in zip(*(found.column(n).to_pylist() for n in ("numbers", "ids")), strict=True):
+            ids.update(zip(np.cumsum(_numbers_of(numbers), dtype=np.int64).tolist(), _pieces(packed), strict=True))
         out_ids, out_docs = [], []
         for row in where.to_pylist():
             codes = _unpack(row["codes"], sum(row["counts"]))
             start = 0
             for doc_id, n in zip(row["doc_ids"], row["counts"], strict=True):
                 out_docs.append(doc_id)
-                out_ids.append(b"".join(map(ids.__getitem__, codes[start : start + n].tolist())))
+                coded = b"".join(map(ids.__getitem__, codes[start : start + n].tolist()))
+                out_ids.append(np.frombuffer(coded, width).astype("<u4").tobytes())
                 start += n
         return pa.table(
             {
