@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from test_operators import GOOD, captions
 
 from reelmill import schemas
+from reelmill.operators import changes as ch
 from reelmill.operators import discovery, reports
 from reelmill.plans import passes
 from reelmill.sources import landed, outbox
-from reelmill.sources.store import StateStore, Write
+from reelmill.sources.store import StateStore, Unit, Write
 from reelmill.streaming import jobs as streams
 
 NOW = datetime(2024, 5, 1, 10, 0, 0)
@@ -416,3 +417,259 @@ def test_second_writer_of_a_version_is_refused(store, spark, monkeypatch):
     assert rows(store.read("texts"), "id") == [(1,)]
     assert store.commit({"texts": texts(3)}) == 2
     assert rows(store.read("texts"), "id") == [(1,), (3,)]
+
+
+# -- units: all or nothing, and nothing lost ---------------------------------------
+
+
+def changed(work, column, value):
+    """The whole episode table with one column set."""
+    rows = work.read("episodes")
+    kind = dict(rows.dtypes)[column]
+    return {"episodes": Write(rows.withColumn(column, F.lit(value).cast(kind)), work.touched(rows))}
+
+
+def test_update_of_an_overtaken_reader_is_refused(store, tmp_path):
+    """Read, another's commit, own commit: refused; the other's update stays."""
+    seed(store, tmp_path, "a", "b")
+    late = StateStore(store.spark, store.root, 4)
+    with pytest.raises(RuntimeError, match="another writer"), late.unit() as work:
+        titles = changed(work, "title", "late")
+        with store.unit() as first:
+            first.commit(changed(first, "status", "fetched"))
+        work.commit(titles)
+    assert {r[0] for r in rows(store.read("episodes"), "status")} == {"fetched"}
+    assert {r[0] for r in rows(store.read("episodes"), "title")} == {"T a", "T b"}
+    base = store.pointer()["version"]
+    with late.unit() as work:
+        work.commit(changed(work, "title", "late"))
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.commit(changed(store, "title", "old"), base=base)
+    assert {r[0] for r in rows(store.read("episodes"), "status", "title")} == {"fetched"}
+    assert {r[0] for r in rows(store.read("episodes"), "title")} == {"late"}
+
+
+def test_unit_reads_its_own_writes_and_publishes_once(store, tmp_path):
+    seed(store, tmp_path, "a")
+    version = store.pointer()["version"]
+    with store.unit() as work:
+        work.commit(changed(work, "title", "x"))
+        assert rows(work.read("episodes"), "title") == [("x",)]
+        assert rows(store.read("episodes"), "title") == [("T a",)]
+        with work.unit() as inner:
+            inner.commit(changed(inner, "last_error", "y"))
+        assert store.pointer()["version"] == version
+    assert store.pointer()["version"] == version + 1
+    assert rows(store.read("episodes"), "title", "last_error") == [("x", "y")]
+    with pytest.raises(ValueError, match="half way"), store.unit() as work:
+        work.commit(changed(work, "title", "z"))
+        raise ValueError("half way")
+    assert store.pointer()["version"] == version + 1 and rows(store.read("episodes"), "title") == [("x",)]
+
+
+def sent_jobs(store):
+    return sorted(r.job_id for r in outbox.sent_requests(store).collect())
+
+
+def test_two_submitters_send_what_the_state_says(store, tmp_path, monkeypatch):
+    """Both read one version: the second is refused, and its requests are not sent."""
+    fetched(store, tmp_path, "a", "b")
+    box = str(tmp_path / "outbox")
+    other = StateStore(store.spark, store.root, 4)
+    publish = Unit.publish
+
+    def overtaken(unit):
+        monkeypatch.setattr(Unit, "publish", publish)
+        passes.submit(other, box, "b1", NOW, DAY, passes.Settings(limit=1))
+        return publish(unit)
+
+    monkeypatch.setattr(Unit, "publish", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        passes.submit(store, box, "b1", NOW, DAY, SETTINGS)
+    assert sent_jobs(store) == sorted(j for j in (job_of(store, "a"), job_of(store, "b")) if j)
+    assert len(sent_jobs(store)) == 1
+    passes.submit(store, box, "b1", NOW, DAY, SETTINGS)
+    assert sent_jobs(store) == sorted([job_of(store, "a"), job_of(store, "b")])
+
+
+def test_submit_that_dies_after_its_requests_is_repeated_once(store, tmp_path, monkeypatch):
+    fetched(store, tmp_path, "a", "b")
+    box = str(tmp_path / "outbox")
+
+    def dies(unit):
+        raise OSError("lost driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Unit, "publish", dies)
+        with pytest.raises(OSError, match="lost driver"):
+            passes.submit(store, box, "b1", NOW, DAY, SETTINGS)
+    assert sent_jobs(store) == [] and job_of(store, "a") is None
+    land(tmp_path / "feeds", "2.json", feed_doc("@a", "new"))
+    discover(store, tmp_path / "feeds")
+    passes.submit(store, box, "b1", NOW, DAY, SETTINGS)
+    assert sent_jobs(store) == sorted([job_of(store, "a"), job_of(store, "b")])
+    texts = sorted(json.loads(r.request)["text"] for r in outbox.sent_requests(store).collect())
+    assert texts == ["text a", "text b"]
+
+
+def test_reprocess_under_the_same_name_has_a_job_of_its_own(store, tmp_path):
+    """The old job's document, collected again, ends nothing."""
+    fetched(store, tmp_path, "a")
+    box = str(tmp_path / "outbox")
+    passes.submit(store, box, "same", NOW, DAY, SETTINGS)
+    old = job_of(store, "a")
+    end = {"job_id": old, "status": "succeeded", "result": GOOD, "received_at": "2024-05-01T12:00:00Z"}
+    assert collect(store, tmp_path, "jobs", end)["distilled"] == 1
+    before = store.pointer()["version"]
+    counts = passes.reprocess(store, store.read("episodes"), box, "same", SETTINGS).first()
+    assert (counts.submitted, store.pointer()["version"]) == (1, before + 1)
+    new = job_of(store, "a")
+    assert new and new != old
+    docs = landed.read_jobs(store.spark, str(tmp_path / "jobs"))
+    assert passes.collect(store, docs, NOW, DAY, SETTINGS).first().distilled == 0
+    assert job_of(store, "a") == new and store.read("waiting_jobs").count() == 0
+
+
+def chain(store, spark, tmp_path):
+    return passes.run_chain(
+        store,
+        landed.read_feeds(spark, str(tmp_path / "feeds")),
+        discovery.channel_targets(spark, "a"),
+        landed.read_responses(spark, str(tmp_path / "answers")),
+        str(tmp_path / "box"),
+        "b1",
+        NOW,
+        DAY,
+        SETTINGS,
+    ).first()
+
+
+def test_chain_that_dies_at_any_step_leaves_nothing(store, tmp_path, spark, monkeypatch):
+    land(tmp_path / "feeds", "1.json", feed_doc("@a", "a", "b"))
+    land(tmp_path / "answers", "1.json", answer("a", 200, captions("t")), answer("b", 403, {}))
+    commit = Unit.commit
+    for step in range(4):
+        seen = []
+
+        def dies(unit, *args, step=step, seen=seen, **kwargs):
+            if len(seen) == step:
+                raise OSError("lost driver")
+            seen.append(1)
+            return commit(unit, *args, **kwargs)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(Unit, "commit", dies)
+            with pytest.raises(OSError, match="lost driver"):
+                chain(store, spark, tmp_path)
+        assert store.pointer()["version"] == 0 and store.read("episodes").count() == 0
+        assert store.read("ingest_runs").count() == 0 and sent_jobs(store) == []
+    result = chain(store, spark, tmp_path)
+    assert (result.episodes_discovered, result.transcripts_fetched, result.submitted, result.failures) == (2, 1, 1, 1)
+    assert store.pointer()["version"] == 1 and sent_jobs(store) == [job_of(store, "a")]
+    state = rows(store.read("episodes"), *SHOWN)
+    again = chain(store, spark, tmp_path)
+    assert (again.episodes_discovered, again.transcripts_fetched, again.submitted, again.failures) == (0, 0, 0, 0)
+    assert rows(store.read("episodes"), *SHOWN) == state and run_row(store).failures == 1
+
+
+def test_limit_leaves_answers_for_a_later_pass(store, tmp_path):
+    """The same end whatever the limit; nothing that has landed is lost."""
+    ends = {}
+    for limit in (1, 2, None):
+        one = StateStore(store.spark, f"{store.root}-{limit}", 4)
+        seed(one, tmp_path, "a", "b", "c")
+        path = tmp_path / f"answers-{limit}"
+        land(path, "1.json", *[answer(v, 200, captions(f"t {v}")) for v in "abc"], answer("zz", 404, {}))
+        docs = landed.read_responses(one.spark, str(path))
+        counts = passes.fetch(one, docs, NOW, DAY, SETTINGS, limit).first()
+        assert counts.transcripts_fetched == (limit or 3)
+        assert one.read("waiting_answers").count() == 4 - (limit or 3)
+        for _ in range(2):
+            passes.fetch(one, None, NOW, DAY, SETTINGS, limit)
+        assert rows(one.read("waiting_answers"), "video_id") == [("zz",)]
+        ends[limit] = rows(one.read("episodes"), *SHOWN), run_row(one).transcripts_fetched
+    assert ends[1] == ends[2] == ends[None] and ends[None][1] == 3
+
+
+def test_receipt_stream_counts_each_receipt_once(store, tmp_path):
+    """In any batches, twice, and after a crash between the requests and the commit."""
+    said = [
+        {"video_id": "a", "job_id": "j1"}, {"video_id": "b", "error": "full"}, {"video_id": "a", "job_id": "j1"},
+        {"video_id": "b", "error": "full"}, {"video_id": "zz", "job_id": "j9"}, {"video_id": "c"},
+    ]
+    for i, receipt in enumerate(said):
+        land(tmp_path / "receipts", f"{i}.json", receipt | {"received_at": "2024-05-01T12:00:00Z"})
+    shown = {}
+    for files in (None, 1):
+        one = StateStore(store.spark, f"{store.root}-{files}", 4)
+        fetched(one, tmp_path, "a", "b", "c")
+        args = (one, str(tmp_path / "receipts"), str(tmp_path / f"box-{files}"), NOW, DAY, SETTINGS, files)
+        streams.receipts(*args).awaitTermination()
+        streams.receipts(*args, "again").awaitTermination()
+        columns = ["video_id", "status", "distill_job_id", "distill_attempts", "last_error"]
+        shown[files] = rows(one.read("episodes").fillna("-"), *columns), run_row(one).failures
+        assert sent_jobs(one) == ["j1"]
+    assert shown[None] == shown[1]
+    state, failures = shown[1]
+    assert state[0] == ("a", "fetched", "j1", 0, "-") and state[1] == ("b", "failed", "-", 1, "full")
+    assert state[2][1:4] == ("failed", "-", 1) and failures == 2
+
+
+def test_deletion_writes_no_text_until_it_is_folded_in(store, tmp_path):
+    fetched(store, tmp_path, "a", "b", "c")
+    before = store.pointer()["tables"]["texts"]
+    passes.delete(store, store.read("episodes").filter("video_id = 'b'").select("id"))
+    assert store.pointer()["tables"]["texts"] == before and store.read("texts").count() == 2
+    buckets = passes.fold_deleted(store)
+    assert len(buckets) == 1 and store.read("texts").count() == 2
+    assert "deleted" not in store.pointer()["tables"] or not store.pointer()["tables"]["deleted"]
+    stored = [f"{store.root}/texts/{v}/bucket={b}" for b, vs in store.pointer()["tables"]["texts"].items() for v in vs]
+    assert store.spark.read.parquet(*stored).count() == 2
+    assert passes.fold_deleted(store) == []
+    passes.submit(store, str(tmp_path / "box"), "b", NOW, DAY, SETTINGS)  # from rewritten folders too
+    assert len(sent_jobs(store)) == 2
+
+
+def test_requests_read_only_the_folders_of_their_versions(store, tmp_path, spark):
+    """No text is shuffled, and texts of other versions are not scanned."""
+    seed(store, tmp_path, "a", "b", "c", "d")
+    for i, video in enumerate("abcd"):
+        land(tmp_path / video, "1.json", answer(video, 200, captions(f"text {video}"), i))
+        passes.fetch(store, landed.read_responses(spark, str(tmp_path / video)), NOW, DAY, SETTINGS)
+    with store.unit() as work:
+        chosen = work.read("episodes").filter("video_id IN ('b', 'd')")
+        chosen = work.stage(chosen.select("id", "bucket", F.col("video_id").alias("job_id")), "chosen")
+        requests = passes._requests(work, chosen, SETTINGS)
+        plan = requests._jdf.queryExecution().executedPlan().toString()
+        files = [f for f in requests.inputFiles() if "/texts/" in f]
+        assert rows(requests.selectExpr("get_json_object(request, '$.text') AS text"), "text") == [("text b",), ("text d",)]
+    versions = {f.split("/texts/")[1].split("-")[0] for f in files}
+    wanted = {r.text_version for r in store.read("episodes").filter("video_id IN ('b', 'd')").collect()}
+    assert versions == {f"v={v:08d}" for v in wanted} and len(files) == 2
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_amended_store(store, tmp_path, spark):
+    """Many ordered changes of one episode, one commit."""
+    fetched(store, tmp_path, "a", "b")
+    ids = {r.video_id: r.id for r in store.read("episodes").collect()}
+
+    def of(video, seq, **columns):
+        return spark.createDataFrame([(ids[video], seq)], "id long, seq long").withColumns(columns)
+
+    version = store.pointer()["version"]
+    one = ch.job_patches(of("a", 1, distill_job_id=F.lit("j1")))
+    for more in (
+        ch.failed_patches(of("a", 2, error=F.lit("boom")), 500),
+        ch.bump_patches(of("a", 3)),
+        ch.reprocess_patches(of("a", 4)),
+        ch.bump_patches(of("a", 5)),
+        ch.reset_patches(of("b", 1)),
+        ch.reprocess_patches(of("b", 2)),  # b has no text by then
+    ):
+        one = one.unionByName(more)
+    passes.amend(store, one)
+    assert store.pointer()["version"] == version + 1
+    state = {r.video_id: r for r in store.read("episodes").collect()}
+    assert (state["a"].status, state["a"].distill_attempts, state["a"].distill_job_id) == ("fetched", 1, None)
+    assert (state["b"].status, state["b"].raw_char_count, state["b"].text_version) == ("discovered", None, None)
