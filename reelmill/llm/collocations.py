@@ -6,13 +6,14 @@ columns then sums every shorter prefix, so the frequencies of all phrases of one
 ``longest`` words, and the number of all words, come from one grouping and no n-gram of
 another order is ever made.
 
-Before that a window is cut where no frequent phrase can go on: words and pairs of
-neighbouring words are counted by a 64-bit hash, and a pair whose hash comes less than
-``least`` times is in no phrase of ``least`` occurrences. Hashes that come often enough
-are kept in a bit table, which lets through more than them, never less, so all counts
-from ``least`` up are exact. The table is the only thing sent to all tasks: two bytes a
-frequent hash, at most ``Mining.table_bytes``; a corpus that needs a larger one is mined
-with that size, exactly as well, with more windows to count.
+Before that a window is cut where no frequent phrase can go on: words, pairs of
+neighbouring words and then triples of frequent pairs are counted by hash, and one whose
+hash comes less than ``least`` times is in no phrase of ``least`` occurrences. Hashes that
+come often enough are kept in a bit table, which lets through more than them, never less,
+so all counts from ``least`` up are exact. Hashes travel sorted and packed, about three
+bytes each, to the share that owns them. The table is the only thing sent to all tasks:
+two bytes a frequent hash, at most ``Mining.table_bytes``; a corpus that needs a larger
+one is mined with that size, exactly as well, with more windows to count.
 
 A phrase's score is the least, over its cuts in two parts, of ``floor(1000 * f * n /
 (f(left) * f(right)))``, in decimals of 38 digits; ties go to the first cut. A phrase
@@ -26,6 +27,7 @@ table gives no rows. Only the language and text columns are read, so other colum
 have any name. Texts of any length are taken in whole; a batch holds one long text at most.
 """
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,8 +38,10 @@ from pyspark.sql import functions as F
 
 from reelmill.llm.common import documents, staged, texts
 
-#: Rows that a task hands over at once.
-ROWS = 20_000
+#: Rows that a task hands over at once; shares of the hashes per shuffle partition.
+ROWS, SHARES = 20_000, 4
+#: Bits of a hash. Collisions only let more windows through.
+HASH_BITS = 40
 #: Bytes that end a piece become full stops, a tab becomes a space, A-Z become a-z.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PIECES = bytes.maketrans(BREAKS + b"\t", b"." * len(BREAKS) + b" ")
@@ -107,30 +111,115 @@ def _batches(batches, most: int):
         yield held
 
 
-def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _with_next(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of phrases that go on by a word."""
     mixed = (first * np.uint64(0x9E3779B97F4A7C15)) ^ second
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     return mixed ^ (mixed >> np.uint64(32))
 
 
-def pair_counts(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
-    """hash, n: words and pairs of neighbouring words of each language, by hash."""
+def _known(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = (hashes >> np.uint64(64 - HASH_BITS)) & np.uint64(64 * len(table) - 1)
+    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+class _Chained:
+    """Where phrases of a batch go on: by ``table``, or everywhere within pieces."""
+
+    def __init__(self, held: _Numbered, table: np.ndarray | None):
+        self.x, hashes = held.words(), held.hashes()
+        often = np.ones(len(hashes), bool) if table is None else _known(table, hashes)
+        self.word_hashes = hashes
+        # the last of each is for -1, no word
+        self.lead = np.where(np.append(often, False)[self.x], self.x, -1)
+        self.pair = np.zeros(len(self.x), bool)
+        self.pair[:-1] = (self.lead[:-1] >= 0) & (self.lead[1:] >= 0)
+        if table is not None:
+            at = np.flatnonzero(self.pair)
+            self.pair[at] = _known(table, self.hashes(at, 2))
+        self.triple = np.zeros(len(self.x), bool)
+        self.triple[:-1] = self.pair[:-1] & self.pair[1:]
+
+    def hashes(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the phrases of ``size`` words at some places."""
+        mixed = self.word_hashes[self.lead[at]]
+        for i in range(1, size):
+            mixed = _with_next(mixed, self.word_hashes[self.lead[at + i]])
+        return mixed
+
+    def keep_triples(self, table: np.ndarray) -> None:
+        at = np.flatnonzero(self.triple)
+        self.triple[at] = _known(table, self.hashes(at, 3))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, the high bytes of all first, compressed."""
+    return zlib.compress(numbers.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+
+
+def frequent_hashes(docs: DataFrame, how: Mining = Mining(), table: np.ndarray | None = None) -> DataFrame:
+    """hash: of the words and pairs of each language with ``least`` occurrences; given the
+    table of these, of the triples. A share's hashes are added up in one task."""
+    shares = SHARES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = np.uint64(64 - HASH_BITS)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         for held in _batches(batches, how.batch_bytes):
-            x, hashes = held.words(), held.hashes()
-            counts = np.bincount(x[x >= 0], minlength=len(hashes))
-            both = (x[:-1] >= 0) & (x[1:] >= 0)
-            pairs, many = np.unique(x[:-1][both] * len(hashes) + x[1:][both], return_counts=True)
-            size = max(len(hashes), 1)
-            of_pairs = _pair_hashes(hashes[pairs // size], hashes[pairs % size])
-            every = np.concatenate([hashes, of_pairs]).view(np.int64)
-            n = np.concatenate([counts, many])
-            for k in range(0, len(n), ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(every[k : k + ROWS]), pa.array(n[k : k + ROWS])], ["hash", "n"])
-
-    return _named(docs).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+            chained = _Chained(held, sent.value)
+            if sent.value is None:
+                words, pairs = chained.x[chained.x >= 0], np.flatnonzero(chained.pair)
+                found = np.concatenate([chained.word_hashes[words], chained.hashes(pairs, 2)])
+            else:
+                found = chained.hashes(np.flatnonzero(chained.triple), 3)
+            found, counts = np.unique(found >> top, return_counts=True)
+            share = (found % np.uint64(shares)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            edges = np.searchsorted(share[order], np.arange(shares + 1))
+            rows = {"share": np.flatnonzero(np.diff(edges)), "hashes": [], "counts": []}
+            for one in rows["share"].tolist():
+                mine = order[edges[one] : edges[one + 1]]
+                rows["hashes"].append(_packed(np.diff(found[mine], prepend=np.uint64(0))))
+                rows["counts"].append(_packed(counts[mine]))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "share": pa.array(rows["share"], pa.int64()),
+                    "hashes": pa.array(rows["hashes"], pa.binary()),
+                    "counts": pa.array(rows["counts"], pa.binary()),
+                }
+            )
+
+    def add(share, parts):
+        hashes = counts = np.zeros(0, np.uint64)
+        for start in range(0, len(parts), 64):
+            some = parts[start : start + 64]
+            hashes = np.concatenate([hashes, *(np.cumsum(_unpacked(h)) for h, _ in some)])
+            counts = np.concatenate([counts, *(_unpacked(c) for _, c in some)])
+            hashes, place = np.unique(hashes, return_inverse=True)
+            summed = np.zeros(len(hashes), np.uint64)
+            np.add.at(summed, place, counts)
+            counts = summed
+        often = hashes[counts >= how.least].astype(np.int64)
+        for k in range(0, len(often), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(often[k : k + ROWS])], ["hash"])
+
+    def sums(batches):
+        last, parts = None, []
+        for batch in batches:
+            for share, hashes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if share != last:
+                    yield from add(last, parts)
+                    last, parts = share, []
+                parts.append((hashes, counts))
+        yield from add(last, parts)
+
+    packed = _named(docs).mapInArrow(run, "share long, hashes binary, counts binary")
+    return packed.repartition("share").sortWithinPartitions("share").mapInArrow(sums, "hash long")
 
 
 def _bits(frequent: DataFrame, how: Mining) -> np.ndarray:
@@ -150,11 +239,6 @@ def _bits(frequent: DataFrame, how: Mining) -> np.ndarray:
     return table.view(np.uint64)
 
 
-def _known(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(64 * len(table) - 1)
-    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _columns(how: Mining) -> list[str]:
     return [f"w{i}" for i in range(1, how.longest + 1)]
 
@@ -163,7 +247,7 @@ def windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataF
     """lang, w1, .., n: the distinct longest windows of every batch and how often they come.
 
     A window has one column a word, null from where the piece ends or where ``table``
-    doesn't know the next pair (from the first on, if it doesn't know the word).
+    doesn't know the next pair or triple (from the first on, if it doesn't know the word).
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(table)
@@ -191,15 +275,10 @@ def _counted(held: _Numbered, known: np.ndarray, longest: int) -> tuple[np.ndarr
     Windows grow column by column: those that go on are told apart by the window so far
     and the next word, and most stop early.
     """
-    x, hashes = held.words(), held.hashes()
-    n_langs, n_words = len(held.langs), len(hashes)
-    often = np.append(_known(known, hashes), False)  # the last is for -1, no word
-    hashes = np.append(hashes, np.uint64(0))
-    lead = np.where(often[x], x, -1)
-    goes_on = np.zeros(len(x), bool)
-    goes_on[:-1] = (lead[:-1] >= 0) & (lead[1:] >= 0)
-    at = np.flatnonzero(goes_on)
-    goes_on[at] = _known(known, _pair_hashes(hashes[lead[at]], hashes[lead[at + 1]]))
+    chained = _Chained(held, known)
+    chained.keep_triples(known)
+    x, lead = chained.x, chained.lead
+    n_langs, n_words = len(held.langs), len(chained.word_hashes)
     # windows of no word by language, then those of one word
     of_word = np.array([of for of, _ in held.numbers], np.int64)
     langs = np.append(np.arange(n_langs), of_word)
@@ -209,7 +288,8 @@ def _counted(held: _Numbered, known: np.ndarray, longest: int) -> tuple[np.ndarr
     window = np.where(lead[word_at] >= 0, n_langs + lead[word_at], of_word[x[word_at]])
     active = np.flatnonzero(lead[word_at] >= 0)
     for column in range(1, longest):
-        active = active[goes_on[word_at[active] + column - 1]]
+        ends = word_at[active] + column
+        active = active[chained.pair[ends - 1] & (chained.triple[ends - 2] if column > 1 else True)]
         following = lead[word_at[active] + column]
         grown, which = np.unique(window[active] * n_words + following, return_inverse=True)
         shorter = grown // max(n_words, 1)
@@ -286,8 +366,11 @@ def contained(counts: DataFrame, how: Mining = Mining()) -> DataFrame:
 def collocations(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
     """lang, size, phrase, a, l, r, n, score: phrases of ``least`` occurrences that no longer
     phrase stands for. The windows are counted once and written."""
-    frequent = staged(pair_counts(docs, how).filter(F.col("n") >= how.least).select("hash"), "frequent_pairs")
-    counts = staged(frequencies(windows(docs, _bits(frequent, how), how), how), "frequencies")
+    pairs = staged(frequent_hashes(docs, how), "frequent_pairs")
+    table = _bits(pairs, how)
+    if how.longest > 2:
+        table = _bits(pairs.union(staged(frequent_hashes(docs, how, table), "frequent_triples")), how)
+    counts = staged(frequencies(windows(docs, table, how), how), "frequencies")
     stands_for = scored(counts, how).join(contained(counts, how), ["lang", "phrase"], "left")
     return stands_for.filter(
         F.col("longer_f").isNull() | (100 * F.col("longer_f") < how.inside * F.col("a"))

@@ -59,8 +59,9 @@ def rows():
         c.Mining(least=2, longest=3, inside=60),
         c.Mining(least=3, table_bytes=8),  # nearly every hash is in so small a table
         c.Mining(least=1, batch_bytes=1),
+        c.Mining(least=4, longest=2),
     ],
-    ids=["usual", "inside", "full table", "one text a batch"],
+    ids=["usual", "inside", "full table", "one text a batch", "pairs"],
 )
 def test_against_brute_force(spark, rows, how):
     docs = spark.createDataFrame([(None, *r, "a", "b") for r in rows], "doc_id long, lang string, text string, w1 string, n string")
@@ -96,8 +97,22 @@ def test_only_longest_windows_are_shuffled(spark, rows):
     """No n-gram of another order is exploded: the grouping is a rollup over the columns."""
     docs = spark.createDataFrame(rows, "lang string, text string")
     how = c.Mining(least=3)
-    frequent = c.pair_counts(docs, how).filter(F.col("n") >= how.least)
-    made = c.windows(docs, c._bits(frequent, how), how)
+    made = c.windows(docs, c._bits(c.frequent_hashes(docs, how), how), how)
     assert made.columns == ["lang", "w1", "w2", "w3", "w4", "w5", "n"]
     assert made.agg(F.sum("n")).first()[0] == sum(len(re.findall(r"[^ \t-\r.,;:!?]+", t or "")) for _, t in rows)
     assert "Expand" in c.frequencies(made, how)._jdf.queryExecution().toString()
+
+
+def test_hashes_are_those_of_frequent_words_pairs_and_triples(spark, rows):
+    """Packed, dealt and added up again: as many as there are frequent phrases."""
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    f = Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\n-\r]", (text or "").lower()):
+            words = piece.split()
+            f.update((lang is None and "und" or lang, *words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    how = c.Mining(least=5)
+    pairs = c.frequent_hashes(docs, how)
+    often = Counter(len(g) - 1 for g, n in f.items() if n >= 5)
+    assert pairs.count() == pairs.distinct().count() == often[1] + often[2]
+    assert c.frequent_hashes(docs, how, c._bits(pairs, how)).count() == often[3]
