@@ -27,6 +27,14 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, with lines added until no column of ``rows`` has it (in any case)."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_fields(rows: DataFrame, **kinds: str) -> T.StructType:
     """The schema of ``rows`` with further fields of the simple types given."""
     return T.StructType([*rows.schema.fields, *T.StructType.fromDDL(", ".join(map(" ".join, kinds.items())))])

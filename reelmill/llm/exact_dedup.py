@@ -9,8 +9,10 @@ moved as a whole, and a chunk that many documents share is moved once per task.
 
 Defined cases: a null text is empty; empty texts have the empty recipe and are
 equal; rows with a null id count in their group but never name it while another id
-is there; rows that repeat one id share its fate; an empty table gives no rows.
-Only the id and text columns are read, so other columns may have any name.
+is there; of equal rows that repeat the largest id (or have no id at all) exactly one
+stays; rows that repeat an id with another text are judged by that text; an empty table
+gives no rows. Texts of any length are chunked whole. Only the id and text columns are
+read (and a given row key), so other columns may have any name.
 """
 
 import hashlib
@@ -105,9 +107,12 @@ def ambiguous(found: DataFrame) -> DataFrame:
     return different.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
 
 
-def recipes(docs: DataFrame, how: Chunking = Chunking(), unclear: frozenset = frozenset()) -> DataFrame:
-    """doc_id, text_sha256, recipe: chunk names in order. A name in ``unclear`` is
-    followed by the chunk's length and bytes."""
+def recipes(
+    docs: DataFrame, how: Chunking = Chunking(), unclear: frozenset = frozenset(), row: str | None = None
+) -> DataFrame:
+    """doc_id, row, text_sha256, recipe: chunk names in order. A name in ``unclear`` is
+    followed by the chunk's length and bytes. ``row`` is the column of that name, a long,
+    or null."""
 
     def run(batches):
         for batch, data in texts(batches):
@@ -122,38 +127,46 @@ def recipes(docs: DataFrame, how: Chunking = Chunking(), unclear: frozenset = fr
                         name += [len(part).to_bytes(8, "little"), part]
                 names.append(b"".join(name))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(whole), pa.array(names, pa.binary())],
-                ["doc_id", "text_sha256", "recipe"],
+                [batch.column(0), batch.column(2), pa.array(whole), pa.array(names, pa.binary())],
+                ["doc_id", "row", "text_sha256", "recipe"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, text_sha256 string, recipe binary"
+    number = F.col(row) if row else F.lit(None).cast("long")
+    return docs.select(F.col("doc_id").cast("long"), "text", number.alias("row")).mapInArrow(
+        run, "doc_id long, row long, text_sha256 string, recipe binary"
     )
 
 
-def exact_dedup(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256, n_chunks: one row per document.
+def exact_dedup(docs: DataFrame, how: Chunking = Chunking(), row: str | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256, n_chunks, row: one row per document.
+
+    ``row`` names a column of ``docs`` that tells its rows apart, if there is one; it comes
+    back as ``row``, else numbers given here do.
 
     The only thing that comes to the driver is the list of ambiguous digests, which
     is empty unless SHA-256 (cut to ``digest_bytes``) collides.
     """
     unclear = frozenset(bytes(r.digest) for r in ambiguous(chunks(docs, how)).toLocalIterator())
-    named = staged(recipes(docs, how, unclear), "recipes")
+    named = recipes(docs, how, unclear, row)
+    if row is None:  # numbers are given once, with the staged rows
+        named = named.withColumn("row", F.monotonically_increasing_id())
+    named = staged(named, "recipes")
     groups = named.groupBy("recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+        F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size")
     )
     return named.join(groups, "recipe").select(
         "doc_id",
-        "keep_id",
+        F.col("keep.doc_id").alias("keep_id"),
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        (F.col("row") == F.col("keep.row")).alias("kept"),
         "text_sha256",
         F.floor(F.length("recipe") / how.digest_bytes).alias("n_chunks") if not unclear else F.lit(None).cast("long").alias("n_chunks"),
+        "row",
     )
 
 
 def op1_chunk_recipes(spark, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir)).drop("n_chunks")
+    return exact_dedup(documents(spark, sf_dir)).drop("n_chunks", "row")
 
 
 SQL = """
@@ -163,7 +176,7 @@ WITH norm AS (
   FROM documents
 )
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, text_sha256
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
 FROM norm WINDOW g AS (PARTITION BY text_sha256)
 """
 

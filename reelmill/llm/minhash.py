@@ -516,7 +516,11 @@ def joining_links(flagged: DataFrame, labels: DataFrame, docs: DataFrame, nodes:
     one that is similar enough and joins two components is compared again as strings.
     """
     size, percent = how.size, how.percent
-    clusters = components(flagged.select(F.col("other").alias("a"), F.col("id").alias("b")).distinct())
+    # a member hangs on its least group, and groups that share members on one another
+    of = flagged.groupBy("id").agg(F.min("other").alias("low"), F.collect_set("other").alias("groups"))
+    of = staged(of, "groups")
+    between = of.select(F.col("low").alias("a"), F.explode("groups").alias("b")).filter("a <> b").distinct()
+    clusters = components(of.select(F.col("low").alias("a"), F.col("id").alias("b")).union(between))
     sized = (
         clusters.toDF("id", "cluster")
         .join(flagged.select("id").distinct(), "id", "left_semi")

@@ -16,7 +16,7 @@ table gives no rows. Only the id and the text are read.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.llm.common import documents, staged
+from reelmill.llm.common import documents, free_name, staged
 
 #: The kinds that are always reported, in the order of reports (fixed values).
 ASSIGN = (
@@ -157,10 +157,12 @@ def digest(spans: Column) -> Column:
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the spans that ``found`` (a scan of them) has cut out of their texts,
-    each run of overlapping spans replaced by ``[SECRET]``. Other columns stay."""
+    each run of overlapping spans replaced by ``[SECRET]``. Other columns stay, whatever
+    their names."""
+    of_id, of_mark, spans, made = (free_name(docs, n) for n in ("secret_id", "secret_mark", "secret_spans", "cut"))
     text, done = F.col("text"), "struct<at: bigint, out: string>"
     cut = F.aggregate(
-        F.col("secret_spans"),
+        F.col(spans),
         F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
@@ -178,14 +180,14 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
     some = (
         found.filter(F.size("spans") > 0)
-        .select(F.col("doc_id").alias("secret_id"), F.col("mark").alias("secret_mark"), F.col("spans").alias("secret_spans"))
-        .dropDuplicates(["secret_id", "secret_mark"])
+        .select(F.col("doc_id").alias(of_id), F.col("mark").alias(of_mark), F.col("spans").alias(spans))
+        .dropDuplicates([of_id, of_mark])
     )
-    rest = F.concat(F.col("cut.out"), text.substr((F.col("cut.at") + 1).cast("int"), F.length("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("secret_id")) & (F.xxhash64("text") == F.col("secret_mark"))
-    joined = docs.join(some, same, "left").withColumn("cut", F.when(F.col("secret_spans").isNotNull(), cut))
+    rest = F.concat(F.col(f"{made}.out"), text.substr((F.col(f"{made}.at") + 1).cast("int"), F.length("text")))
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_mark))
+    joined = docs.join(some, same, "left").withColumn(made, F.when(F.col(spans).isNotNull(), cut))
     return joined.select(
-        *[F.when(F.col("cut").isNull(), text).otherwise(rest).alias(c) if c == "text" else F.col(c) for c in docs.columns]
+        *[F.when(F.col(made).isNull(), text).otherwise(rest).alias(c) if c == "text" else F.col(c) for c in docs.columns]
     )
 
 

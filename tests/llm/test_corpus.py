@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from compare import compare, open_tables
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -118,6 +119,18 @@ def test_near_copies_against_all_pairs(spark):
     assert found == {i: root(i) for i in range(n)}
 
 
+def test_overlaps_of_many_sets():
+    rng = np.random.default_rng(8)
+    common = rng.integers(0, 2**63, 30).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(common, 12), rng.integers(0, 400, 9).astype(np.uint64)])) for _ in range(70)]
+    sets.append(np.zeros(0, np.uint64))
+    want = [[len(np.intersect1d(a, b)) if i != j else 0 for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    for few, columns in ((16, 8192), (2, 7), (80, 8192)):
+        got = minhash.overlaps(sets, few, columns)
+        np.fill_diagonal(got, 0)
+        assert got.tolist() == want
+
+
 def test_near_copies_through_a_hub_and_along_a_chain(spark):
     rng = np.random.default_rng(5)
     original = [f"o{i}" for i in range(400)]
@@ -433,9 +446,52 @@ def test_pipeline(spark, docs):
     assert set(r.doc_id for r in packed.select("doc_id").collect()) == set(text_of(last))
 
 
-def test_pipeline_on_odd_rows(spark, odd):
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, odd, SF).count() > 0
+def write_tables(path, docs, spark):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{path}/labels.parquet")
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    """Repeated ids, repeated rows and rows without ids: one of each text stays."""
+    one = " ".join(f"alpha{i} common{i % 7}" for i in range(80))
+    two = " ".join(f"beta{i} other{i % 5}" for i in range(80))
+    three = " ".join(f"gamma{i} third{i % 9}" for i in range(80))
+    four = " ".join(f"delta{i} fourth{i % 3}" for i in range(80))
+    near = four.replace("delta40 ", "changed ")
+    rows = [(5, one), (5, two), (9, one), (7, three), (7, three), (7, three), (None, four), (None, four), (None, near)]
+    clash = [(i, t, "cut", "spans", "id", "row", "dropped", "kept") for i, t in rows]
+    names = "doc_id long, text string, cut string, secret_spans string, dropped_id string, row string, Dropped string, kept string"
+    made = spark.createDataFrame(clash, names)
+    exact = corpus_pipeline.drop_copies(spark, made, SF)
+    assert exact.columns == made.columns
+    left = [(r.doc_id, r.text) for r in exact.collect()]
+    assert sorted(left, key=str) == sorted([(5, two), (9, one), (7, three), (None, four), (None, near)], key=str)
+    last = corpus_pipeline.drop_near_copies(spark, exact, SF)
+    assert last.columns == made.columns
+    got = [(r.doc_id, r.text) for r in last.collect()]
+    assert len(got) == 4 and {(5, two), (9, one), (7, three)} <= set(got)
+    assert {tuple(r)[2:] for r in last.collect()} == {("cut", "spans", "id", "row", "dropped", "kept")}
+    secret = made.limit(1).withColumn("text", F.lit("a password = abcdefghijklmnop b"))
+    hidden = corpus_pipeline.redact_secrets(spark, secret, SF).first()
+    assert "abcdefghijklmnop" not in hidden.text and tuple(hidden)[2:4] == ("cut", "spans")
+    write_tables(tmp_path / "rows", made, spark)
+    packed = corpus_pipeline.run(spark, str(tmp_path / "rows")).collect()
+    assert sorted((r.doc_id for r in packed), key=str) == [5, 7, 9, None]
+
+
+def test_pipeline_run_against_its_stages(spark, tmp_path, odd, none):
+    """The whole run: every kept text packed once, on odd rows and on none."""
+    write_tables(tmp_path / "odd", odd, spark)
+    packed = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    texts = [(r.doc_id, r.text or "") for r in odd.collect()]
+    assert {r.doc_id for r in packed} <= {i for i, _ in texts}
+    # one of base, its copy in capitals, its near copy and its repeated row; one empty text
+    assert len({r.doc_id for r in packed} & {0, 1, 2, 10}) == 1
+    assert len({r.doc_id for r in packed} & {3, 4}) == 1 and len({r.doc_id for r in packed} & {6, 7}) == 1
+    assert sum(r.doc_id == 9 for r in packed) == 2
+    assert all(r.offset + r.length <= 2048 for r in packed)
+    write_tables(tmp_path / "none", none, spark)
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_no_local_checkpoint():
