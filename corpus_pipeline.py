@@ -1,7 +1,11 @@
 """From raw documents to packed training sequences, each stage written and read again.
 
 Stages take the documents that their predecessor kept, whatever further columns the table
-has. A document without an id is judged by its text but never dropped as a copy.
+has. Rows are judged each by itself: a stage that drops copies numbers the rows first, so
+rows that share an id, repeat one another or have no id are told apart. Of rows with equal
+texts exactly one stays (of the largest id, if there is one), and of near copies one. A null
+text is empty: never toxic, without secrets, a copy of other empty texts, packed as the end
+token alone. Texts of any length are taken in whole; an empty table gives no rows.
 """
 
 import math
@@ -10,13 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.llm import exact_dedup, minhash, packing, secrets, toxicity
-from reelmill.llm.common import documents, staged
+from reelmill.llm.common import documents, free_name, staged
 
 
-def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """``docs`` without the ids that were not kept; only those ids are joined."""
-    dropped = judged.filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(staged(dropped, "dropped"), F.col("doc_id") == F.col("dropped_id"), "left_anti")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its own for each row, written: it reads alike each time."""
+    row = free_name(docs, "row")
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def _without(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose numbers are dropped; only those are joined."""
+    gone = free_name(docs, "dropped")
+    numbers = staged(dropped.toDF(gone), "dropped")
+    return docs.join(numbers, F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,11 +37,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dedup.exact_dedup(docs))
+    docs, row = _numbered(docs)
+    return _without(docs, row, exact_dedup.exact_dedup(docs, row=row).filter("NOT kept").select("row"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, minhash.near_duplicates(docs))
+    docs, row = _numbered(docs)
+    judged = minhash.near_duplicates(docs.select(F.col(row).alias("doc_id"), "text"))
+    return _without(docs, row, judged.filter("NOT kept").select("doc_id"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
