@@ -78,7 +78,7 @@ def newest_answer(responses: DataFrame, queue: DataFrame) -> DataFrame:
     mine = with_digest(responses.join(queue.select("video_id"), "video_id", "left_semi"))
     last = F.max(F.struct("received_at", "digest")).alias("last")
     keys = mine.groupBy("video_id").agg(last).select("video_id", "last.*")
-    return mine.join(keys, ANSWER, "left_semi").drop("digest")
+    return mine.join(keys, ANSWER, "left_semi")
 
 
 def classify(

@@ -133,11 +133,16 @@ def _transitions(
     return store.stage(_with_bucket(numbered, queue), "transitions")
 
 
+#: What tells the documents of one key and moment apart.
+_DIGEST = {"waiting_answers": ("http_status", "body"), "waiting_jobs": ("status", "error", "result")}
+
+
 def _typed(rows: DataFrame, table: str) -> DataFrame:
     """Landed rows in the columns of ``table``; a missing time is before all others."""
-    fields = schemas.TABLES[table].fields
+    fields = [f for f in schemas.TABLES[table].fields if f.name != "digest"]
     typed = rows.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in fields])
-    return typed.withColumn("received_at", F.coalesce("received_at", F.timestamp_seconds(F.lit(0))))
+    timed = typed.withColumn("received_at", F.coalesce("received_at", F.timestamp_seconds(F.lit(0))))
+    return timed.withColumn("digest", F.xxhash64(*_DIGEST[table]))
 
 
 def _with_waiting(
@@ -153,21 +158,16 @@ def _with_waiting(
     return buckets, typed, store.read(table, buckets)
 
 
-def _still_waiting(
-    store: StateStore, table: str, buckets: list[int], rows: DataFrame, early: DataFrame
+def _now_waiting(
+    store: StateStore, table: str, arrived: DataFrame, waiting: DataFrame, later: DataFrame
 ) -> dict[str, Write]:
-    """``rows`` whose key is in ``early`` (staged) wait on; nothing if none does or did."""
-    before = store.pointer()["tables"].get(table, {})
-    if early.isEmpty() and not any(str(b) in before for b in buckets):
+    """Arrived rows whose key is in ``later`` (staged) are added to those that wait."""
+    if later.isEmpty():
         return {}
-    return {table: Write(rows.join(early.drop("bucket"), early.columns[0], "left_semi"), buckets)}
-
-
-def _used_write(store: StateStore, keys: DataFrame) -> Write:
-    """``keys`` (staged, with bucket) beside those used before in their buckets."""
-    touched = store.touched(keys)
-    used = store.read("used_answers", touched)
-    return Write(used.unionByName(keys.select(*used.columns)), touched)
+    key = later.columns[0]
+    own = [key, "received_at", "digest"]
+    added = arrived.join(later, key, "left_semi").join(waiting.select(*own), own, "left_anti")
+    return {table: Write(added.dropDuplicates(own))}
 
 
 def fetch(
@@ -192,8 +192,7 @@ def fetch(
         buckets, arrived, waiting = _with_waiting(work, "waiting_answers", "video_id", responses)
         answers = arrived.unionByName(waiting)
         fresh = (
-            transcripts.with_digest(answers)
-            .select(*transcripts.ANSWER, "bucket")
+            answers.select(*transcripts.ANSWER, "bucket")
             .distinct()
             .join(work.read("used_answers", buckets).drop("bucket"), transcripts.ANSWER, "left_anti")
         )
@@ -204,9 +203,7 @@ def fetch(
         queue = queues.head(able, limit).select("id", "video_id", "attempts", "bucket")
         queue = work.stage(queue, "queue")
         keys = work.stage(fresh.join(queue.select("video_id"), "video_id", "left_semi"), "answers")
-        mine = transcripts.with_digest(answers.drop("bucket")).join(
-            keys.drop("bucket"), transcripts.ANSWER, "left_semi"
-        )
+        mine = answers.drop("bucket").join(keys.drop("bucket"), transcripts.ANSWER, "left_semi")
         changes = _transitions(work, queue, mine.drop("digest"), settings)
         counts = work.stage(transcripts.pass_counts(changes), "counts")
         later = fresh.select("video_id").join(state.select("video_id"), "video_id", "left_anti")
@@ -214,13 +211,19 @@ def fetch(
             left = able.select("video_id").join(queue.select("video_id"), "video_id", "left_anti")
             later = later.unionByName(left)
         later = work.stage(later.distinct(), "later")
+        # what waited for an episode that isn't to be fetched by now waits no more
+        over = (
+            waiting.select(*transcripts.ANSWER, "bucket")
+            .join(keys.drop("bucket"), transcripts.ANSWER, "left_anti")
+            .join(later, "video_id", "left_anti")
+        )
         writes = {
             "episodes": _episode_write(
                 work, changes, lambda s, c: transcripts.apply_transitions(s, c, now)
             ),
             "texts": Write(_new_texts(changes)),
-            "used_answers": _used_write(work, keys),
-            **_still_waiting(work, "waiting_answers", buckets, answers, later),
+            "used_answers": Write(keys.unionByName(over)),
+            **_now_waiting(work, "waiting_answers", arrived, waiting, later),
         }
         if record:
             writes["ingest_runs"] = _stage_run(work, counts, run_date, now, "transcripts_fetched")
@@ -379,7 +382,7 @@ def collect(
             .join(work.read("ended_jobs", buckets), "job_id", "left_anti")
         )
         early = work.stage(early, "early")
-        writes |= _still_waiting(work, "waiting_jobs", buckets, ends, early)
+        writes |= _now_waiting(work, "waiting_jobs", distill.ends(arrived), waiting, early)
         counts = work.stage(distill.collect_counts(results), "counts")
         good = results.filter(F.col("kind") == "ok")
         submitted = work.stage(good.select("id", "job_id", "bucket"), "good")
@@ -414,14 +417,32 @@ def _deletion(store: Unit, gone: DataFrame) -> dict[str, Write]:
     """What goes with deleted episodes (staged id, video_id, bucket).
 
     Texts and results are wide: their ids are marked, reads leave them out, and
-    :func:`fold_deleted` removes them. Keys of used answers are narrow and go at once.
+    :func:`fold_deleted` removes them. Keys of used answers are narrow and go at once,
+    after the waiting answers that they hide.
     """
     lost = store.touched(gone)
     used = store.read("used_answers", lost)
-    return {
+    waiting = store.pointer()["tables"].get("waiting_answers", {})
+    hidden = [b for b in lost if str(b) in waiting]
+    writes = {
         "deleted": Write(gone.select("id", "bucket")),
         "used_answers": Write(used.join(gone.select("video_id"), "video_id", "left_anti"), lost),
     }
+    return writes | ({"waiting_answers": Write(store.read("waiting_answers", hidden), hidden)} if hidden else {})
+
+
+def fold(store: StateStore, most: int = 32) -> dict[str, list[int]]:
+    """Rewrite the buckets that lie in more than ``most`` folders, in one commit; what reads
+    leave out goes with that. Returns the rewritten buckets by table."""
+    with store.unit() as work:
+        many = {
+            table: sorted(int(b) for b, folders in dirs.items() if len(folders) > most)
+            for table, dirs in work.pointer()["tables"].items()
+        }
+        many = {table: buckets for table, buckets in many.items() if buckets}
+        if many:
+            work.commit({table: Write(work.read(table, buckets), buckets) for table, buckets in many.items()})
+        return many
 
 
 def fold_deleted(store: StateStore) -> list[int]:
@@ -463,7 +484,7 @@ def reset_and_refetch(
     typed = _typed(responses, "waiting_answers")
     since = typed.filter(F.col("received_at") >= F.lit(now.isoformat()).cast("timestamp"))
     newest = transcripts.newest_answer(since, chosen)
-    keys = transcripts.with_digest(newest).select(*transcripts.ANSWER).distinct()
+    keys = newest.select(*transcripts.ANSWER).distinct()
     keys = store.stage(keys.withColumn("bucket", store.bucket_of(F.col("video_id"))), "answers")
     changes = _transitions(store, chosen, newest, settings)
     state = store.stage(
@@ -471,11 +492,15 @@ def reset_and_refetch(
     )
     failed = queues.still_failed(state, chosen, delete_after).select(*target)
     gone = store.stage(failed.unionByName(drop), "gone")
-    writes = _deletion(store, gone)
-    both = sorted({*writes["used_answers"].buckets, *store.touched(keys)})
-    used = store.read("used_answers", both)
-    used = used.unionByName(keys.select(*used.columns)).distinct()
-    writes["used_answers"] = Write(used.join(gone, "video_id", "left_anti").select(*used.columns), both)
+    if gone.isEmpty():
+        writes = {"used_answers": Write(keys)}
+    else:
+        writes = _deletion(store, gone)
+        both = sorted({*writes["used_answers"].buckets, *store.touched(keys)})
+        used = store.read("used_answers", both)
+        used = used.unionByName(keys.select(*used.columns)).distinct()
+        used = used.join(gone, "video_id", "left_anti").select(*used.columns)
+        writes["used_answers"] = Write(used, both)
     writes["texts"] = Write(_new_texts(changes).join(gone.select("id"), "id", "left_anti"))
     writes["episodes"] = Write(ch.delete_episodes(state, gone), touched)
     store.commit(writes, ids=_given_ids(store))

@@ -90,16 +90,19 @@ INGEST_RUNS = _fields(
     ("updated_at", _T, True),
 )
 
-#: Landed input that came before its episode or submission; it waits for them.
+#: Landed input that came before its episode or submission; it waits for them. The digest
+#: tells documents of one key and time apart, so that keys are compared without bodies.
 WAITING_ANSWERS = _fields(
-    ("video_id", _S, False), ("http_status", _I, True), ("received_at", _T, True), ("body", _S, True)
-)
+    ("video_id", _S, False), ("http_status", _I, True), ("received_at", _T, True), ("body", _S, True),
+    ("digest", _L, True),
+)
 WAITING_JOBS = _fields(
     ("job_id", _S, False),
     ("status", _S, True),
     ("error", _S, True),
     ("result", _S, True),
     ("received_at", _T, True),
+    ("digest", _L, True),
 )
 
 #: Keys of the input that passes have used: it counts once, however often it is read.
@@ -107,10 +110,17 @@ USED_ANSWERS = _fields(("video_id", _S, False), ("received_at", _T, False), ("di
 USED_RECEIPTS = USED_ANSWERS
 ENDED_JOBS = _fields(("job_id", _S, False))
 
-#: Episodes whose texts and results are deleted but still in the files, and the column
-#: of each such table that holds the episode.
+#: Episodes whose texts and results are deleted but still in the files.
 DELETED = _fields(("id", _L, False))
-DELETED_BY = {"texts": "id", "distillations": "episode_id"}
+
+#: Rows of a table that reads leave out: those whose columns are in another table. So what
+#: is deleted or done with costs its key; the rows go when their buckets are folded.
+HIDDEN_BY = {
+    "texts": ("deleted", {"id": "id"}),
+    "distillations": ("deleted", {"episode_id": "id"}),
+    "waiting_answers": ("used_answers", {c: c for c in ("video_id", "received_at", "digest")}),
+    "waiting_jobs": ("ended_jobs", {"job_id": "job_id"}),
+}
 
 TABLES = {
     "episodes": EPISODES,

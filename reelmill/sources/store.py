@@ -107,16 +107,17 @@ class StateStore:
         dirs = self.pointer()["tables"].get(table, {})
         wanted = dirs if buckets is None else {str(b): dirs.get(str(b), []) for b in buckets}
         rows = self._folders(table, [(b, v) for b, vs in wanted.items() for v in vs])
-        return self._undeleted(table, rows, buckets)
-
-    def _undeleted(self, table: str, rows: DataFrame, buckets: list[int] | None) -> DataFrame:
-        """``rows`` without those of deleted episodes that are still in the files."""
-        key = schemas.DELETED_BY.get(table)
-        marked = set(self.pointer()["tables"].get("deleted", {}))
-        if key and marked if buckets is None else key and marked & {str(b) for b in buckets}:
-            gone = self.read("deleted", buckets).select(F.col("id").alias(key))
-            rows = rows.join(gone, key, "left_anti").select(*rows.columns)
-        return rows
+        return self._shown(table, rows, buckets)
+
+    def _shown(self, table: str, rows: DataFrame, buckets: list[int] | None) -> DataFrame:
+        """``rows`` without those that another table hides (see schemas.HIDDEN_BY)."""
+        marks, keys = schemas.HIDDEN_BY.get(table, ("", {}))
+        marked = self.pointer()["tables"].get(marks, {})
+        here = sorted(int(b) for b in marked if buckets is None or int(b) in buckets)
+        if not here:
+            return rows
+        gone = self.read(marks, here).select(*[F.col(mark).alias(c) for c, mark in keys.items()])
+        return rows.join(gone, list(keys), "left_anti").select(*rows.columns)
 
     def read_versions(self, table: str, wanted: set[tuple[int, int]]) -> DataFrame:
         """The rows that the commits of ``wanted`` (bucket, version) pairs added to a table.

@@ -673,3 +673,36 @@ def test_amended_store(store, tmp_path, spark):
     state = {r.video_id: r for r in store.read("episodes").collect()}
     assert (state["a"].status, state["a"].distill_attempts, state["a"].distill_job_id) == ("fetched", 1, None)
     assert (state["b"].status, state["b"].raw_char_count, state["b"].text_version) == ("discovered", None, None)
+
+
+def test_used_keys_are_only_added(store, tmp_path, spark):
+    """What a batch writes beside the state is its own keys, whatever came before."""
+    videos = [f"v{i}" for i in range(12)]
+    seed(store, tmp_path, *videos)
+    for i, video in enumerate(videos[:6]):
+        land(tmp_path / f"b{i}", "1.json", answer(video, 404, {}, i), answer(f"early{i}", 404, {}, i))
+        passes.fetch(store, landed.read_responses(spark, str(tmp_path / f"b{i}")), NOW, DAY, SETTINGS)
+        version = store.pointer()["version"]
+        for table, wanted in (("used_answers", [video]), ("waiting_answers", [f"early{i}"])):
+            dirs = store.pointer()["tables"][table]
+            new = [(b, f) for b, folders in dirs.items() for f in folders if f.startswith(f"v={version:08d}")]
+            assert [r.video_id for r in store._folders(table, new).collect()] == wanted
+    assert store.read("used_answers").count() == 6 == store.read("waiting_answers").count()
+    before = rows(store.read("used_answers"), "video_id"), rows(store.read("waiting_answers"), "video_id")
+    folded = passes.fold(store, 1)
+    assert "used_answers" in folded and all(
+        len(store.pointer()["tables"][t][str(b)]) == 1 for t, buckets in folded.items() for b in buckets
+    )
+    assert (rows(store.read("used_answers"), "video_id"), rows(store.read("waiting_answers"), "video_id")) == before
+    assert passes.fold(store, 1) == {}
+
+
+def test_answer_of_an_episode_that_needs_none_waits_no_more(store, tmp_path, spark):
+    land(tmp_path / "early", "1.json", answer("a", 200, captions("one")), answer("a", 200, captions("two"), 1))
+    passes.fetch(store, landed.read_responses(spark, str(tmp_path / "early")), NOW, DAY, SETTINGS)
+    seed(store, tmp_path, "a")
+    skipped = store.read("episodes").withColumn("status", F.lit("skipped"))
+    store.commit({"episodes": Write(skipped, store.touched(skipped))})
+    assert store.read("waiting_answers").count() == 2
+    passes.fetch(store, None, NOW, DAY, SETTINGS)
+    assert store.read("waiting_answers").count() == 0 and run_row(store).transcripts_fetched == 0
