@@ -1,12 +1,13 @@
 """Lists, lookups and lifetime counts."""
 
-from datetime import date
+from datetime import date, datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.functions.times import in_date_range
+from reelmill.functions.times import in_date_range, moment
+from reelmill.operators.discovery import number_bulk
 from reelmill.operators.queues import newest_first
 from reelmill.schemas import RUN_COUNTERS
 
@@ -158,6 +159,17 @@ def _result_sizes(distillations: DataFrame) -> DataFrame:
     )
 
 
+def _wanted(
+    episodes: DataFrame, status: str | None, from_date: date | None, to_date: date | None
+) -> DataFrame:
+    wanted = episodes.filter(in_date_range(episodes, "published_at", from_date, to_date))
+    if status:
+        wanted = wanted.filter(F.col("status") == status)
+    if "raw_char_count" not in wanted.columns:
+        wanted = wanted.withColumn("raw_char_count", F.length("raw_text"))
+    return wanted.drop("raw_text")
+
+
 def list_episodes(
     episodes: DataFrame,
     distillations: DataFrame,
@@ -172,19 +184,73 @@ def list_episodes(
     The page is cut first and then enriched: the left join on the current
     result adds at most one row per episode, so it cannot change the page.
     """
-    wanted = episodes.filter(in_date_range(episodes, "published_at", from_date, to_date))
-    if status:
-        wanted = wanted.filter(F.col("status") == status)
-    if "raw_char_count" not in wanted.columns:
-        wanted = wanted.withColumn("raw_char_count", F.length("raw_text"))
+    wanted = _wanted(episodes, status, from_date, to_date)
     total = wanted.agg(F.count("*").alias("total"))
-    page_rows = _paged(wanted.drop("raw_text"), newest_first(), page, page_size)
+    page_rows = _paged(wanted, newest_first(), page, page_size)
     if page is not None or page_size is not None:
         distillations = _of_page(distillations, page_rows)
     enriched = page_rows.join(_result_sizes(distillations), "id", "left")
     return Page(enriched.orderBy(*newest_first()), total)
 
 
+class Cursor(NamedTuple):
+    """The last row that a page showed."""
+
+    published_at: datetime | None
+    id: int
+
+
+def list_after(
+    episodes: DataFrame,
+    distillations: DataFrame,
+    after: Cursor | None = None,
+    page_size: int = DEFAULT_PAGE_SIZE,
+    status: str | None = None,
+    from_date: date | None = None,
+    to_date: date | None = None,
+) -> DataFrame:
+    """R15 by cursor: the rows that follow ``after``, newest first.
+
+    The cursor is a filter, so a page costs a top-k of its own size however deep it
+    lies; rows that come or go on earlier pages don't move it.
+    """
+    wanted = _wanted(episodes, status, from_date, to_date)
+    if after is not None:
+        when, lower = F.col("published_at"), F.col("id") < after.id
+        if after.published_at is None:
+            wanted = wanted.filter(when.isNull() & lower)
+        else:
+            at = moment(episodes, "published_at", after.published_at)
+            wanted = wanted.filter((when < at) | ((when == at) & lower) | when.isNull())
+    rows = wanted.orderBy(*newest_first()).limit(page_size)
+    return rows.join(_result_sizes(_of_page(distillations, rows)), "id", "left").orderBy(*newest_first())
+
+
+def list_page(
+    episodes: DataFrame,
+    distillations: DataFrame,
+    page: int,
+    workdir: str,
+    page_size: int = DEFAULT_PAGE_SIZE,
+    status: str | None = None,
+    from_date: date | None = None,
+    to_date: date | None = None,
+) -> DataFrame:
+    """R15 for a jump to any page, newest first, with ``pos`` from 1.
+
+    Only the order (time and id) is sorted, by ranges; the counts of the ranges say which
+    of them hold the page, so no task sees the rows before it.
+    """
+    wanted = _wanted(episodes, status, from_date, to_date)
+    keys = wanted.select("published_at", F.col("id").alias("key"))
+    order = [F.col("published_at").desc_nulls_last(), F.col("key").desc()]
+    placed = number_bulk(keys, order, F.lit(1), workdir)  # its id is the place
+    last = max(page, 1) * page_size
+    inside = placed.filter(F.col("id").between(last - page_size + 1, last))
+    rows = wanted.join(inside.select(F.col("key").alias("id"), F.col("id").alias("pos")), "id")
+    return rows.join(_result_sizes(_of_page(distillations, rows)), "id", "left").orderBy("pos")
+
+
 def _of_page(distillations: DataFrame, page_rows: DataFrame) -> DataFrame:
     """The results of a page's episodes.
 

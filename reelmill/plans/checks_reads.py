@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelmill.operators import queues, reports
 from reelmill.plans import fixtures as fx
 from reelmill.plans.oracle import with_tables
+from reelmill.sources.store import work_dir
 
 QUERIES: dict = {}
 
@@ -191,6 +192,34 @@ def list_all_episodes(spark, sf):
     return _listed(page.rows)
 
 
+@query(
+    "r15_list_keyset",
+    "ep di",
+    f"""SELECT * FROM (SELECT *, row_number() OVER (ORDER BY published_at DESC NULLS LAST, id DESC) AS pos
+          FROM ({_LISTED})) WHERE pos BETWEEN 26 AND 65""",
+)
+def list_keyset(spark, sf):
+    """The forty rows after the last one of the first page."""
+    episodes, results = fx.episodes(spark, sf), fx.distillations(spark, sf)
+    first = episodes.orderBy(*queues.newest_first()).limit(25).select("published_at", "id").collect()
+    rows = reports.list_after(episodes, results, reports.Cursor(*first[-1]), 40)
+    place = Window.orderBy(*queues.newest_first())
+    return _listed(rows, (F.row_number().over(place) + 25).cast("bigint").alias("pos"))
+
+
+@query(
+    "r15_list_deep_page",
+    "ep di",
+    f"""SELECT * FROM (SELECT *, row_number() OVER (ORDER BY published_at DESC NULLS LAST, id DESC) AS pos
+          FROM ({_LISTED}) WHERE published_at >= TIMESTAMP '2024-01-03') WHERE pos BETWEEN 101 AND 150""",
+)
+def list_deep_page(spark, sf):
+    rows = reports.list_page(
+        fx.episodes(spark, sf), fx.distillations(spark, sf), 3, work_dir(spark), 50, from_date=date(2024, 1, 3)
+    )
+    return _listed(rows, "pos")
+
+
 @query(
     "r16_list_with_summaries",
     "ep di",

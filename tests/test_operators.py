@@ -107,18 +107,20 @@ def test_old_rows_do_not_claim_ids(spark):
     assert [r.video_id for r in first] == ["v1"]
 
 
-def test_insert_only_new(spark):
+def test_insert_only_new(spark, tmp_path):
     rows = [("@a", "v1", "2024-04-30T00:00:00Z"), ("@a", "v2", "2024-04-30T09:00:00Z"), ("@a", "v3", None)]
     known = episodes(spark, {"id": 41, "video_id": "v2"})
-    fresh = discovery.new_episodes(discovered(spark, rows, "a", NOW), known, NOW)
+    fresh = discovery.new_episodes(discovered(spark, rows, "a", NOW), known, NOW, str(tmp_path / "a"))
     assert [(r.id, r.video_id, r.status) for r in fresh.orderBy("id").collect()] == [
         (42, "v1", "discovered"),
         (43, "v3", "discovered"),
     ]
     none = discovery.new_episodes(
-        discovered(spark, rows, "a", NOW), episodes(spark), NOW
+        discovered(spark, rows, "a", NOW), episodes(spark), NOW, str(tmp_path / "b")
     )
     assert sorted(r.id for r in none.collect()) == [1, 2, 3]
+    later = discovery.new_episodes(discovered(spark, rows, "a", NOW), known, NOW, str(tmp_path / "c"), 90)
+    assert sorted(r.id for r in later.collect()) == [91, 92]
 
 
 def test_bulk_numbers_are_dense_and_ordered(spark, tmp_path):
@@ -271,8 +273,9 @@ def test_queue_rules(spark):
         {"id": 7, "video_id": "g", "status": "fetched", "raw_char_count": 3, "distill_job_id": "j"},
     )
     ids = lambda df: [r.id for r in df.collect()]
-    assert ids(queues.needing_transcript(state)) == [2, 1]
-    assert ids(queues.needing_distill(state)) == [6, 4]
+    assert sorted(ids(queues.needing_transcript(state))) == [1, 2]
+    assert ids(queues.needing_transcript(state, 1)) == [2] and ids(queues.needing_transcript(state, 9)) == [2, 1]
+    assert sorted(ids(queues.needing_distill(state))) == [4, 6] and ids(queues.needing_distill(state, 9)) == [6, 4]
     assert ids(queues.needing_distill(state, max_attempts=9)) == [6]
     assert ids(queues.pending_distill(state)) == [7]
     assert ids(queues.failed_candidates(state)) == [2, 3, 4, 5]

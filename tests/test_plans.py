@@ -36,7 +36,7 @@ def test_counts_read_narrow_columns(stored):
 
 
 def test_queue_is_a_top_k_with_pushed_filter(stored):
-    plan = plan_of(queues.pending_distill(stored[0]).select("id"))
+    plan = plan_of(queues.pending_distill(stored[0], 200).select("id"))
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
     assert "EqualTo(status,fetched), IsNotNull(distill_job_id)]" in plan
 
@@ -105,3 +105,23 @@ def test_no_python_workers_and_no_cross_joins(spark):
         plan = plan_of(run(spark, SF))
         for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in plan, (name, word)
+
+
+def test_pages_by_cursor_and_by_number(spark, stored, tmp_path):
+    """Following cursors shows every row once, in order; a jump shows the same rows; a page
+    by cursor is a top-k, one by number has no window over all rows."""
+    episodes, results, _ = stored
+    whole = [r.id for r in episodes.orderBy(*queues.newest_first()).select("id").collect()]
+    shown, cursor = [], None
+    while True:
+        page = reports.list_after(episodes, results, cursor, 23)
+        found = page.collect()
+        if not found:
+            break
+        assert [r.id for r in found] == whole[len(shown) : len(shown) + 23]
+        jumped = reports.list_page(episodes, results, len(shown) // 23 + 1, str(tmp_path / f"p{len(shown)}"), 23)
+        assert [(r.id, r.pos) for r in jumped.collect()] == [(r.id, len(shown) + i + 1) for i, r in enumerate(found)]
+        shown += [r.id for r in found]
+        cursor = reports.Cursor(found[-1].published_at, found[-1].id)
+    assert shown == whole
+    assert "TakeOrderedAndProject" in plan_of(reports.list_after(episodes, results, reports.Cursor(None, 50), 5))
