@@ -119,6 +119,25 @@ def test_near_copies_against_all_pairs(spark):
     assert found == {i: root(i) for i in range(n)}
 
 
+def test_components_of_chains_stars_and_cycles(spark):
+    rng = np.random.default_rng(11)
+    links = [(i, i + 1) for i in range(0, 300)] + [(1000, i) for i in range(1001, 1400)] + [(2000, 2001), (2001, 2002), (2002, 2000)]
+    links += [(int(a), int(b)) for a, b in rng.integers(3000, 3400, (150, 2)) if a != b] + [(1001, 150), (5, 5)]
+    order = {int(n): int(k) for n, k in zip(range(4000), rng.permutation(4000))}  # names in no order
+    links = [(order[a], order[b]) for a, b in links]
+    found = {r.node: r.component for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    low = {n: n for link in links for n in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            least = min(low[a], low[b])
+            changed |= low[a] != least or low[b] != least
+            low[a] = low[b] = least
+    assert found == {n: c for n, c in low.items() if n != order[5] or n in found}
+    assert minhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_overlaps_of_many_sets():
     rng = np.random.default_rng(8)
     common = rng.integers(0, 2**63, 30).astype(np.uint64)
