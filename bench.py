@@ -1,13 +1,16 @@
 """Seconds per headline query; prints one JSON line.
 
-Each query runs once to warm up and then BENCH_RUNS times; the median counts.
-Results are consumed in full by the no-op sink, nothing is collected.
+Each query runs once to warm up and then BENCH_RUNS times; the median counts, and the
+spread is the distance of the slowest run from the fastest. Results are consumed in full
+by the no-op sink, nothing is collected. State and staged tables go to BENCH_SHARED_DIR,
+or a new folder below /tmp.
 """
 
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -41,6 +44,7 @@ HEADLINE = (
 
 
 def session(cpus: str) -> SparkSession:
+    shared = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-", dir="/tmp")
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -49,6 +53,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", shared)
         .getOrCreate()
     )
 
@@ -61,7 +66,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     registered = catalog.queries()
     names = sys.argv[1:] or HEADLINE
-    seconds = {}
+    seconds, spread = {}, {}
     for name in names:
         times = []
         for _ in range(runs + 1):
@@ -69,6 +74,7 @@ def main() -> None:
             registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - started)
         seconds[name] = round(statistics.median(times[1:]), 3)
+        spread[name] = round(max(times[1:]) - min(times[1:]), 3)
     print(
         json.dumps(
             {
@@ -76,6 +82,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "spread": spread,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
             }

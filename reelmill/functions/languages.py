@@ -18,8 +18,10 @@ def split_preference(preference: Column) -> Column:
     return F.filter(parts, lambda p: p != "")
 
 
-def normalise_languages(codes: Column) -> Column:
-    """Region-free distinct codes in order, at most ten, never empty."""
+def normalise_languages(
+    codes: Column, most: int = MAX_CODES, default: tuple[str, ...] = DEFAULT_CODES
+) -> Column:
+    """Region-free distinct codes in order, at most ``most``, never empty."""
 
     def base(raw: Column) -> Column:
         code = F.lower(strip(F.coalesce(raw, F.lit(""))))
@@ -27,7 +29,7 @@ def normalise_languages(codes: Column) -> Column:
         return F.when(automatic, code).otherwise(F.substring_index(code, "-", 1))
 
     kept = F.filter(F.transform(F.coalesce(codes, F.array()), base), lambda c: c != "")
-    first = F.slice(F.array_distinct(kept), 1, MAX_CODES)
+    first = F.slice(F.array_distinct(kept), 1, most)
     return F.when(F.size(first) > 0, first).otherwise(
-        F.array(*[F.lit(code) for code in DEFAULT_CODES])
+        F.array(*[F.lit(code) for code in default])
     )

@@ -10,9 +10,7 @@ from reelmill import schemas
 from reelmill.functions.text import first_truthy, has_content, slugify, strip
 from reelmill.functions.times import moment, parse_published
 
-# Defaults of a discovery pass and the address of a bare video id.
-DEFAULT_SLUG = "allin"
-DEFAULT_HANDLE = "allin"
+# Lookback of a discovery pass and the address of a bare video id.
 LOOKBACK_DAYS = 14
 WATCH_URL = "https://www.youtube.com/watch?v="
 
@@ -41,12 +39,13 @@ def parse_channel_specs(
     specs: DataFrame,
     column: str = "spec",
     channel_id: str = "",
-    handle: str = DEFAULT_HANDLE,
-    slug: str = DEFAULT_SLUG,
+    handle: str = "",
+    slug: str = "",
 ) -> DataFrame:
     """``"slug=id:UC.., @handle"`` -> one row per target, in spec order.
 
-    A spec without any usable target yields the explicit id, else the handle.
+    A spec without any usable target yields the explicit id, else the handle; both are
+    the deployment's to give.
     """
     tokens = F.filter(F.transform(F.split(column, ","), strip), lambda t: t != "")
     targets = F.filter(
@@ -67,7 +66,7 @@ def channel_targets(spark: SparkSession, spec: str, **defaults) -> DataFrame:
     return parse_channel_specs(spark.range(1).select(F.lit(spec).alias("spec")), **defaults)
 
 
-def with_channel_ref(targets: DataFrame, default_handle: str = DEFAULT_HANDLE) -> DataFrame:
+def with_channel_ref(targets: DataFrame, default_handle: str = "") -> DataFrame:
     """D3: id, else ``@handle``; targets with neither are dropped."""
     by_id = strip(F.coalesce("channel_id", F.lit("")))
     named = first_truthy(F.col("channel_handle"), default_handle)
@@ -82,7 +81,7 @@ def join_feeds(targets: DataFrame, feed: DataFrame, default_slug: str = "") -> D
     The target list comes from configuration, so its side is small and gets
     broadcast by size; a hot channel then needs no shuffle at all.
     """
-    slug = strip(first_truthy(F.col("channel_slug"), default_slug, DEFAULT_SLUG))
+    slug = strip(first_truthy(F.col("channel_slug"), default_slug))
     wanted = targets.select(
         "target_pos", F.col("channel_ref").alias("channel"), slug.alias("channel_slug")
     )

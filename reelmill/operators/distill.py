@@ -82,7 +82,9 @@ def submissions(
     return assign_jobs(needing_distill(episodes, limit, max_attempts), batch, receipts)
 
 
-def assign_jobs(queue: DataFrame, batch: str, receipts: DataFrame | None = None) -> DataFrame:
+def assign_jobs(
+    queue: DataFrame, batch: str, receipts: DataFrame | None = None, error_chars: int = ERROR_CHARS
+) -> DataFrame:
     """Rows to submit -> (id, video_id, job_id, error); a row with a job keeps it."""
     if receipts is None:
         job = first_truthy(F.col("distill_job_id"), job_id_for(batch))
@@ -90,7 +92,7 @@ def assign_jobs(queue: DataFrame, batch: str, receipts: DataFrame | None = None)
     each = receipts if "given" in receipts.columns else one_receipt(receipts)
     answered = queue.join(each, "video_id")
     job = F.nullif(first_truthy(F.col("distill_job_id"), F.col("given")), F.lit(""))
-    error = F.when(job.isNull(), F.substring(first_truthy(F.col("refusal"), NO_JOB_ID), 1, ERROR_CHARS))
+    error = F.when(job.isNull(), F.substring(first_truthy(F.col("refusal"), NO_JOB_ID), 1, error_chars))
     return answered.select("id", "video_id", job.alias("job_id"), error.alias("error"))
 
 
@@ -125,7 +127,9 @@ def submit_counts(submitted: DataFrame) -> DataFrame:
     )
 
 
-def mark_distill_failed(episodes: DataFrame, failures: DataFrame) -> DataFrame:
+def mark_distill_failed(
+    episodes: DataFrame, failures: DataFrame, error_chars: int = ERROR_CHARS
+) -> DataFrame:
     """F6. ``failures``: id, error. The job is dropped and the attempt counted."""
     return update_rows(
         episodes,
@@ -134,7 +138,7 @@ def mark_distill_failed(episodes: DataFrame, failures: DataFrame) -> DataFrame:
             "distill_job_id": F.lit(None),
             "distill_attempts": F.col("distill_attempts") + 1,
             "status": F.lit("failed"),
-            "last_error": F.substring(new("error"), 1, ERROR_CHARS),
+            "last_error": F.substring(new("error"), 1, error_chars),
         },
     )
 
@@ -239,7 +243,9 @@ def collected(pending: DataFrame, jobs: DataFrame) -> DataFrame:
     return joined.withColumn("kind", F.coalesce("kind", F.lit("pending")))
 
 
-def apply_collected(episodes: DataFrame, results: DataFrame, now: datetime) -> DataFrame:
+def apply_collected(
+    episodes: DataFrame, results: DataFrame, now: datetime, error_chars: int = ERROR_CHARS
+) -> DataFrame:
     """F4 on the state: done, or a failed attempt; pending rows stay."""
     done = new("kind") == "ok"
     changes = results.filter(F.col("kind") != "pending").select("id", "kind", "error")
@@ -250,7 +256,7 @@ def apply_collected(episodes: DataFrame, results: DataFrame, now: datetime) -> D
             "status": F.when(done, "done").otherwise("failed"),
             "distill_job_id": F.lit(None),
             "distill_attempts": F.col("distill_attempts") + (~done).cast("int"),
-            "last_error": F.substring(new("error"), 1, ERROR_CHARS),
+            "last_error": F.substring(new("error"), 1, error_chars),
             "distilled_at": F.when(done, moment(episodes, "distilled_at", now)).otherwise(
                 F.col("distilled_at")
             ),

@@ -134,7 +134,7 @@ def discovery_run(
 
 
 def failed_discovery_run(
-    runs: DataFrame, run_date: date, error: str, now: datetime
+    runs: DataFrame, run_date: date, error: str, now: datetime, error_chars: int = NOTE_ERROR_CHARS
 ) -> DataFrame:
     """A discovery pass that could not read its feeds."""
     return update_run(
@@ -144,7 +144,7 @@ def failed_discovery_run(
         {
             "failures": F.col("failures") + 1,
             "status": F.lit("failed"),
-            "notes": F.to_json(F.struct(F.lit(error[:NOTE_ERROR_CHARS]).alias("error"))),
+            "notes": F.to_json(F.struct(F.lit(error[:error_chars]).alias("error"))),
         },
     )
 

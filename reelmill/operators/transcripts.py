@@ -205,6 +205,7 @@ def transitions(
     min_seconds: int = 0,
     max_seconds: int = 0,
     languages: Column | None = None,
+    error_chars: int = ERROR_CHARS,
 ) -> DataFrame:
     """What happens to each queued episode that has responses.
 
@@ -239,7 +240,7 @@ def transitions(
         "outcome",
         "status",
         (F.col("tries") + (F.col("status") == "failed").cast("int")).cast("int").alias("bump"),
-        F.coalesce("reason", F.substring("error", 1, ERROR_CHARS)).alias("last_error"),
+        F.coalesce("reason", F.substring("error", 1, error_chars)).alias("last_error"),
         F.col("length_seconds").alias("duration_seconds"),
         "raw_text",
         F.length("raw_text").alias("raw_char_count"),
