@@ -218,10 +218,16 @@ def components(links: DataFrame) -> DataFrame:
 
     A link between different labels gives the lower one to its ends and to the nodes whose
     labels these had, and every node takes the label of its label, so the rounds grow with
-    the logarithm of the longest chain. Each is staged; links are kept in one direction.
+    the logarithm of the longest chain. Each is staged; links are kept in one direction,
+    and those that only say again that a node's lower neighbours hang together are gone.
     """
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     edges = staged(edges.filter("a < b").distinct(), "edges")
+    # the lower neighbours of a node hang on the least of them: members that share their
+    # centres leave one link each, and the links among centres fall together
+    least = edges.groupBy("b").agg(F.min("a").alias("low"))
+    hung = edges.join(least, "b").select(F.col("low").alias("a"), F.explode(F.array("b", "a")).alias("b"))
+    edges = staged(hung.filter("a < b").distinct(), "edges")
     ends = edges.union(edges.select("b", "a")).toDF("node", "other")
     lows = ends.groupBy("node").agg(F.min("other").alias("low"))
     labels = staged(lows.select("node", F.least("node", "low").alias("component")), "labels")
