@@ -49,7 +49,7 @@ WORD, HISTORY = 0, 1
 
 @dataclass(frozen=True)
 class Training:
-    steps: int = 15
+    steps: int = 20
     rate: float = 0.5
     prior: float = 2.0  # of the weights: a quadratic penalty, in occurrences
     tasks: int = 8
