@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelmill.llm.common import documents, texts, with_fields
+from reelmill.llm.common import documents, free_name, texts, with_fields
 
 LIMIT = 2048
 END_ID = 1
@@ -171,8 +171,10 @@ def pack(cut: DataFrame, groups: int, limit: int = LIMIT) -> DataFrame:
             sequence_id=(int(key[0]) << 32) + np.array(bins, np.int64), offset=np.array(offsets, np.int64)
         )[names]
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.lit(groups))
-    return cut.groupBy(group.alias("packing_group")).applyInPandas(run, schema)
+    # by a number of the row, so that equal rows and rows without an id are spread too
+    name = free_name(cut, "packing_group")
+    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+    return cut.withColumn(name, group).groupBy(name).applyInPandas(run, schema)
 
 
 def op7_first_fit_packing(spark, sf_dir: str) -> DataFrame:
