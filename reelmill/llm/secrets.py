@@ -112,12 +112,14 @@ def linked(spans: DataFrame, reach: int) -> DataFrame:
         )
         weak = weak.join(meets, ["row", "start", "end"], "left_semi")
     # what a base span holds already is no find of its own
+    # spans of one kind don't overlap, so a cell holds no more of them than its length allows
+    cells = F.explode(F.sequence(cell, F.floor((F.col("end") - 1) / reach))).alias("cell")
     base = spans.filter(F.col("kind") < kind["linked"]).select(
-        "row", F.col("start").alias("base_start"), F.col("end").alias("base_end")
+        "row", cells, F.col("start").alias("base_start"), F.col("end").alias("base_end")
     )
     inside = (F.col("start") < F.col("base_end")) & (F.col("base_start") < F.col("end"))
     covered = (
-        base.join(weak, "row")
+        base.join(weak.select("row", "start", "end", cells), ["row", "cell"])
         .filter(inside)
         .select("row", "start", "end")
         .distinct()
