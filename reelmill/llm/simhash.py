@@ -96,11 +96,11 @@ def in_order(ids: DataFrame) -> DataFrame:
     """
     key = F.struct("doc_id", "mark", "rn", "n_chars")
     n_ranges = max(1, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # by the whole order, so that rows without an id and repeated rows are cut up too
+    order = [F.desc_nulls_last("doc_id"), F.asc("mark"), F.asc("rn")]
     ranged = staged(
-        ids.repartitionByRange(n_ranges, F.desc_nulls_last("doc_id")).withColumn("range", F.spark_partition_id()),
-        "ranges",
+        ids.repartitionByRange(n_ranges, *order).withColumn("range", F.spark_partition_id()), "ranges"
     )
-    order = [F.desc_nulls_last("doc_id"), F.asc("mark"), F.asc("rn")]
     inside = Window.partitionBy("range").orderBy(*order)
     near = ranged.select(
         "range", key.alias("own"), F.lead(key).over(inside).alias("next"), F.lag(key).over(inside).alias("prior")
@@ -130,7 +130,9 @@ def with_edited(docs: DataFrame) -> DataFrame:
 
     ``home`` stands for an id and its text, ``row`` for one of the rows that share them.
     Texts are shuffled by home once and stay there: rows find theirs by the same key,
-    and so do the neighbours' beginnings (rows are told apart within the join).
+    and so do the neighbours' beginnings. Rows of one home follow one another and have one
+    text, so a home gets two beginnings at most, its own and the next home's, however many
+    rows it has; these are told apart within the join.
     """
     texts_ = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -146,8 +148,9 @@ def with_edited(docs: DataFrame) -> DataFrame:
             "doc_id",
             "n_chars",
             F.xxhash64("next.doc_id", "next.mark", "next.rn").alias("next_row"),
+            F.xxhash64("next.doc_id", "next.mark").alias("next_home"),
             F.xxhash64("prior.doc_id", "prior.mark").alias("prior_home"),
-            F.xxhash64("prior.doc_id", "prior.mark", "prior.rn").alias("prior_row"),
+            F.col("prior.rn").alias("prior_rn"),
             F.floor(F.col("prior.n_chars") / 3).cast("int").alias("wanted"),
         ),
         "order",
@@ -157,15 +160,16 @@ def with_edited(docs: DataFrame) -> DataFrame:
     )
     # merged at every size, so that the texts stay where their home is
     placed = one.filter("rn = 1").drop("rn").join(ordered.hint("merge"), "home")
-    fronts = placed.select(
+    # one row for each home before this one: the first row's, and the one behind the first's
+    fronts = placed.filter((F.col("prior_home") != F.col("home")) | (F.col("prior_rn") == 1)).select(
         F.col("prior_home").alias("home"),
-        F.col("prior_row").alias("for_row"),
+        F.col("home").alias("from_home"),
         F.col("text").substr(F.lit(1), F.col("wanted")).alias("front"),
     )
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     return (
         placed.join(fronts.hint("merge"), "home")
-        .filter(F.col("row").bitwiseXOR(F.col("for_row")) == 0)
+        .filter(F.col("next_home").bitwiseXOR(F.col("from_home")) == 0)
         .select(
             "home",
             "row",
