@@ -1,12 +1,16 @@
 """URL filter by path-template trees: wildcards, merged branches, smoothed purity.
 
 Rules decide first: the longest that fits. Pages that rules decide are the labels for
-all others. Per host, paths become templates level by level: below one template prefix a
-segment that holds a fair share of the node's pages stays, every other becomes ``*``, so a
-node has at most ``1 / share`` named branches. Branches of one host that differ in one
-named segment form a pool; those whose labels don't differ from the pool's beyond chance
-are merged into it. A template is rejected if the share of blocked labels, smoothed towards
-its host's and that towards the corpus', reaches ``reject``.
+all others. Per host, paths become templates level by level. Below one template prefix the
+next segment is variable if it has more distinct values than the square root of the pages
+there. A value of a steady segment stays if it has ``least`` pages; one of a variable segment
+only if it holds a fair share of the pages, or if its labels differ from its siblings' beyond
+chance. Every other becomes ``*``. Then, from the deepest level to the first, branches of one
+host that differ in one named segment form a pool, and those whose labels don't differ from
+the pool's beyond chance are merged into it (the segment becomes ``+``). A template is
+rejected if the share of blocked labels of its branch, smoothed towards its host's and that
+towards the corpus', reaches ``reject``. Pages of a host without any label get the corpus'
+rate, so one verdict.
 
 Everything is keyed sums with partial aggregation over distinct paths; no step sees a host
 as a whole, so one host may hold any share of the pages.
@@ -36,11 +40,14 @@ RULES = (
 
 @dataclass(frozen=True)
 class Tree:
-    """``share`` and ``least`` of a node's pages make a segment a branch; ``z`` deviations
-    part a branch from its pool; ``weight`` labels smooth a purity."""
+    """``least`` pages make a value of a steady segment a branch; ``share`` of the pages, or
+    ``apart`` deviations from its siblings over ``told`` labels, one of a variable segment.
+    ``z`` deviations part a branch from its pool; ``weight`` labels smooth a purity."""
 
     share: float = 0.05
     least: int = 3
+    told: int = 5
+    apart: float = 3.0
     depth: int = 8
     z: float = 1.96
     weight: float = 5.0
@@ -82,15 +89,15 @@ def templates(paths: DataFrame, how: Tree) -> DataFrame:
     deepest = rows.agg(F.max(F.size("parts"))).first()[0] or 0
     for level in range(deepest):
         rows = rows.withColumn("part", F.get("parts", F.lit(level)))
-        child = (
-            rows.filter(F.col("part").isNotNull())
-            .groupBy("host", "template", "part")
-            .agg(F.sum("n").alias("child_n"))
+        sums = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
+        child = rows.filter(F.col("part").isNotNull()).groupBy("host", "template", "part").agg(*sums)
+        node = child.groupBy("host", "template").agg(
+            F.count("*").alias("values"),
+            *[F.sum(c).alias(f"node_{c}") for c in ("n", "labelled", "blocked")],
         )
-        node = child.groupBy("host", "template").agg(F.sum("child_n").alias("node_n"))
         named = (
             child.join(node, ["host", "template"])
-            .filter(F.col("child_n") >= F.greatest(F.lit(how.least), F.col("node_n") * how.share))
+            .filter(_stays(how))
             .select("host", "template", "part", F.lit(True).alias("named"))
         )
         step = F.when(F.col("part").isNull(), F.col("template")).otherwise(
@@ -105,41 +112,69 @@ def templates(paths: DataFrame, how: Tree) -> DataFrame:
     return rows.drop("parts")
 
 
-def judged(rows: DataFrame, how: Tree) -> DataFrame:
-    """host, template, purity, verdict of every template of ``rows``."""
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
-    each = rows.groupBy("host", "template").agg(*sums)
-    # the first named segment is what branches of a pool may differ in
-    each = staged(
-        each.withColumn("pool", F.regexp_replace("template", r"^((?:/\*)*)/(?!\*(?:/|$))[^/]*", "$1/+")), "templates"
-    )
-    pools = each.groupBy("host", "pool").agg(
-        F.sum("labelled").alias("pool_labelled"), F.sum("blocked").alias("pool_blocked")
+def _stays(how: Tree) -> Column:
+    """Whether a child (n, labelled, blocked) of a node (values, node_*) keeps its name."""
+    steady = F.col("values") * F.col("values") <= F.col("node_n")
+    others = F.col("node_labelled") - F.col("labelled")
+    rate = (F.col("node_blocked") - F.col("blocked") + 0.5) / (others + 1)
+    labels = F.greatest(F.col("labelled"), F.lit(1))
+    spread = F.sqrt(rate * (1 - rate) * (1 / labels + 1 / (others + 1)))
+    differs = F.abs(F.col("blocked") / labels - rate) > how.apart * spread + 0.5 / labels
+    known = (F.col("labelled") >= how.told) & (others > 0)
+    return (F.col("n") >= how.least) & (
+        steady | (F.col("n") >= F.col("node_n") * how.share) | (known & differs)
     )
+
+
+def _smooth(blocked: Column, labelled: Column, towards: Column, how: Tree) -> Column:
+    return (blocked + how.weight * towards) / (labelled + how.weight)
+
+
+def branches(each: DataFrame, how: Tree) -> DataFrame:
+    """``each`` (host, host_rate, template, labelled, blocked) with the branch of each."""
+    rows = staged(each.withColumn("branch", F.split("template", "/")), "templates")
+    deepest = rows.agg(F.max(F.size("branch"))).first()[0] or 0
+    # a template begins with "/", so its first segment is at place 2
+    for at in range(deepest, 1, -1):
+        own = rows.groupBy("host", "branch").agg(
+            F.first("host_rate").alias("host_rate"),
+            F.sum("labelled").alias("labelled"),
+            F.sum("blocked").alias("blocked"),
+        )
+        before, behind = F.slice("branch", 1, at - 1), F.slice("branch", at + 1, how.depth + 1)
+        pool = F.concat(before, F.array(F.lit("+")), behind)
+        own = own.filter(F.get("branch", F.lit(at - 1)) != "*").withColumn("pool", pool)
+        pools = own.groupBy("host", "pool").agg(
+            F.count("*").alias("members"),
+            F.sum("labelled").alias("pool_labelled"),
+            F.sum("blocked").alias("pool_blocked"),
+        )
+        rate = _smooth(F.col("pool_blocked"), F.col("pool_labelled"), F.col("host_rate"), how)
+        n = F.greatest(F.col("labelled"), F.lit(1))
+        chance = how.z * F.sqrt(rate * (1 - rate) / n) + 0.5 / n
+        alike = (F.col("labelled") == 0) | (F.abs(F.col("blocked") / n - rate) <= chance)
+        merged = (
+            own.join(pools.filter("members > 1"), ["host", "pool"])
+            .filter(alike)
+            .select("host", "branch", "pool")
+        )
+        rows = rows.join(merged, ["host", "branch"], "left")
+        rows = staged(rows.withColumn("branch", F.coalesce("pool", "branch")).drop("pool"), "branches")
+    return rows.withColumn("branch", F.array_join("branch", "/"))
+
+
+def judged(rows: DataFrame, how: Tree) -> DataFrame:
+    """host, template, branch, purity, template_verdict of every template of ``rows``."""
+    each = rows.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     hosts = each.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("blocked").alias("host_blocked"))
     corpus = each.agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).first()
     start = (corpus.b or 0) / corpus.l if corpus.l else 0.0
-
-    def smooth(blocked: Column, labelled: Column, towards: Column) -> Column:
-        return (blocked + how.weight * towards) / (labelled + how.weight)
-
-    host_rate = smooth(F.col("host_blocked"), F.col("host_labelled"), F.lit(start))
-    joined = each.join(pools, ["host", "pool"]).join(hosts, "host").withColumn("host_rate", host_rate)
-    pool_rate = smooth(F.col("pool_blocked"), F.col("pool_labelled"), F.col("host_rate"))
-    n = F.greatest(F.col("labelled"), F.lit(1))
-    miss = F.abs(F.col("blocked") / n - pool_rate)
-    chance = how.z * F.sqrt(pool_rate * (1 - pool_rate) / n) + 0.5 / n
-    alike = (F.col("labelled") == 0) | (miss <= chance)
-    branch = staged(
-        joined.withColumn("branch", F.when(alike, F.col("pool")).otherwise(F.col("template"))).select(
-            "host", "template", "branch", "labelled", "blocked", "host_rate"
-        ),
-        "branches",
-    )
+    host_rate = _smooth(F.col("host_blocked"), F.col("host_labelled"), F.lit(start), how)
+    branch = branches(each.join(hosts.select("host", host_rate.alias("host_rate")), "host"), how)
     merged = branch.groupBy("host", "branch").agg(
         F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
     )
-    purity = smooth(F.col("all_blocked"), F.col("all_labelled"), F.col("host_rate"))
+    purity = _smooth(F.col("all_blocked"), F.col("all_labelled"), F.col("host_rate"), how)
     return (
         branch.join(merged, ["host", "branch"])
         .withColumn("purity", purity)

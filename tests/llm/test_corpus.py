@@ -311,6 +311,104 @@ def test_templates_and_purity(spark):
     assert ("/de/*", "block") in verdict and ("/fr/*", "allow") in verdict
 
 
+def test_a_blocked_section_among_many(spark):
+    """30 sections of equal size: the one whose labels say block is not thinned by the others."""
+    urls = [f"http://h.net/s{k}/{'r' if i < 90 else 'u'}{i}" for k in range(30) for i in range(100)]
+    made = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("allow", "h.net", f"/s{k}/r") for k in range(1, 30)] + [("block", "h.net", "/s0/r")]
+    found = url_filter.judge_urls(made, rules=rules).collect()
+    open_ = {(r.path.split("/")[1], r.template, r.verdict) for r in found if r.rule is None}
+    assert open_ == {(f"s{k}", f"/s{k}/*", "block" if k == 0 else "allow") for k in range(30)}
+
+
+def brute_urls(rows, how):
+    """template, purity of every (host, path, n, labelled, blocked), told row by row."""
+    parts, template = {}, {}
+    for host, path, *_ in rows:
+        found = [s for s in path.split("/") if s]
+        if len(found) >= how.depth:
+            found = found[: how.depth - 1] + ["/".join(found[how.depth - 1 :])]
+        parts[host, path], template[host, path] = found, ""
+    for level in range(how.depth):
+        nodes = defaultdict(lambda: defaultdict(lambda: np.zeros(3)))
+        for host, path, *counts in rows:
+            if len(parts[host, path]) > level:
+                nodes[host, template[host, path]][parts[host, path][level]] += counts
+        stays = set()
+        for key, children in nodes.items():
+            n, labelled, blocked = sum(children.values())
+            for part, (cn, cl, cb) in children.items():
+                rest = labelled - cl
+                rate, one = (blocked - cb + 0.5) / (rest + 1), max(cl, 1)
+                far = abs(cb / one - rate) > how.apart * math.sqrt(rate * (1 - rate) * (1 / one + 1 / (rest + 1))) + 0.5 / one
+                if cn >= how.least and (
+                    len(children) ** 2 <= n or cn >= n * how.share or (cl >= how.told and rest > 0 and far)
+                ):
+                    stays.add((key, part))
+        for host, path, *_ in rows:
+            if len(parts[host, path]) > level:
+                at, part = (host, template[host, path]), parts[host, path][level]
+                template[host, path] += "/" + (part if (at, part) in stays else "*")
+    sums, hosts, corpus = defaultdict(lambda: np.zeros(2)), defaultdict(lambda: np.zeros(2)), np.zeros(2)
+    for host, path, _, *counts in rows:
+        sums[host, template[host, path]] += counts
+        hosts[host] += counts
+        corpus += counts
+
+    def smooth(counts, towards):
+        return (counts[1] + how.weight * towards) / (counts[0] + how.weight)
+
+    rates = {h: smooth(c, corpus[1] / corpus[0] if corpus[0] else 0.0) for h, c in hosts.items()}
+    branch = {key: (key[0], *key[1].split("/")) for key in sums}
+    for at in range(how.depth, 0, -1):
+        own, pools = defaultdict(lambda: np.zeros(2)), defaultdict(set)
+        for key, b in branch.items():
+            own[b] += sums[key]
+            if len(b) > at + 1 and b[at + 1] != "*":
+                pools[(*b[: at + 1], "+", *b[at + 2 :])].add(b)
+        to = {}
+        for pool, members in pools.items():
+            rate = smooth(sum(own[b] for b in members), rates[pool[0]])
+            for b in members:
+                n = max(own[b][0], 1)
+                chance = how.z * math.sqrt(rate * (1 - rate) / n) + 0.5 / n
+                if len(members) > 1 and (own[b][0] == 0 or abs(own[b][1] / n - rate) <= chance):
+                    to[b] = pool
+        branch = {key: to.get(b, b) for key, b in branch.items()}
+    whole = defaultdict(lambda: np.zeros(2))
+    for key, b in branch.items():
+        whole[b] += sums[key]
+    purity = {key: smooth(whole[b], rates[key[0]]) for key, b in branch.items()}
+    return {(h, p): (template[h, p], purity[h, template[h, p]]) for h, p, *_ in rows}
+
+
+def test_urls_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    urls = [None, "http://a.net", "http://a.net/", "no host", "http://b.net//x//y/"]
+    for _ in range(1500):
+        host = rng.choice(["a.net", "b.net", "x.com", "k.org"])
+        size = int(rng.integers(0, 11))
+        parts = [rng.choice([f"s{rng.integers(0, 4)}", f"id{rng.integers(0, 400)}", "de", "fr", "+", "*"]) for _ in range(size)]
+        urls.append(f"http://{host}/" + "/".join(parts))
+    urls += urls[-40:]
+    schema = "page_id long, url string, host string, template string"
+    made = spark.createDataFrame([(i % 1200, u, "h", "t") for i, u in enumerate(urls)], schema)
+    rules = [("block", "a.net", "/s1/"), ("allow", "a.net", "/s2/"), ("block", "b.net", "/s"), ("allow", "net", "/de/"), ("allow", "com", "/")]
+    how = url_filter.Tree(depth=5)
+    found = url_filter.judge_urls(made, rules, how).collect()
+    assert Counter(r.page_id for r in found) == Counter(i % 1200 for i in range(len(urls)))
+    counts = defaultdict(lambda: np.zeros(3))
+    verdicts = {h + p: v for v, h, p in rules}
+    for r in found:
+        counts[r.host, r.path] += (1, r.rule is not None, r.rule is not None and verdicts[r.rule] == "block")
+    want = brute_urls([(*key, *c) for key, c in counts.items()], how)
+    for r in found:
+        template, purity = want[r.host, r.path]
+        assert r.template == template and math.isclose(r.purity, purity, rel_tol=1e-9)
+        assert r.verdict == (verdicts[r.rule] if r.rule else "block" if r.purity >= how.reject else "allow")
+    assert spark.createDataFrame([], schema).transform(url_filter.judge_urls).count() == 0
+
+
 # tokens
 
 
