@@ -12,8 +12,10 @@ one task):
   where the ids are put together by position.
 
 A frequent word so travels once per block, not once per occurrence, and takes no more
-room than any other, so no key is hot. ``docs`` must be a relation that reads the
-same rows in the same tasks again: a table or a staged result.
+room than any other, so no key is hot. Where a block is put together its words are
+places in one array of ids, not objects, so a task holds little more than its output.
+``docs`` must be a relation that reads the same rows in the same tasks again: a table
+or a staged result.
 
 Defined cases: a null text is empty and has no ids; a repeated row is encoded each
 time; control words of other vocabularies are ordinary text; an empty table gives
@@ -37,6 +39,8 @@ from reelmill.llm.common import documents, texts, with_fields
 
 #: Bytes of text in a block, if no single text is longer.
 BLOCK_BYTES = 16 << 20
+#: Words of a text whose ids are gathered at once.
+GATHERED = 1 << 18
 #: Shares of the words per shuffle partition, and words that a task keeps encoded.
 SHARES, KEPT = 4, 1_000_000
 
@@ -68,7 +72,9 @@ def _blocks(batches, block_bytes: int) -> Iterator[tuple[int, list, list, np.nda
             found = WORD.findall(text.decode("utf-8", "replace"))
             counts.append(len(found))
             codes.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
+        del data
         yield first + i, batch.column(0), counts, np.concatenate(codes), numbers
+        del numbers, codes  # not held while the next block is read
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -102,6 +108,7 @@ def block_words(docs: DataFrame, block_bytes: int, shares: int) -> DataFrame:
     def run(batches):
         for block, _, _, _, numbers in _blocks(batches, block_bytes):
             words = [word.encode() for word in numbers]
+            del numbers
             owner = np.fromiter((zlib.crc32(word) % shares for word in words), np.int32, len(words))
             order = np.argsort(owner, kind="stable")
             edges = np.searchsorted(owner[order], np.arange(shares + 1))
@@ -130,13 +137,42 @@ def _joined(sizes: np.ndarray, data: bytes) -> bytes:
     return len(head).to_bytes(4, "little") + head + zlib.compress(data, 1)
 
 
-def _pieces(packed: bytes) -> list[bytes]:
+def _unjoined(packed: bytes) -> tuple[np.ndarray, bytes]:
+    """Sizes of the pieces and the pieces one after another."""
     end = 4 + int.from_bytes(packed[:4], "little")
-    edges = np.cumsum(_numbers_of(packed[4:end]), dtype=np.int64).tolist()
-    data = zlib.decompress(packed[end:])
+    return _numbers_of(packed[4:end]), zlib.decompress(packed[end:])
+
+
+def _pieces(packed: bytes) -> list[bytes]:
+    sizes, data = _unjoined(packed)
+    edges = np.cumsum(sizes, dtype=np.int64).tolist()
     return [data[a:b] for a, b in zip([0, *edges], edges, strict=False)]
 
 
+class _Coded:
+    """Ids of the words of a block: their places in one array, by the words' numbers."""
+
+    def __init__(self, numbers: list[bytes], packed: list[bytes], width: str):
+        parts = [_unjoined(one) for one in packed]
+        none = np.zeros(0, np.int64)
+        at = np.concatenate([none, *(np.cumsum(_numbers_of(one), dtype=np.int64) for one in numbers)])
+        sizes = np.concatenate([none, *(part for part, _ in parts)]) // np.dtype(width).itemsize
+        self.ids = np.frombuffer(b"".join([data for _, data in parts]), width)
+        self.starts, self.sizes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        self.starts[at], self.sizes[at] = np.cumsum(sizes) - sizes, sizes
+
+    def text(self, codes: np.ndarray) -> bytes:
+        """Ids of the words with these numbers, one after another."""
+        found = []
+        for k in range(0, len(codes), GATHERED):
+            some = codes[k : k + GATHERED]
+            sizes = self.sizes[some]
+            ends = np.cumsum(sizes)
+            places = np.repeat(self.starts[some] - ends + sizes, sizes) + np.arange(ends[-1])
+            found.append(self.ids[places].astype("<u4").tobytes())
+        return b"".join(found)
+
+
 def block_positions(docs: DataFrame, block_bytes: int) -> DataFrame:
     """block, doc_ids, counts, codes: which words stand where in each block."""
 
@@ -198,17 +234,14 @@ def encode(
     places = block_positions(docs, block_bytes)
 
     def join(found: pa.Table, where: pa.Table) -> pa.Table:
-        ids: dict[int, bytes] = {}
-        for numbers, packed in zip(*(found.column(n).to_pylist() for n in ("numbers", "ids")), strict=True):
-            ids.update(zip(np.cumsum(_numbers_of(numbers), dtype=np.int64).tolist(), _pieces(packed), strict=True))
+        coded = _Coded(found.column("numbers").to_pylist(), found.column("ids").to_pylist(), width)
         out_ids, out_docs = [], []
         for row in where.to_pylist():
             codes = _unpack(row["codes"], sum(row["counts"]))
             start = 0
             for doc_id, n in zip(row["doc_ids"], row["counts"], strict=True):
                 out_docs.append(doc_id)
-                coded = b"".join(map(ids.__getitem__, codes[start : start + n].tolist()))
-                out_ids.append(np.frombuffer(coded, width).astype("<u4").tobytes())
+                out_ids.append(coded.text(codes[start : start + n]))
                 start += n
         return pa.table(
             {
@@ -233,12 +266,8 @@ def decode(coded: DataFrame, vocab: str | None = None) -> DataFrame:
 
     def run(batches):
         table = {rank: token for token, rank in ranks(vocab).items()}
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            read = [
-                b"".join(map(table.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
-                for ids in batch.column(at).to_pylist()
-            ]
+        for batch, data in texts(batches, column="ids"):
+            read = [b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in data]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(read, pa.binary())], [*batch.schema.names, "decoded"]
             )

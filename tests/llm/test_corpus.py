@@ -4,6 +4,7 @@ import glob
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -423,6 +424,28 @@ def test_bpe_against_library(docs, odd):
         )
 
 
+def test_bpe_block_is_put_together_without_an_object_a_word():
+    """Every word of a block once as a Python object took some 200 bytes each."""
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 5, 200_000).astype(np.uint32)
+    ids = rng.integers(0, 50_000, sizes.sum()).astype("<u2")
+    order = rng.permutation(len(sizes))  # two shares, each with its numbers ascending
+    shares = [np.sort(order[:120_000]), np.sort(order[120_000:])]
+    edges = np.cumsum(np.append(0, sizes), dtype=np.int64)
+    numbers = [bpe._bytes_of(np.diff(s, prepend=0)) for s in shares]
+    packed = [
+        bpe._joined(sizes[s] * 2, b"".join([ids[edges[i] : edges[i + 1]].tobytes() for i in s])) for s in shares
+    ]
+    codes = rng.integers(0, len(sizes), 300_000).astype(np.uint32)
+    want = np.concatenate([ids[edges[i] : edges[i + 1]] for i in codes]).astype("<u4").tobytes()
+    tracemalloc.start()
+    coded = bpe._Coded(numbers, packed, "<u2")
+    assert tracemalloc.get_traced_memory()[0] < 40 * len(sizes)
+    tracemalloc.stop()
+    assert coded.text(codes) == want and coded.text(codes[:0]) == b""
+    assert bpe._Coded([], [], "<u2").text(codes[:0]) == b""
+
+
 def test_packing(docs, odd):
     own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     own.encode_special_tokens = True
