@@ -14,10 +14,11 @@ and one unknown per class add up to one.
 2. The weights are trained by distributed gradients: every step, tasks compute the
    gradient of their histories and the driver adds up at most ``tasks`` of them, each of
    bounded size.
-3. Scoring is table look-ups in numpy. The counts of the ``head`` most frequent words
-   (a bounded table) go to every task; all other words are joined to the whole count
-   table, without a hot key, as no word beyond the head has more than 1/``head`` of
-   all occurrences.
+3. Scoring is table look-ups in numpy. The counts of up to ``head`` of the most frequent
+   words (a bounded table) go to every task; all other words are joined to the whole count
+   table, without a hot key, as hardly a word beyond the head has more than 1/``head`` of
+   all occurrences. The driver finds the head's least count in a table of rounded counts,
+   so it gets no words but those of the head, however many tasks there are.
 
 Row numbers tie both scoring passes together: ``docs`` must read the same rows in the
 same order again (a table or a staged result).
@@ -202,6 +203,23 @@ def train(cells: DataFrame, how: Training) -> np.ndarray:
     return log_softmax(weights[every].sum(axis=0)).astype(np.float32)
 
 
+def head_words(words: DataFrame, most: int) -> DataFrame:
+    """The most frequent of ``words`` (key, n), at most ``most``: all from some count up.
+
+    Counts are compared by their first 11 binary digits, so that there are some thousand
+    different ones at most; words of equal ones are all in or all out.
+    """
+    rounded = F.expr("n - n % shiftleft(1L, greatest(length(bin(n)) - 11, 0))")
+    sizes = words.groupBy(rounded.alias("least")).agg(F.count("*").alias("words")).collect()
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda r: -r.least):
+        held += row.words
+        if held > most:
+            break
+        least = row.least
+    return words.filter(F.lit(False) if least is None else F.col("n") >= least)
+
+
 def lm_scores(docs: DataFrame, learn: DataFrame, how: Training = Training()) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs``,
     by counts and weights from the rows of ``learn``."""
@@ -212,8 +230,9 @@ def lm_scores(docs: DataFrame, learn: DataFrame, how: Training = Training()) ->
     table = spark.sparkContext.broadcast(train(counts.filter(F.col("kind") == HISTORY), how))
     # the head is bounded in rows and in bytes of a row
     short = words.filter(F.length("key").between(1, 64))
+    frequent = head_words(short, how.head).toArrow()
     head = spark.sparkContext.broadcast(
-        {bytes(r.key): r.n for r in short.orderBy(F.desc("n"), "key").limit(how.head).collect()}
+        dict(zip(frequent["key"].to_pylist(), frequent["n"].to_pylist(), strict=True))
     )
     within = -np.log(sizes)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")

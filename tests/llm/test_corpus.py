@@ -592,6 +592,18 @@ def test_scores_against_brute_force(spark, docs):
     assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh)
 
 
+def test_head_is_found_without_rows_of_every_task(spark):
+    """Whole classes of equal counts, as many as fit; no sort that the driver merges."""
+    counts = [7, 7, 5, 5, 5, 4, 1, 1, 1, 1, 3_000_500, 3_001_000, 3_002_000]
+    words = spark.createDataFrame([(f"w{i}".encode(), n) for i, n in enumerate(counts)], "key binary, n long").repartition(4)
+    for most, want in [(0, []), (2, []), (3, [3_000_500, 3_001_000, 3_002_000]), (4, [3_000_500, 3_001_000, 3_002_000]),
+                       (9, [4, 5, 5, 5, 7, 7, 3_000_500, 3_001_000, 3_002_000]), (13, sorted(counts)), (99, sorted(counts))]:
+        head = maxent.head_words(words, most)
+        assert sorted(r.n for r in head.collect()) == want
+        assert "TakeOrdered" not in head._jdf.queryExecution().executedPlan().toString()
+    assert maxent.head_words(words.limit(0), 5).count() == 0
+
+
 def test_model_adds_up_to_one(spark):
     made = spark.createDataFrame([(1, "a b c a b"), (2, "b c"), (3, None)], "doc_id long, text string")
     words = maxent.corpus_counts(made).filter(f"kind = {maxent.WORD}")
