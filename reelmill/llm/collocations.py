@@ -1,10 +1,13 @@
 """Phrases whose words occur together more often than their parts would.
 
-Only the longest window is counted: at every word the next ``longest`` words of its piece,
-as one column each, padded with nulls behind the piece's end. Spark's ROLLUP over these
-columns then sums every shorter prefix, so the frequencies of all phrases of one to
-``longest`` words, and the number of all words, come from one grouping and no n-gram of
-another order is ever made.
+Only the longest window is counted: at every word the next ``longest`` words of its piece.
+The distinct windows of a batch travel sorted and packed, some bytes each, to the share
+that owns their first two words. There equal ones are added up, and a window is cut behind
+its longest prefix of ``least`` occurrences: all windows with that prefix are in the share,
+so nothing that counts is lost. Only then do they become rows, one column a word, padded
+with nulls. Spark's ROLLUP over these columns sums every shorter prefix, so the frequencies
+of all phrases of one to ``longest`` words, and the number of all words, come from one
+grouping and no n-gram of another order is ever made.
 
 Before that a window is cut where no frequent phrase can go on: words, pairs of
 neighbouring words and then triples of frequent pairs are counted by hash, and one whose
@@ -32,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +44,8 @@ from reelmill.llm.common import documents, staged, texts
 
 #: Rows that a task hands over at once; shares of the hashes per shuffle partition.
 ROWS, SHARES = 20_000, 4
+#: Windows that are packed, or added up, together.
+PACKED = 400_000
 #: Bits of a hash. Collisions only let more windows through.
 HASH_BITS = 40
 #: Bytes that end a piece become full stops, a tab becomes a space, A-Z become a-z.
@@ -243,34 +249,145 @@ def _columns(how: Mining) -> list[str]:
     return [f"w{i}" for i in range(1, how.longest + 1)]
 
 
-def windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataFrame:
-    """lang, w1, .., n: the distinct longest windows of every batch and how often they come.
+def _owners(langs: np.ndarray, words: np.ndarray, names: list[str], hashes: np.ndarray, shares: int) -> np.ndarray:
+    """The share of each window, by its language and first two words (or fewer)."""
+    seeds = np.array([xxhash.xxh3_64_intdigest(lang.encode()) for lang in names], np.uint64)
+    found = seeds[langs]
+    for i, column in enumerate(words[:2]):
+        at = np.flatnonzero(column >= 0)
+        word = hashes[column[at]]
+        found[at] = _with_next(found[at], word) if i else word
+    return ((found >> np.uint64(20)) % np.uint64(shares)).astype(np.int64)
+
+
+def packed_windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataFrame:
+    """lang, share, windows, counts: the distinct longest windows of every batch and how
+    often they come, by the share that owns them.
 
-    A window has one column a word, null from where the piece ends or where ``table``
-    doesn't know the next pair or triple (from the first on, if it doesn't know the word).
+    A window ends where its piece does or where ``table`` doesn't know the next pair or
+    triple (it has no word, if the table doesn't know the first).
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(table)
-    names = _columns(how)
+    shares = SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         known = sent.value
         for held in _batches(batches, how.batch_bytes):
-            langs, words, counts = _counted(held, known, how.longest)
+            langs, words, counts, hashes = _counted(held, known, how.longest)
             vocabulary = pa.array([word for _, word in held.numbers], pa.binary()).cast(pa.string())
-            of_lang = pa.array(list(held.langs), pa.string())
-            for k in range(0, len(counts), ROWS):
-                part = slice(k, k + ROWS)
+            of_lang = list(held.langs)
+            del held
+            for k in range(0, len(counts), PACKED):
+                part = slice(k, k + PACKED)
                 columns = [vocabulary.take(pa.array(column[part], mask=column[part] < 0)) for column in words]
-                yield pa.RecordBatch.from_arrays(
-                    [of_lang.take(pa.array(langs[part])), *columns, pa.array(counts[part])], ["lang", *names, "n"]
+                owned = langs[part] * shares + _owners(langs[part], words[:, part], of_lang, hashes, shares)
+                rows = pa.table({"owned": owned, "window": _joined(columns), "n": counts[part]})
+                rows = rows.sort_by([("owned", "ascending"), ("window", "ascending")])
+                owned, n = rows["owned"].to_numpy(), rows["n"].to_numpy()
+                edges = np.concatenate([[0], np.flatnonzero(np.diff(owned)) + 1, [len(owned)]])
+                lists = pa.LargeListArray.from_arrays(edges, rows["window"].combine_chunks())
+                lines = pc.binary_join(lists, pa.scalar("\n", lists.type.value_type))
+                first = owned[edges[:-1]]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "lang": pa.array([of_lang[i] for i in (first // shares).tolist()], pa.string()),
+                        "share": pa.array(first % shares),
+                        "windows": pa.array([zlib.compress(line.as_buffer(), 1) for line in lines], pa.binary()),
+                        "counts": pa.array([_packed(one) for one in np.split(n, edges[1:-1])], pa.binary()),
+                    }
                 )
 
-    return _named(docs).mapInArrow(run, ", ".join(["lang string", *(f"{name} string" for name in names), "n long"]))
+    return _named(docs).mapInArrow(run, "lang string, share long, windows binary, counts binary")
+
+
+def _joined(columns: list[pa.Array]) -> pa.Array:
+    """Words joined by spaces; no word, no space."""
+    wide = [column.cast(pa.large_string()) for column in columns]
+    wide[0] = wide[0].fill_null("")  # Arrow leaves out rows of nulls alone
+    return pc.binary_join_element_wise(*wide, pa.scalar(" ", pa.large_string()), null_handling="skip")
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    rows = pa.concat_tables(parts)
+    return rows.group_by("window", use_threads=False).aggregate([("n", "sum")]).rename_columns(["window", "n"])
+
+
+def _cut(found: pa.Table, how: Mining) -> pa.Table:
+    """Windows cut behind their longest prefix of ``least`` occurrences, or the first word.
+
+    ``found`` has all windows of a language that begin with the same two words as any of its.
+    """
+    spaces = pc.count_substring(found["window"], " ")
+    left = {size: found.filter(pc.equal(spaces, size - 1)) for size in range(2, how.longest + 1)}
+    kept = [found.filter(pc.equal(spaces, 0))]  # of one word or none
+    longer = found.slice(0, 0)  # frequent prefixes by one word longer, and how often they come
+
+    def shorter(rows: pa.Table) -> pa.Table:
+        return pa.table({"window": pc.replace_substring_regex(rows["window"], " [^ ]*$", ""), "n": rows["n"]})
+
+    for size in range(how.longest, 1, -1):
+        own = left[size]
+        prefixes = _summed([own, shorter(longer)])
+        longer = prefixes.filter(pc.greater_equal(prefixes["n"], how.least))
+        often = pc.is_in(own["window"], value_set=longer["window"].combine_chunks())
+        kept.append(own.filter(often))
+        rest = shorter(own.filter(pc.invert(often)))
+        if size > 2:
+            left[size - 1] = _summed([left[size - 1], rest])
+        else:
+            kept.append(rest)
+    return _summed(kept)
+
+
+def windows(docs: DataFrame, table: np.ndarray, how: Mining = Mining()) -> DataFrame:
+    """lang, w1, .., n: the longest windows, added up by share and cut behind the longest
+    prefix of ``least`` occurrences (or one word), and how often they come.
+
+    A window has one column a word, null from its end on. A share's windows of a language
+    are added up in one task.
+    """
+    names = _columns(how)
+    none = pa.table({"window": pa.array([], pa.large_string()), "n": pa.array([], pa.int64())})
+
+    def add(lang, parts):
+        rows, held, new = none, [], 0
+        for lines, counts in parts:
+            texts = pa.array([zlib.decompress(lines)], pa.large_binary()).cast(pa.large_string())
+            found = pc.split_pattern(texts, "\n").values
+            held.append(pa.table({"window": found, "n": _unpacked(counts).astype(np.int64)}))
+            new += len(found)
+            if new >= max(PACKED, len(rows)):
+                rows, held, new = _summed([rows, *held]), [], 0
+        rows = _cut(_summed([rows, *held]), how)
+        for k in range(0, len(rows), ROWS):
+            part = rows.slice(k, ROWS)
+            words = [window.split(" ") if window else [] for window in part["window"].to_pylist()]
+            columns = [pa.array([w[i] if i < len(w) else None for w in words], pa.string()) for i in range(how.longest)]
+            n = part["n"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), *columns, n], ["lang", *names, "n"])
+
+    def sums(batches):
+        last, parts = None, []
+        for batch in batches:
+            for lang, share, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (share, lang) != last:
+                    if parts:
+                        yield from add(last[1], parts)
+                    last, parts = (share, lang), []
+                parts.append(packed)
+        if parts:
+            yield from add(last[1], parts)
+
+    dealt = packed_windows(docs, table, how).repartition("share").sortWithinPartitions("share", "lang")
+    return dealt.mapInArrow(sums, ", ".join(["lang string", *(f"{name} string" for name in names), "n long"]))
 
 
-def _counted(held: _Numbered, known: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Language, words (one row a column, -1 for none) and count of the distinct windows.
+def _counted(
+    held: _Numbered, known: np.ndarray, longest: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language, words (one row a column, -1 for none) and count of the distinct windows;
+    hashes of the words.
 
     Windows grow column by column: those that go on are told apart by the window so far
     and the next word, and most stop early.
@@ -299,7 +416,7 @@ def _counted(held: _Numbered, known: np.ndarray, longest: int) -> tuple[np.ndarr
         words, langs = np.concatenate([words, added], axis=1), np.append(langs, langs[shorter])
     counts = np.bincount(window, minlength=words.shape[1])
     there = np.flatnonzero(counts)
-    return langs[there], words[:, there], counts[there]
+    return langs[there], words[:, there], counts[there], chained.word_hashes
 
 
 def _phrase(words: list[Column]) -> Column:

@@ -116,3 +116,22 @@ def test_hashes_are_those_of_frequent_words_pairs_and_triples(spark, rows):
     often = Counter(len(g) - 1 for g, n in f.items() if n >= 5)
     assert pairs.count() == pairs.distinct().count() == often[1] + often[2]
     assert c.frequent_hashes(docs, how, c._bits(pairs, how)).count() == often[3]
+
+
+def test_windows_are_added_up_and_cut_before_they_are_rows(spark, rows):
+    """No window is a row of every batch, and none goes on beyond its last frequent prefix."""
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    f = Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\n-\r]", "".join(ch.lower() if "A" <= ch <= "Z" else ch for ch in text or "")):
+            words = [w for w in re.split(r"[ \t]", piece) if w]
+            f.update(
+                ("und" if lang is None else lang, *words[i : i + k]) for k in range(1, 6) for i in range(len(words) - k + 1)
+            )
+    how = c.Mining(least=3, batch_bytes=1, table_bytes=8)  # one text a batch, nearly every hash is in the table
+    made = c.windows(docs, c._bits(c.frequent_hashes(docs, how), how), how).collect()
+    many = [tuple(w for w in r[:-1] if w is not None) for r in made]
+    long = [w for w in many if len(w) > 2]
+    assert len(long) == len(set(long)) and min(f[w] for w in long) >= how.least
+    for w in long:
+        assert sum(r.n for r, other in zip(made, many, strict=True) if other[: len(w)] == w) == f[w]
