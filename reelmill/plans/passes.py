@@ -247,6 +247,8 @@ def _requests(store: Unit, submitted: DataFrame, settings: Settings) -> DataFram
     head = store.stage(known.join(submitted.select("id", "job_id", "bucket"), "id"), "request_heads")
     shown = head.filter(F.col("text_version").isNotNull()).select("bucket", "text_version").distinct()
     texts = store.read_versions("texts", {(r.bucket, r.text_version) for r in shown.collect()})
+    wanted = store.stage(head.select("id", "text_version"), "wanted_texts")
+    texts = texts.join(wanted, ["id", "text_version"], "left_semi")
     request = distill.request_json(settings.source, settings.max_chunk_chars)
     return reports.with_text(head, texts).select("id", "job_id", request.alias("request"))
 
@@ -392,12 +394,15 @@ def collect(
             ),
             "episode_id",
         )
+        # built once; the keys by themselves, so that no stored document moves to meet them
+        batch = work.stage(batch, "results")
+        keys = work.stage(batch.select(*distill.RESULT_KEY, "seq"), "result_keys")
         touched = work.touched(submitted)
         stored = work.read("distillations", touched).drop("bucket")
         # ids are unique over the whole table, so the highest one comes from all buckets
         noted = work.spark.range(1).select(F.lit(work.last_id("distillations")).alias("id"))
         highest = work.read("distillations").select("id").unionByName(noted)
-        merged = distill.upsert_results(stored, batch, now, highest)
+        merged = distill.upsert_results(stored, batch, now, highest, keys)
         known = work.read("episodes", touched).select(F.col("id").alias("episode_id"), "bucket")
         work.commit(
             writes
