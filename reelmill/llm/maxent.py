@@ -11,9 +11,9 @@ and one unknown per class add up to one.
 1. One pass counts, per task and then by shuffle, all training words and all
    (history, class) pairs. Histories are hashed to at most 67,617, so their table is
    bounded whatever the corpus; word counts grow with it.
-2. The weights are trained by distributed gradients: every step, tasks compute the
-   gradient of their histories and the driver adds up at most ``tasks`` of them, each of
-   bounded size.
+2. The weights are trained by distributed gradients: every step, at most ``tasks`` tasks
+   compute the gradient of their histories, each of bounded size, and as many add them up
+   slice by slice, so the driver gets one gradient a step.
 3. Scoring is table look-ups in numpy. The counts of up to ``head`` of the most frequent
    words (a bounded table) go to every task; all other words are joined to the whole count
    table, without a hot key, as hardly a word beyond the head has more than 1/``head`` of
@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,7 @@ PAIRS = 16384
 START_BUCKET, START_CLASS = BUCKETS, CLASSES
 HISTORIES = (BUCKETS + 1) * (CLASSES + 1)
 FEATURES = (BUCKETS + 1) + PAIRS + (CLASSES + 1)
+SLICES = 64  # of a gradient, when those of all tasks are added up
 WORD, HISTORY = 0, 1
 
 
@@ -163,18 +165,19 @@ def class_sizes(words: DataFrame) -> tuple[np.ndarray, int, int, int]:
     return sizes, n, v, found[CLASSES - 1].n if found else 0
 
 
-def train(cells: DataFrame, how: Training) -> np.ndarray:
-    """Log-probability of each class after each history (natural logarithm)."""
-    # gradients of cells add up, so cells may lie anywhere; never more than ``tasks`` parts
-    spread = staged(cells.repartition(how.tasks), "histories").coalesce(how.tasks)
-    weights = np.zeros((FEATURES, CLASSES), np.float32)
-    power = np.full_like(weights, 1e-6)
+def gradient(cells: DataFrame, weights: Broadcast, tasks: int) -> DataFrame:
+    """slice, grad: the slope of the log-likelihood of ``cells`` (key, n) in every weight, one
+    row for each slice of the weight table, as float64 bytes; no rows without cells.
+
+    Every task makes one gradient of its cells, then at most ``tasks`` tasks add up the slices.
+    """
 
     def slope(batches):
         keys, times = [], []
         for batch in batches:
-            keys.append(np.array([int.from_bytes(k, "big") for k in batch.column(0).to_pylist()], np.int64))
-            times.append(np.array(batch.column(1).to_pylist(), float))
+            key = batch.column(0).cast(pa.binary(4))
+            keys.append(np.frombuffer(key.buffers()[1], ">u4", len(key), key.offset * 4).astype(np.int64))
+            times.append(batch.column(1).to_numpy().astype(float))
         if not keys:
             return
         history, classes = np.divmod(np.concatenate(keys), CLASSES)
@@ -183,19 +186,45 @@ def train(cells: DataFrame, how: Training) -> np.ndarray:
         seen = np.zeros((len(own), CLASSES))
         np.add.at(seen, (at, classes), times)
         rows = features(own)
-        expected = np.exp(log_softmax(weights[rows].sum(axis=0).astype(float)))
+        expected = np.exp(log_softmax(weights.value[rows].sum(axis=0).astype(float)))
         miss = seen - seen.sum(axis=1, keepdims=True) * expected
-        grad = np.zeros(weights.shape)
+        grad = np.zeros(weights.value.shape)
         for row in rows:
             np.add.at(grad, row, miss)
-        yield pa.RecordBatch.from_pydict({"grad": pa.array([grad.astype("<f4").tobytes()], pa.binary())})
+        yield sliced(enumerate(np.array_split(grad.astype("<f4"), SLICES)))
 
+    def add(batches):
+        total = {}
+        for batch in batches:
+            for at, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                total[at] = total.get(at, 0.0) + np.frombuffer(part.as_buffer(), "<f4").astype("<f8")
+        yield sliced(total.items())
+
+    def sliced(parts):
+        at, parts = zip(*parts, strict=True) if parts else ((), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "grad"]
+        )
+
+    kinds = "slice int, grad binary"
+    parts = cells.select("key", "n").mapInArrow(slope, kinds).repartition(tasks, "slice")
+    return parts.coalesce(tasks).mapInArrow(add, kinds)
+
+
+def train(cells: DataFrame, how: Training) -> np.ndarray:
+    """Log-probability of each class after each history (natural logarithm)."""
+    # gradients of cells add up, so cells may lie anywhere; never more than ``tasks`` parts
+    spread = staged(cells.repartition(how.tasks), "histories").coalesce(how.tasks)
+    weights = np.zeros((FEATURES, CLASSES), np.float32)
+    power = np.full_like(weights, 1e-6)
     for _ in range(how.steps):
-        parts = spread.select("key", "n").mapInArrow(slope, "grad binary").collect()
-        if not parts:
+        sent = cells.sparkSession.sparkContext.broadcast(weights)
+        found = gradient(spread, sent, how.tasks).toArrow().sort_by("slice")["grad"]
+        sent.destroy()  # else those of all steps stay until the driver collects its garbage
+        if not len(found):
             break
-        grad = sum(np.frombuffer(p.grad, "<f4").reshape(weights.shape).astype(float) for p in parts)
-        grad -= how.prior * weights
+        grad = np.concatenate([np.frombuffer(part.as_buffer(), "<f8") for part in found])
+        grad = grad.reshape(weights.shape) - how.prior * weights
         grad /= max(1.0, np.abs(grad).max())
         power += grad**2
         weights = (weights + how.rate * grad / np.sqrt(power)).astype(np.float32)

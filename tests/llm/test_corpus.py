@@ -617,6 +617,50 @@ def test_model_adds_up_to_one(spark):
     assert np.allclose(np.exp(table.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_driver_gets_one_gradient_a_step(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    cells = np.unique(rng.integers(0, maxent.HISTORIES * maxent.CLASSES, 4000))
+    times = rng.integers(1, 99, len(cells))
+    how, got = maxent.Training(steps=3, tasks=4), []
+    frame = type(spark.range(0))
+    collect, arrow = frame.collect, frame.toArrow
+
+    def collected(self):
+        rows = collect(self)
+        got.append([len(value) for row in rows for value in row])
+        return rows
+
+    def as_arrow(self):
+        rows = arrow(self)
+        got.append([rows.nbytes])
+        return rows
+
+    made = spark.createDataFrame(
+        [(maxent.HISTORY, int(c).to_bytes(4, "big"), int(n)) for c, n in zip(cells, times, strict=True)],
+        "kind byte, key binary, n long",
+    ).repartition(16)
+    monkeypatch.setattr(frame, "collect", collected)
+    monkeypatch.setattr(frame, "toArrow", as_arrow)
+    table = maxent.train(made, how)
+    assert len(got) == 3 and all(sum(sizes) < maxent.FEATURES * maxent.CLASSES * 8 * 1.01 for sizes in got)
+
+    weights = np.zeros((maxent.FEATURES, maxent.CLASSES))
+    power = np.full_like(weights, 1e-6)
+    history, classes = np.divmod(cells, maxent.CLASSES)
+    rows = maxent.features(history)
+    for _ in range(3):
+        chance = np.exp(maxent.log_softmax(weights[rows].sum(axis=0)))
+        miss = (np.eye(maxent.CLASSES)[classes] - chance) * times[:, None]
+        grad = -how.prior * weights
+        for row in rows:
+            np.add.at(grad, row, miss)
+        grad /= max(1.0, np.abs(grad).max())
+        power += grad**2
+        weights += how.rate * grad / np.sqrt(power)
+    every = maxent.features(np.arange(maxent.HISTORIES))
+    assert np.allclose(table, maxent.log_softmax(weights[every].sum(axis=0)), atol=1e-3)
+
+
 def test_scores_of_odd_rows(odd, none):
     assert maxent.lm_scores(odd, odd).count() == odd.count()
     rows = maxent.lm_scores(odd, none).collect()
